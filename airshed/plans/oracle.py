@@ -222,6 +222,155 @@ SELECT {rnd(exact_avg('temp_c'), 1)} AS avg_temp_c, {rnd(exact_avg('humidity_pct
 FROM ({station_current()})"""
 
 
+ISO = "'%Y-%m-%dT%H:%M:%S.%f+00:00'"
+NOW_LOCAL = f"(timezone('UTC', TIMESTAMPTZ '{RUN_TS}') + INTERVAL 7 HOUR)"
+
+
+def combined_sql() -> str:
+    cols = ", ".join(K.COMBINED_AQI_COLS)
+    return f"""
+WITH w AS (SELECT *, {PTS} AS _t FROM ({weather_silver()})),
+a AS (SELECT station, {PTS} AS _t, {cols} FROM ({aqi_silver()}) WHERE {PTS} IS NOT NULL)
+SELECT w.* EXCLUDE (_t, processed_at), {', '.join('a.' + c for c in K.COMBINED_AQI_COLS)},
+       '{RUN_TS}' AS processed_at
+FROM w ASOF LEFT JOIN a ON w.station = a.station AND w._t >= a._t"""
+
+
+def uv_enrich_sql() -> str:
+    return f"""
+WITH w AS (SELECT station, timestamp, uv_index, {PTS} AS _t FROM ({weather_silver()})),
+u AS (SELECT station, {PTS} AS _t, TRY_CAST(uv AS DOUBLE) AS uv, TRY_CAST(uv_max AS DOUBLE) AS uv_max
+      FROM ({A.UV_RAW_SQL}) WHERE {PTS} IS NOT NULL AND station IS NOT NULL)
+SELECT w.station, w.timestamp, w.uv_index, u.uv, u.uv_max
+FROM w ASOF LEFT JOIN u ON w.station = u.station AND w._t >= u._t"""
+
+
+def source_fallback_sql() -> str:
+    p = A.aqi_feed_sql("signup", "primary", 300.0)
+    s = A.aqi_feed_sql("error", "secondary", None)
+    pick = lambda c: f"CASE WHEN p.aqi IS NOT NULL THEN p.{c} ELSE s.{c} END AS {c}"
+    return f"""
+WITH p AS ({p}), s AS ({s})
+SELECT coalesce(p.station, s.station) AS station, coalesce(p.slot, s.slot) AS slot,
+       {pick('aqi')}, {pick('pm25')}, {pick('source')}
+FROM p FULL OUTER JOIN s ON p.station = s.station AND p.slot = s.slot
+WHERE p.aqi IS NOT NULL OR s.station IS NOT NULL"""
+
+
+def training_rows_sql() -> str:
+    return f"""
+SELECT a.station, a.time, a.pm25, a.pm10, a.no2, a.o3, a.aqi, w.temp_c, w.humidity_pct,
+       w.wind_speed_ms, CAST(hour(a.time + INTERVAL 7 HOUR) AS BIGINT) AS hour,
+       CAST(isodow(a.time + INTERVAL 7 HOUR) - 1 AS BIGINT) AS dayofweek
+FROM ({A.AQ_HOURLY_SQL}) a JOIN ({A.WX_HOURLY_SQL}) w ON a.station = w.station AND a.time = w.time
+WHERE a.pm25 IS NOT NULL AND a.pm10 IS NOT NULL AND a.no2 IS NOT NULL AND a.o3 IS NOT NULL
+  AND w.temp_c IS NOT NULL AND w.humidity_pct IS NOT NULL AND w.wind_speed_ms IS NOT NULL
+  AND a.aqi IS NOT NULL"""
+
+
+def horizon_samples_sql() -> str:
+    cur = ", ".join(f"ex.{c}" for c in K.CURRENT_COLS)
+    return f"""
+WITH h AS ({training_rows_sql()}),
+ex AS (SELECT h.*, g.horizon_h, h.time + to_hours(g.horizon_h) AS target_time
+       FROM h CROSS JOIN range(0, {max(K.HORIZONS) + 1}) g(horizon_h))
+SELECT ex.station, strftime(ex.time, {ISO}) AS time, {cur}, t.aqi AS aqi_target,
+       CAST(ex.horizon_h AS BIGINT) AS horizon_h,
+       CAST(hour(ex.target_time + INTERVAL 7 HOUR) AS BIGINT) AS target_hour,
+       CAST(isodow(ex.target_time + INTERVAL 7 HOUR) - 1 AS BIGINT) AS target_dayofweek
+FROM ex JOIN h t ON t.station = ex.station AND t.time = ex.target_time"""
+
+
+def sensor_pivot_sql() -> str:
+    cols = ", ".join(
+        f"arg_max(value, pos_ts) FILTER (WHERE lower(name) = '{p}' AND value IS NOT NULL) AS {p}"
+        for p in K.SENSOR_PARAMS)
+    return f"SELECT site, slot, {cols} FROM ({A.SENSOR_LONG_SQL}) GROUP BY site, slot"
+
+
+def fill(expr: str, default: float) -> str:
+    return f"CASE WHEN ({expr}) IS NULL OR ({expr}) = 0 THEN {float(default)}::DOUBLE ELSE ({expr}) END"
+
+
+def horizon_features_sql() -> str:
+    pol = ", ".join(f"{fill(f'coalesce(latest_{p}, avg_{p})', 0.0)} AS {p}"
+                    for p in ["pm25", "pm10", "no2", "o3"])
+    wx = ", ".join(f"{fill(f, d)} AS {f}" for f, d in K.SCORING_DEFAULTS.items())
+    return f"""
+WITH b AS (SELECT station, {pol}, {wx}, CAST(hour({NOW_LOCAL}) AS BIGINT) AS hour,
+                  CAST(isodow({NOW_LOCAL}) - 1 AS BIGINT) AS dayofweek
+           FROM ({station_current()}))
+SELECT b.*, CAST(g.horizon_h AS BIGINT) AS horizon_h,
+       CAST((b.hour + g.horizon_h) % 24 AS BIGINT) AS target_hour,
+       CAST((b.dayofweek + (b.hour + g.horizon_h) // 24) % 7 AS BIGINT) AS target_dayofweek
+FROM b CROSS JOIN range(0, {max(K.HORIZONS) + 1}) g(horizon_h)"""
+
+
+def forecast_time_grid_sql() -> str:
+    return f"""
+SELECT station, CAST(g.horizon_h AS BIGINT) AS horizon_h,
+       strftime({NOW_LOCAL} + to_hours(g.horizon_h), '%Y-%m-%dT%H:%M:%S{K.SCORING_TZ}') AS valid_time
+FROM ({station_current()}) CROSS JOIN range(0, {max(K.HORIZONS) + 1}) g(horizon_h)"""
+
+
+def dashboard_stations_sql() -> str:
+    return f"""
+SELECT station, {pretty('station')} AS name, coalesce(latest_aqi, avg_aqi) AS current_aqi,
+       coalesce(latest_pm25, avg_pm25) AS current_pm25,
+       {aqi_cat('coalesce(latest_aqi, avg_aqi)', K.AQI_UNKNOWN_LABEL)} AS band, lat, lon
+FROM ({station_current()})"""
+
+
+def dashboard_traffic_sql() -> str:
+    return f"""SELECT corridor, {pretty('corridor')} AS name, avg_speed_kmh, congestion_level, lat, lon
+FROM ({gold_traffic()})"""
+
+
+def map_points_sql() -> str:
+    return f"""
+SELECT 'station' AS kind, station AS id, name, lat, lon, band AS label FROM ({dashboard_stations_sql()})
+WHERE lat IS NOT NULL AND lon IS NOT NULL
+UNION ALL
+SELECT 'corridor', corridor, name, lat, lon, congestion_level FROM ({dashboard_traffic_sql()})
+WHERE lat IS NOT NULL AND lon IS NOT NULL"""
+
+
+def compass(c: str) -> str:
+    names = ", ".join(f"'{n}'" for n in K.COMPASS)
+    idx = f"(floor({c} / 45.0 + 0.5) % 8)"
+    return (f"CASE WHEN {c} IS NULL THEN '' ELSE coalesce(CASE WHEN {idx} >= 0 THEN "
+            f"[{names}][CAST({idx} AS INTEGER) + 1] END, '') END")
+
+
+def more_oracles() -> dict[str, str]:
+    return {
+        "combined": combined_sql(),
+        "uv_enrich": uv_enrich_sql(),
+        "source_fallback": source_fallback_sql(),
+        "aq_weather_hourly": f"SELECT * EXCLUDE (time), strftime(time, {ISO}) AS time FROM ({training_rows_sql()})",
+        "horizon_samples": horizon_samples_sql(),
+        "sensor_pivot": sensor_pivot_sql(),
+        "props_json": """SELECT event_id, CAST(k AS BIGINT) AS k,
+            to_json({'station': printf('st-%04d', user_id), 'k': k}) AS payload
+            FROM (SELECT *, TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)""",
+        "hourly_arrays_explode": f"""SELECT station, strftime(time, '%Y-%m-%d') AS day,
+            strftime(time, {ISO}) AS time, pm25, aqi FROM ({A.AQ_HOURLY_SQL})""",
+        "stations_view": f"""SELECT station, current_aqi, aqi_category, reading_count, last_updated,
+            weather_updated, temp_c FROM ({station_current()})""",
+        "station_series": f"SELECT station, timestamp, aqi, pm25, pm10, no2, o3 FROM ({aqi_silver()})",
+        "traffic_view": gold_traffic(),
+        "dashboard_stations": dashboard_stations_sql(),
+        "dashboard_traffic": dashboard_traffic_sql(),
+        "map_points": map_points_sql(),
+        "pretty_names": f"SELECT id AS slug, name AS pretty FROM ({map_points_sql()})",
+        "uv_bands": f"""SELECT station, timestamp, TRY_CAST(uv AS DOUBLE) AS uv,
+            {uv_band('TRY_CAST(uv AS DOUBLE)')} AS uv_band FROM ({A.UV_RAW_SQL})""",
+        "wind_octant": f"SELECT station, timestamp, wind_deg, {compass('wind_deg')} AS wind_dir FROM ({weather_silver()})",
+        "horizon_features": horizon_features_sql(),
+        "forecast_time_grid": forecast_time_grid_sql(),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     silver = aqi_silver()
     return {
@@ -246,4 +395,5 @@ def oracle_sql() -> dict[str, str]:
         "worst_best_station": worst_best_sql(),
         "worst_corridor": worst_corridor_sql(),
         "city_weather": city_weather_sql(),
+        **more_oracles(),
     }

@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.functions import constants as K
-from airshed.operators import clean, marts, serving
+from airshed.functions.timeparts import iso_utc
+from airshed.operators import clean, joins, marts, normalize, serving
 from airshed.operators.dedup import latest_by
+from airshed.plans import views
 from airshed.sources import adapters as A
+from airshed.sources.tables import table
 
 RUN_TS = "2024-02-01T00:00:00+00:00"
 DIGITS = 4
@@ -90,6 +93,108 @@ def city_weather(spark: SparkSession, sf: str) -> DataFrame:
     return serving.city_weather(station_current(spark, sf))
 
 
+# ------------------------------------------------------------------ joins
+def combined(spark: SparkSession, sf: str) -> DataFrame:
+    return joins.combined(weather_silver(spark, sf), aqi_silver(spark, sf), RUN_TS)
+
+
+def uv_enrich(spark: SparkSession, sf: str) -> DataFrame:
+    out = joins.uv_enrich(weather_silver(spark, sf), A.uv_raw(spark, sf))
+    return out.select("station", "timestamp", "uv_index", "uv", "uv_max")
+
+
+def source_fallback(spark: SparkSession, sf: str) -> DataFrame:
+    primary, secondary = A.aqi_feeds(spark, sf)
+    return joins.source_fallback(primary, secondary)
+
+
+def _training_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return joins.hourly_training_rows(A.aq_hourly(spark, sf), A.wx_hourly(spark, sf))
+
+
+def aq_weather_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    return _training_rows(spark, sf).withColumn("time", iso_utc("time"))
+
+
+def horizon_samples(spark: SparkSession, sf: str) -> DataFrame:
+    return joins.horizon_samples(_training_rows(spark, sf)).withColumn("time", iso_utc("time"))
+
+
+# ------------------------------------------------------------------ normalisers
+def sensor_pivot(spark: SparkSession, sf: str) -> DataFrame:
+    return normalize.sensor_pivot(A.sensor_long(spark, sf))
+
+
+def props_json(spark: SparkSession, sf: str) -> DataFrame:
+    ev = table(spark, sf, "events")
+    k = F.from_json(F.col("props"), "k INT").getField("k")
+    rec = ev.select("event_id", F.format_string("st-%04d", F.col("user_id")).alias("station"),
+                    k.alias("k"))
+    return rec.select("event_id", F.col("k").cast("long").alias("k"),
+                      F.to_json(F.struct("station", "k")).alias("payload"))
+
+
+def hourly_arrays_explode(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly series packed as a day's parallel arrays (the forecast payload shape), then
+    normalised back to rows: JSN7 zip + first 24, JSN8 inline.  A day holds at most 24 hourly
+    entries, so each packed group is bounded."""
+    aq = A.aq_hourly(spark, sf).withColumn("day", F.date_format("time", "yyyy-MM-dd"))
+    packed = (aq.groupBy("station", "day")
+                .agg(F.array_sort(F.collect_list(F.struct("time", "pm25", "aqi"))).alias("h"))
+                .select("station", "day",
+                        F.transform("h", lambda x: iso_utc(x["time"])).alias("time"),
+                        F.transform("h", lambda x: x["pm25"]).alias("pm25"),
+                        F.transform("h", lambda x: x["aqi"]).alias("aqi")))
+    return normalize.explode_hourly(packed, ["station", "day"],
+                                    {"time": F.col("time"), "pm25": F.col("pm25"),
+                                     "aqi": F.col("aqi")}, limit=24)
+
+
+# ------------------------------------------------------------------ views and functions
+def stations_view(spark: SparkSession, sf: str) -> DataFrame:
+    return views.stations(station_current(spark, sf))
+
+
+def station_series(spark: SparkSession, sf: str) -> DataFrame:
+    return views.station_series(ml_features(spark, sf))
+
+
+def traffic_view(spark: SparkSession, sf: str) -> DataFrame:
+    return views.traffic(gold_traffic(spark, sf))
+
+
+def dashboard_stations(spark: SparkSession, sf: str) -> DataFrame:
+    return views.dashboard_stations(station_current(spark, sf))
+
+
+def dashboard_traffic(spark: SparkSession, sf: str) -> DataFrame:
+    return views.dashboard_traffic(gold_traffic(spark, sf))
+
+
+def map_points(spark: SparkSession, sf: str) -> DataFrame:
+    return views.map_points(station_current(spark, sf), gold_traffic(spark, sf))
+
+
+def pretty_names(spark: SparkSession, sf: str) -> DataFrame:
+    return map_points(spark, sf).select(F.col("id").alias("slug"), F.col("name").alias("pretty"))
+
+
+def uv_bands(spark: SparkSession, sf: str) -> DataFrame:
+    return views.uv_bands(A.uv_raw(spark, sf))
+
+
+def wind_octant(spark: SparkSession, sf: str) -> DataFrame:
+    return views.wind_octants(weather_silver(spark, sf))
+
+
+def horizon_features(spark: SparkSession, sf: str) -> DataFrame:
+    return views.scoring_features(station_current(spark, sf), RUN_TS)
+
+
+def forecast_time_grid(spark: SparkSession, sf: str) -> DataFrame:
+    return views.forecast_time_grid(station_current(spark, sf), RUN_TS)
+
+
 QUERIES = {
     "aqi_silver": aqi_silver,
     "silver_dirty_casts": silver_dirty_casts,
@@ -107,4 +212,23 @@ QUERIES = {
     "worst_best_station": worst_best_station,
     "worst_corridor": worst_corridor,
     "city_weather": city_weather,
+    "combined": combined,
+    "uv_enrich": uv_enrich,
+    "source_fallback": source_fallback,
+    "aq_weather_hourly": aq_weather_hourly,
+    "horizon_samples": horizon_samples,
+    "sensor_pivot": sensor_pivot,
+    "props_json": props_json,
+    "hourly_arrays_explode": hourly_arrays_explode,
+    "stations_view": stations_view,
+    "station_series": station_series,
+    "traffic_view": traffic_view,
+    "dashboard_stations": dashboard_stations,
+    "dashboard_traffic": dashboard_traffic,
+    "map_points": map_points,
+    "pretty_names": pretty_names,
+    "uv_bands": uv_bands,
+    "wind_octant": wind_octant,
+    "horizon_features": horizon_features,
+    "forecast_time_grid": forecast_time_grid,
 }
