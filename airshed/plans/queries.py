@@ -195,6 +195,49 @@ def forecast_time_grid(spark: SparkSession, sf: str) -> DataFrame:
     return views.forecast_time_grid(station_current(spark, sf), RUN_TS)
 
 
+# ------------------------------------------------------------------ forecast model (rows-only)
+_TRAINED: dict = {}
+
+
+def trained(spark: SparkSession, sf: str):
+    """Fit once per (application, data dir); later queries reuse the fitted pipeline."""
+    from airshed.ml import model as M
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TRAINED:
+        _TRAINED[key] = M.train(joins.horizon_samples(_training_rows(spark, sf)))
+    return _TRAINED[key]
+
+
+def train_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    from airshed.ml import model as M
+    return M.metrics_frame(spark, trained(spark, sf))
+
+
+def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
+    from airshed.ml import model as M
+    return M.importances(spark, trained(spark, sf))
+
+
+def nowcast(spark: SparkSession, sf: str) -> DataFrame:
+    from airshed.ml import scoring
+    return scoring.nowcast(trained(spark, sf).model, station_current(spark, sf), RUN_TS)
+
+
+def forecast_curve(spark: SparkSession, sf: str) -> DataFrame:
+    from airshed.ml import scoring
+    return scoring.curve(trained(spark, sf).model, station_current(spark, sf), RUN_TS)
+
+
+def forecast_peak(spark: SparkSession, sf: str) -> DataFrame:
+    from airshed.ml import scoring
+    return scoring.peak(forecast_curve(spark, sf))
+
+
+def trend(spark: SparkSession, sf: str) -> DataFrame:
+    from airshed.ml import scoring
+    return scoring.trend(trained(spark, sf).model, station_current(spark, sf), RUN_TS)
+
+
 QUERIES = {
     "aqi_silver": aqi_silver,
     "silver_dirty_casts": silver_dirty_casts,
@@ -231,4 +274,10 @@ QUERIES = {
     "wind_octant": wind_octant,
     "horizon_features": horizon_features,
     "forecast_time_grid": forecast_time_grid,
+    "train_metrics": train_metrics,
+    "feature_importance": feature_importance,
+    "nowcast": nowcast,
+    "forecast_curve": forecast_curve,
+    "forecast_peak": forecast_peak,
+    "trend": trend,
 }

@@ -261,10 +261,19 @@ FROM lineitem
 
 
 # ---------------------------------------------------------------- hourly series (training)
+# The training history covers TRAINING_STATIONS stations (as the upstream training set
+# does): users are assigned round-robin, every event is used.
+TRAINING_STATIONS = 10
+
+
+def _training_station(user_id: Column) -> Column:
+    return F.format_string("ts-%02d", F.pmod(user_id, F.lit(TRAINING_STATIONS)))
+
+
 def _hourly(spark, sf_dir, types: list[str], metrics: dict) -> DataFrame:
     from airshed.functions.numeric import exact_avg
     ev = _events(spark, sf_dir).filter(F.col("event_type").isin(types))
-    return (ev.groupBy(F.format_string("st-%04d", F.col("user_id")).alias("station"),
+    return (ev.groupBy(_training_station(F.col("user_id")).alias("station"),
                        F.date_trunc("hour", F.col("ts")).alias("time"))
               .agg(*[exact_avg(expr).alias(name) for name, expr in metrics.items()]))
 
@@ -294,7 +303,7 @@ _EV_K = ("(SELECT *, CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER)
          " AS k FROM events)")
 
 AQ_HOURLY_SQL = f"""
-SELECT printf('st-%04d', user_id) AS station, date_trunc('hour', ts) AS time,
+SELECT printf('ts-%02d', user_id % {TRAINING_STATIONS}) AS station, date_trunc('hour', ts) AS time,
        {_exact_avg_sql("value * 0.5::DOUBLE")} AS pm25,
        {_exact_avg_sql("value * 0.8::DOUBLE + k * 0.1::DOUBLE")} AS pm10,
        {_exact_avg_sql("k * 0.3::DOUBLE + 1.0::DOUBLE")} AS no2,
@@ -305,7 +314,7 @@ GROUP BY 1, 2
 """
 
 WX_HOURLY_SQL = f"""
-SELECT printf('st-%04d', user_id) AS station, date_trunc('hour', ts) AS time,
+SELECT printf('ts-%02d', user_id % {TRAINING_STATIONS}) AS station, date_trunc('hour', ts) AS time,
        {_exact_avg_sql("20.0::DOUBLE + value * 0.05::DOUBLE")} AS temp_c,
        {_exact_avg_sql("40.0::DOUBLE + k * 0.5::DOUBLE")} AS humidity_pct,
        {_exact_avg_sql("value * 0.02::DOUBLE")} AS wind_speed_ms
