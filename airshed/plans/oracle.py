@@ -368,6 +368,15 @@ def more_oracles() -> dict[str, str]:
         "wind_octant": f"SELECT station, timestamp, wind_deg, {compass('wind_deg')} AS wind_dir FROM ({weather_silver()})",
         "horizon_features": horizon_features_sql(),
         "forecast_time_grid": forecast_time_grid_sql(),
+        "ingest_stream": f"""
+SELECT 'aqi' AS dir, count(*) AS rows, count(DISTINCT station) AS entities FROM ({A.AQI_RAW_SQL})
+UNION ALL
+SELECT 'weather', count(*), count(DISTINCT station) FROM (
+    SELECT station FROM ({A.WEATHER_RAW_SQL}) UNION ALL SELECT station FROM ({A.WIND_RAW_SQL}))
+UNION ALL
+SELECT 'uv', count(*), count(DISTINCT station) FROM ({A.UV_RAW_SQL})
+UNION ALL
+SELECT 'traffic', count(*), count(DISTINCT corridor) FROM ({A.TRAFFIC_RAW_SQL})""",
     }
 
 

@@ -195,6 +195,37 @@ def forecast_time_grid(spark: SparkSession, sf: str) -> DataFrame:
     return views.forecast_time_grid(station_current(spark, sf), RUN_TS)
 
 
+# ------------------------------------------------------------------ streaming landing
+STREAM_FEEDS = [("aqi-raw", A.aqi_raw, "station"), ("weather-raw", A.weather_raw, "station"),
+                ("wind-raw", A.wind_raw, "station"), ("uv-raw", A.uv_raw, "station"),
+                ("traffic-raw", A.traffic_raw, "corridor")]
+
+
+def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """STR1-STR7 end to end: every feed record is published as a ``{topic, value}`` envelope
+    into a landing folder, the landing stream (availableNow) routes it to bronze, and the
+    landed bronze is read back and parsed: rows and entities per bronze dir."""
+    import uuid
+
+    from airshed.session import scratch_path
+    from airshed.streaming import ingest
+
+    base = scratch_path(spark, f"ingest-{uuid.uuid4().hex}")
+    env = None
+    for topic, fn, _key in STREAM_FEEDS:
+        df = fn(spark, sf)
+        e = df.select(F.lit(topic).alias("topic"), F.to_json(F.struct(*df.columns)).alias("value"))
+        env = e if env is None else env.unionByName(e)
+    env.write.mode("overwrite").json(f"{base}/landing")
+    q = ingest.start_landing(ingest.file_source(spark, f"{base}/landing"), f"{base}/bronze",
+                             f"{base}/_checkpoint", available_now=True)
+    q.awaitTermination()
+    landed = spark.read.text(f"{base}/bronze")
+    entity = F.coalesce(F.get_json_object("value", "$.station"), F.get_json_object("value", "$.corridor"))
+    return landed.groupBy("dir").agg(F.count(F.lit(1)).alias("rows"),
+                                     F.countDistinct(entity).alias("entities"))
+
+
 # ------------------------------------------------------------------ forecast model (rows-only)
 _TRAINED: dict = {}
 
@@ -274,6 +305,7 @@ QUERIES = {
     "wind_octant": wind_octant,
     "horizon_features": horizon_features,
     "forecast_time_grid": forecast_time_grid,
+    "ingest_stream": ingest_stream,
     "train_metrics": train_metrics,
     "feature_importance": feature_importance,
     "nowcast": nowcast,
