@@ -5,10 +5,10 @@ sides would put a hot entity (a third of all rows) into one task, so the work is
 (key, time bucket):
 
 1. union left and right rows, window per (key, bucket) ordered by time with right rows
-   first on ties -> the in-bucket match (``last(..., ignorenulls)``);
-2. per (key, bucket) the bucket's last right row (a partial aggregate), plus the buckets
-   that hold left rows; a window per key over this *bucket-level* table carries the last
-   right row of earlier buckets forward;
+   first on ties -> the in-bucket match (``last(..., ignorenulls)``) and, in the same pass,
+   the bucket's last right row;
+2. a window per key over the *bucket-level* table (one row per key and bucket) carries the
+   last right row of earlier buckets forward;
 3. left rows without an in-bucket match take the carried value (equi-join on key, bucket).
 
 The result is exact (no search limit): a match any number of buckets back is found through
@@ -45,22 +45,20 @@ def asof_left_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts
     trunc = lambda c: F.date_trunc(bucket, c)
 
     u = L.unionByName(R).withColumn("_b", trunc(F.col("_t")))
-    w = (Window.partitionBy(*by, "_b").orderBy("_t", "_side", "_rv")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    in_bucket = (u.withColumn("_m", F.last("_rv", ignorenulls=True).over(w))
-                  .filter(F.col("_side") == 1)
-                  .select(*by, "_b", "_lp", "_m"))
-
-    right_last = (R.withColumn("_b", trunc(F.col("_t")))
-                   .groupBy(*by, "_b").agg(F.max_by("_rv", F.struct("_t", "_rv")).alias("_bl")))
-    left_buckets = (L.withColumn("_b", trunc(F.col("_t"))).select(*by, "_b").distinct()
-                     .withColumn("_bl", F.lit(None).cast(right_last.schema["_bl"].dataType)))
-    cw = (Window.partitionBy(*by).orderBy("_b")
-                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (right_last.unionByName(left_buckets)
-             .groupBy(*by, "_b").agg(F.max("_bl").alias("_bl"))
-             .withColumn("_carry", F.last("_bl", ignorenulls=True).over(cw))
-             .select(*by, "_b", "_carry"))
+    part = Window.partitionBy(*by, "_b")
+    upto = part.orderBy("_t", "_side", "_rv").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # One shuffle of both inputs by (key, bucket); both frames run in the same window pass.
+    scanned = u.withColumns({"_m": F.last("_rv", ignorenulls=True).over(upto),
+                             "_bl": F.max_by("_rv", F.when(F.col("_side") == 0,
+                                                           F.struct("_t", "_rv"))).over(whole)})
+    in_bucket = scanned.filter(F.col("_side") == 1).select(*by, "_b", "_lp", "_m")
+    # Bucket-level table (one row per key and bucket, already partitioned by the window);
+    # the carry walks it per key: the last right row of any earlier bucket.
+    cw = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (scanned.groupBy(*by, "_b").agg(F.first("_bl").alias("_bl"))
+                    .withColumn("_carry", F.last("_bl", ignorenulls=True).over(cw))
+                    .select(*by, "_b", "_carry"))
 
     joined = in_bucket.join(carry, on=[*by, "_b"], how="left")
     match = F.coalesce(F.col("_m"), F.col("_carry"))

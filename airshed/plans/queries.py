@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.functions import constants as K
+from airshed.functions.text import padded_id
 from airshed.functions.timeparts import iso_utc
 from airshed.operators import clean, joins, marts, normalize, serving
 from airshed.operators.dedup import latest_by
@@ -128,7 +129,7 @@ def sensor_pivot(spark: SparkSession, sf: str) -> DataFrame:
 def props_json(spark: SparkSession, sf: str) -> DataFrame:
     ev = table(spark, sf, "events")
     k = F.from_json(F.col("props"), "k INT").getField("k")
-    rec = ev.select("event_id", F.format_string("st-%04d", F.col("user_id")).alias("station"),
+    rec = ev.select("event_id", padded_id("st-", F.col("user_id"), 4).alias("station"),
                     k.alias("k"))
     return rec.select("event_id", F.col("k").cast("long").alias("k"),
                       F.to_json(F.struct("station", "k")).alias("payload"))

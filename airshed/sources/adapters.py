@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.functions.numeric import congestion_ratio
+from airshed.functions.text import padded_id
 from airshed.functions.timeparts import iso_utc
 from airshed.sources.tables import table
 
@@ -42,7 +43,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _station_cols(user_id: Column) -> list[Column]:
-    return [F.format_string("st-%04d", user_id).alias("station"),
+    return [padded_id("st-", user_id, 4).alias("station"),
             (_d(-6.1) - user_id.cast("double") * _d(0.001)).alias("lat"),
             (_d(106.6) + user_id.cast("double") * _d(0.002)).alias("lon")]
 
@@ -93,7 +94,7 @@ def aqi_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
     rec = ev_k.select(
         F.when(k == 19, F.lit(None).cast("string"))
-         .otherwise(F.format_string("st-%04d", F.col("user_id"))).alias("station"),
+         .otherwise(padded_id("st-", F.col("user_id"), 4)).alias("station"),
         (_d(-6.1) - F.col("user_id").cast("double") * _d(0.001)).alias("lat"),
         (_d(106.6) + F.col("user_id").cast("double") * _d(0.002)).alias("lon"),
         F.when(k == 23, F.lit("not-a-time")).otherwise(iso_utc("ts")).alias("timestamp"),
@@ -231,7 +232,7 @@ def traffic_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     sk = F.col("l_suppkey").cast("double")
     q = F.col("l_quantity")
     return li.select(
-        F.format_string("co-%04d", F.col("l_suppkey")).alias("corridor"),
+        padded_id("co-", F.col("l_suppkey"), 4).alias("corridor"),
         (_d(-6.2) - sk * _d(0.001)).alias("lat"),
         (_d(106.7) + sk * _d(0.002)).alias("lon"),
         iso_utc(F.col("l_shipdate").cast("timestamp")).alias("timestamp"),
@@ -267,7 +268,7 @@ TRAINING_STATIONS = 10
 
 
 def _training_station(user_id: Column) -> Column:
-    return F.format_string("ts-%02d", F.pmod(user_id, F.lit(TRAINING_STATIONS)))
+    return padded_id("ts-", F.pmod(user_id, F.lit(TRAINING_STATIONS)), 2)
 
 
 def _hourly(spark, sf_dir, types: list[str], metrics: dict) -> DataFrame:
@@ -336,7 +337,7 @@ def sensor_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     for et, n in SENSOR_NAME_BY_EVENT.items():
         name = F.when(F.col("event_type") == et, F.lit(n)).otherwise(name)
     return ev.select(
-        F.format_string("site-%04d", F.col("user_id")).alias("site"),
+        padded_id("site-", F.col("user_id"), 4).alias("site"),
         iso_utc(F.date_trunc("hour", F.col("ts"))).alias("slot"),
         F.struct(F.col("ts"), F.col("event_id")).alias("pos"),
         name.alias("name"),
@@ -369,7 +370,7 @@ def aqi_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         if null_above is not None:
             aqi = F.when(aqi <= null_above, aqi)
         rows = ev.filter(F.col("event_type") == et).select(
-            F.format_string("st-%04d", F.col("user_id")).alias("station"),
+            padded_id("st-", F.col("user_id"), 4).alias("station"),
             iso_utc(F.date_trunc("hour", F.col("ts"))).alias("slot"),
             F.col("ts"), aqi.alias("aqi"), (F.col("value") * _d(0.5)).alias("pm25"),
             F.lit(src).alias("source"))

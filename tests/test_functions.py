@@ -81,3 +81,10 @@ def test_target_rollover(spark):
     df = spark.createDataFrame([(23, 6, 1), (12, 0, 24), (0, 3, 0)], "h int, d int, k int")
     th, td = target_parts("h", "d", "k")
     assert [tuple(r) for r in df.select(th, td).collect()] == [(0, 0), (12, 1), (0, 3)]
+
+
+def test_padded_id_matches_printf(spark):
+    from airshed.functions.text import padded_id
+    vals = [0, 7, 42, 9999, 12345, -5, None]
+    got = [r[0] for r in one_col(spark, vals, "bigint").select(padded_id("co-", "x", 4)).collect()]
+    assert got == ["co-0000", "co-0007", "co-0042", "co-9999", "co-12345", "co--005", None]
