@@ -368,6 +368,24 @@ def more_oracles() -> dict[str, str]:
         "wind_octant": f"SELECT station, timestamp, wind_deg, {compass('wind_deg')} AS wind_dir FROM ({weather_silver()})",
         "horizon_features": horizon_features_sql(),
         "forecast_time_grid": forecast_time_grid_sql(),
+        "aq_payload": f"""SELECT station, lat, lon, timestamp, aqi, pm25, pm10, no2, o3, so2, co,
+            'open-meteo-aq' AS source FROM ({A.AQI_RAW_SQL}) WHERE aqi >= 0""",
+        "aq_fallback_payload": f"""SELECT station, lat, lon, timestamp, CAST(aqi AS VARCHAR) AS aqi, pm25, pm10,
+            no2, o3, so2, co, 'aqicn' AS source FROM ({A.AQI_RAW_SQL}) WHERE aqi >= 0""",
+        "weather_payload": f"""SELECT station, lat, lon, timestamp, temp_c, feels_like_c, humidity_pct, pressure_hpa,
+            wind_speed_ms, CASE WHEN wind_deg > 0 THEN wind_deg ELSE 0.0 END AS wind_deg, wind_gust_ms,
+            visibility_m, clouds_pct, weather_main, weather_desc, rain_1h_mm, uv_index,
+            'openweathermap+openmeteo-uv' AS source
+            FROM ({A.WEATHER_RAW_SQL}) WHERE wind_speed_ms > 0.1""",
+        "traffic_payload": f"""SELECT printf('co-%04d', l_suppkey) AS corridor, -6.2::DOUBLE AS lat, 106.8::DOUBLE AS lon,
+            strftime(l_shipdate, {ISO}) AS timestamp, cur AS current_speed_kmh, 50.0::DOUBLE AS free_flow_kmh,
+            greatest(0.0::DOUBLE, round_even((1.0::DOUBLE - cur / greatest(50.0::DOUBLE, 1.0::DOUBLE))
+                     * 1000.0::DOUBLE, 0) / 1000.0::DOUBLE) AS congestion_ratio,
+            1.0::DOUBLE - l_discount AS confidence, coalesce(l_linestatus = 'F', false) AS road_closure,
+            'tomtom' AS source
+            FROM (SELECT *, CASE WHEN l_returnflag <> 'R' THEN l_quantity ELSE 0.0 END AS cur FROM lineitem)""",
+        "uv_payload": f"""SELECT station, lat, lon, timestamp, uv, uv_max, uv_max_time, ozone, safe_exposure_min,
+            'openuv' AS source FROM ({A.UV_RAW_SQL})""",
         "ingest_stream": f"""
 SELECT 'aqi' AS dir, count(*) AS rows, count(DISTINCT station) AS entities FROM ({A.AQI_RAW_SQL})
 UNION ALL

@@ -151,6 +151,77 @@ def hourly_arrays_explode(spark: SparkSession, sf: str) -> DataFrame:
                                      "aqi": F.col("aqi")}, limit=24)
 
 
+# Payload round trips: feed records are rendered as the upstream API responses (JSON text)
+# and normalised back with the payload normalisers.
+def _meta(df):
+    return F.col("station"), F.col("lat"), F.col("lon"), F.col("timestamp")
+
+
+def aq_payload(spark: SparkSession, sf: str) -> DataFrame:
+    """JSN2: the AQ 'current' response -> AQI record (no AQI -> no record)."""
+    raw = A.aqi_raw(spark, sf)
+    cur = F.struct(F.when(F.col("aqi") >= 0, F.col("aqi")).alias("us_aqi"),
+                   F.col("pm25").alias("pm2_5"), F.col("pm10").alias("pm10"),
+                   F.col("no2").alias("nitrogen_dioxide"), F.col("o3").alias("ozone"),
+                   F.col("so2").alias("sulphur_dioxide"), F.col("co").alias("carbon_monoxide"))
+    body = raw.select("station", "lat", "lon", "timestamp",
+                      F.to_json(F.struct(cur.alias("current"))).alias("body"))
+    return normalize.aq_current(body, *_meta(body))
+
+
+def aq_fallback_payload(spark: SparkSession, sf: str) -> DataFrame:
+    """JSN3: fallback response with a status gate and nested iaqi values."""
+    raw = A.aqi_raw(spark, sf)
+    iaqi = F.struct(*[F.struct(F.col(p).alias("v")).alias(p) for p in ["pm25", "pm10", "no2", "o3", "so2", "co"]])
+    status = F.when(F.col("aqi") < 0, F.lit("error")).otherwise(F.lit("ok"))
+    body = raw.select("station", "lat", "lon", "timestamp", F.to_json(F.struct(
+        status.alias("status"),
+        F.struct(F.col("aqi").cast("string").alias("aqi"), iaqi.alias("iaqi")).alias("data"))).alias("body"))
+    return normalize.aq_fallback(body, *_meta(body))
+
+
+def weather_payload(spark: SparkSession, sf: str) -> DataFrame:
+    """JSN4: weather response flatten with defaults; a response without a wind block (calm,
+    zero wind speed) is rejected."""
+    raw = A.weather_raw(spark, sf)
+    wind = F.when(F.col("wind_speed_ms") > 0.1, F.struct(
+        F.col("wind_speed_ms").alias("speed"),
+        F.when(F.col("wind_deg") > 0, F.col("wind_deg")).alias("deg"),
+        F.col("wind_gust_ms").alias("gust")))
+    body = raw.select("station", "lat", "lon", "timestamp", "uv_index", F.to_json(F.struct(
+        F.struct(F.col("temp_c").alias("temp"), F.col("feels_like_c").alias("feels_like"),
+                 F.col("humidity_pct").alias("humidity"), F.col("pressure_hpa").alias("pressure")).alias("main"),
+        wind.alias("wind"), F.struct(F.col("clouds_pct").alias("all")).alias("clouds"),
+        F.col("visibility_m").alias("visibility"),
+        F.array(F.struct(F.col("weather_main").alias("main"),
+                         F.col("weather_desc").alias("description"))).alias("weather"),
+        F.when(F.col("rain_1h_mm") > 0, F.struct(F.col("rain_1h_mm").alias("1h"))).alias("rain"))).alias("body"))
+    return normalize.weather_payload(body, *_meta(body), uv=F.col("uv_index"))
+
+
+def traffic_payload(spark: SparkSession, sf: str) -> DataFrame:
+    """JSN5: flow response with defaults (missing speed -> 0 when the line is returned)."""
+    li = table(spark, sf, "lineitem")
+    seg = F.struct(F.when(F.col("l_returnflag") != "R", F.col("l_quantity")).alias("currentSpeed"),
+                   F.lit(50.0).alias("freeFlowSpeed"), (F.lit(1.0) - F.col("l_discount")).alias("confidence"),
+                   F.when(F.col("l_linestatus") == "F", F.lit(True)).alias("roadClosure"))
+    body = li.select(padded_id("co-", F.col("l_suppkey"), 4).alias("corridor"),
+                     F.lit(-6.2).alias("lat"), F.lit(106.8).alias("lon"),
+                     iso_utc(F.col("l_shipdate").cast("timestamp")).alias("timestamp"),
+                     F.to_json(F.struct(seg.alias("flowSegmentData"))).alias("body"))
+    return normalize.traffic_payload(body, F.col("corridor"), F.col("lat"), F.col("lon"), F.col("timestamp"))
+
+
+def uv_payload(spark: SparkSession, sf: str) -> DataFrame:
+    """JSN6: UV response flatten incl. the nested safe exposure time."""
+    raw = A.uv_raw(spark, sf)
+    body = raw.select("station", "lat", "lon", "timestamp", F.to_json(F.struct(F.struct(
+        F.col("uv").alias("uv"), F.col("uv_max").alias("uv_max"), F.col("uv_max_time").alias("uv_max_time"),
+        F.col("ozone").alias("ozone"),
+        F.struct(F.col("safe_exposure_min").alias("st2")).alias("safe_exposure_time")).alias("result"))).alias("body"))
+    return normalize.uv_payload(body, *_meta(body))
+
+
 # ------------------------------------------------------------------ views and functions
 def stations_view(spark: SparkSession, sf: str) -> DataFrame:
     return views.stations(station_current(spark, sf))
@@ -295,6 +366,11 @@ QUERIES = {
     "sensor_pivot": sensor_pivot,
     "props_json": props_json,
     "hourly_arrays_explode": hourly_arrays_explode,
+    "aq_payload": aq_payload,
+    "aq_fallback_payload": aq_fallback_payload,
+    "weather_payload": weather_payload,
+    "traffic_payload": traffic_payload,
+    "uv_payload": uv_payload,
     "stations_view": stations_view,
     "station_series": station_series,
     "traffic_view": traffic_view,
