@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from airshed.functions import constants as K
 from airshed.ml.dataset import check_size, split
+from airshed.session import checkpoint_dir
 
 # MLlib caps tree depth at 30; the upstream forest grows unlimited depth, bounded in
 # practice by the minimum leaf size.
@@ -28,7 +29,10 @@ def build_pipeline(num_trees: int = K.RF_TREES, max_depth: int = MAX_DEPTH,
                                predictionCol="prediction", numTrees=num_trees,
                                maxDepth=max_depth, minInstancesPerNode=K.RF_MIN_LEAF,
                                subsamplingRate=K.RF_SUBSAMPLE, featureSubsetStrategy="all",
-                               seed=seed)
+                               seed=seed,
+                               # deep trees: keep node ids cached (checkpointed every 10
+                               # levels) and split more nodes per pass over the data
+                               cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1024)
     return Pipeline(stages=[assembler, rf])
 
 
@@ -48,6 +52,7 @@ class Trained:
 def train(samples: DataFrame, num_trees: int = K.RF_TREES, max_depth: int = MAX_DEPTH) -> Trained:
     """ML3-ML6: gate, split, fit, evaluate on the hold-out."""
     n = check_size(samples)
+    checkpoint_dir(samples.sparkSession)
     train_df, test_df = split(samples)
     model = build_pipeline(num_trees, max_depth).fit(_as_features(train_df))
     pred = model.transform(_as_features(test_df))
