@@ -51,8 +51,11 @@ class Trained:
 
 def train(samples: DataFrame, num_trees: int = K.RF_TREES, max_depth: int = MAX_DEPTH) -> Trained:
     """ML3-ML6: gate, split, fit, evaluate on the hold-out."""
-    n = check_size(samples)
     checkpoint_dir(samples.sparkSession)
+    # The sample join feeds the size gate, the station count, the fit and the evaluation:
+    # materialise it once in the shared checkpoint folder instead of recomputing it.
+    samples = samples.checkpoint(eager=True)
+    n = check_size(samples)
     train_df, test_df = split(samples)
     model = build_pipeline(num_trees, max_depth).fit(_as_features(train_df))
     pred = model.transform(_as_features(test_df))
