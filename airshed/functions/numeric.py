@@ -43,11 +43,18 @@ def clamp_prediction(c) -> Column:
 
 
 def exact_avg(c, scale: int = 6) -> Column:
-    """Average with an exact decimal sum: the same double on any partitioning.
-
-    Inputs are taken to ``scale`` decimals; nulls (and values that do not convert, e.g.
-    NaN) are ignored, as ``avg`` ignores nulls.  The decimal sum is associative, so the
-    result does not depend on task order — reruns and oracle engines agree exactly.
+    """Average with an exact sum: the same double on any partitioning and task order.
+
+    Values are taken in units of 10^-scale (``rint``), split into a whole part and a
+    non-negative remainder, and both are summed as longs - hash-aggregatable, codegen'd and
+    associative.  The parts are recombined as a decimal and divided by the count, so the
+    result is the correctly rounded double of (exact sum / count).  Nulls, NaN and values
+    beyond the long range are ignored, as ``avg`` ignores nulls.  A group whose remainders
+    exceed the long range (over ~9e12 rows) fails loudly under ANSI mode, never silently.
     """
-    d = _col(c).try_cast(f"decimal(18,{scale})")
-    return F.try_divide(F.sum(d).cast("double"), F.count(d).cast("double"))
+    unit = 10 ** scale
+    u = F.rint(_col(c).cast("double") * float(unit)).try_cast("long")
+    frac = F.pmod(u, F.lit(unit))
+    whole = ((u - frac) / F.lit(unit)).cast("long")
+    total = (F.sum(whole).cast("decimal(38,0)") * F.lit(unit) + F.sum(frac)) / F.lit(unit)
+    return F.try_divide(total.cast("double"), F.count(u).cast("double"))
