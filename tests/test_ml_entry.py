@@ -82,3 +82,13 @@ def test_queries_match_duckdb_at_sf0001(spark, name):
     want = sorted((tuple(dict(zip(names, r))[c] for c in cols) for r in cur.fetchall()), key=repr)
     assert sorted(names) == cols
     assert got == want
+
+
+def test_results_do_not_depend_on_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        rows = E.queries()["aqi_silver"](spark, SF).orderBy("station", "timestamp").limit(3).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ts = rows[0].timestamp
+    assert rows[0].date == ts[:10] and rows[0].hour == int(ts[11:13])
