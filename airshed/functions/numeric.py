@@ -47,8 +47,8 @@ def exact_avg(c, scale: int = 6) -> Column:
 
     Values are taken in units of 10^-scale (``rint``), split into a whole part and a
     non-negative remainder, and both are summed as longs - hash-aggregatable, codegen'd and
-    associative.  The parts are recombined as a decimal and divided by the count, so the
-    result is the correctly rounded double of (exact sum / count).  Nulls, NaN and values
+    associative.  The parts are recombined as an exact decimal sum; the result is
+    ``double(exact sum) / count``, bit-identical whatever the partitioning or task order.  Nulls, NaN and values
     beyond the long range are ignored, as ``avg`` ignores nulls.  A group whose remainders
     exceed the long range (over ~9e12 rows) fails loudly under ANSI mode, never silently.
     """

@@ -56,6 +56,9 @@ def asof_left_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts
     # Bucket-level table (one row per key and bucket, already partitioned by the window);
     # the carry walks it per key: the last right row of any earlier bucket.
     cw = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    # The carry branch reads the inputs a second time (pruned to key, time and right
+    # payload); in the jobs the inputs are written silver tables, so that is a narrow
+    # columnar re-scan, not a re-run of the cleaning.
     carry = (scanned.groupBy(*by, "_b").agg(F.first("_bl").alias("_bl"))
                     .withColumn("_carry", F.last("_bl", ignorenulls=True).over(cw))
                     .select(*by, "_b", "_carry"))

@@ -4,7 +4,7 @@ join (JN4), horizon self-join (JN5) and the now-vs-future pairing (JN9).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airshed.functions import constants as K
@@ -70,23 +70,27 @@ def hourly_training_rows(aq: DataFrame, wx: DataFrame, tz: str = K.TRAINING_TZ)
 def horizon_samples(rows: DataFrame, horizons=K.HORIZONS, tz: str = K.TRAINING_TZ) -> DataFrame:
     """JN5 / ML2: pair the observation at t with the AQI at t + h for every horizon h.
 
-    Exact-time equi-join (gaps in the series simply produce no pair): the observation side
-    is exploded over the horizon list and joined on (station, target time), a key with no
-    skew however unbalanced the stations are.
+    Exact-time pairing (a gap in the series simply yields no pair), computed without a
+    self-join: every hourly row is exploded over the horizons and keyed by its target time
+    t + h.  The row whose own time *is* that target (its h = 0 copy) carries the target AQI,
+    so a window per (station, target time) - at most one row per horizon, i.e. bounded -
+    hands it to the other copies.  The hourly rows are read once and shuffled once, on a key
+    without skew however unbalanced the stations are.
     """
-    hs = F.array(*[F.lit(int(h)) for h in sorted(set(horizons))])
-    obs = (rows.select("station", "time", *K.CURRENT_COLS)
-               .withColumn("horizon_h", F.explode(hs))
-               .withColumn("target_time", F.col("time") + F.make_dt_interval(
-                   F.lit(0), F.col("horizon_h"))))
-    target = rows.select("station", F.col("time").alias("target_time"),
-                         F.col("aqi").alias("aqi_target"))
-    j = obs.join(target, on=["station", "target_time"], how="inner")
+    hs = sorted(set(int(h) for h in horizons) | {0})
+    x = (rows.select("station", "time", "aqi", *K.CURRENT_COLS)
+             .withColumn("horizon_h", F.explode(F.array(*[F.lit(h) for h in hs])))
+             .withColumn("target_time", F.col("time") + F.make_dt_interval(F.lit(0), F.col("horizon_h"))))
+    same_target = Window.partitionBy("station", "target_time")
+    x = x.withColumn("aqi_target", F.max(F.when(F.col("horizon_h") == 0, F.col("aqi"))).over(same_target))
+    if 0 not in set(int(h) for h in horizons):
+        x = x.filter(F.col("horizon_h") != 0)
     local = F.from_utc_timestamp(F.col("target_time"), tz)
-    return j.select("station", "time", *K.CURRENT_COLS, "aqi_target",
-                    F.col("horizon_h").cast("long").alias("horizon_h"),
-                    F.hour(local).cast("long").alias("target_hour"),
-                    F.weekday(local).cast("long").alias("target_dayofweek"))
+    return (x.filter(F.col("aqi_target").isNotNull())
+             .select("station", "time", *K.CURRENT_COLS, "aqi_target",
+                     F.col("horizon_h").cast("long").alias("horizon_h"),
+                     F.hour(local).cast("long").alias("target_hour"),
+                     F.weekday(local).cast("long").alias("target_dayofweek")))
 
 
 def now_vs_future(forecast: DataFrame, horizon: int = K.TREND_HORIZON) -> DataFrame:

@@ -92,3 +92,10 @@ def test_results_do_not_depend_on_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     ts = rows[0].timestamp
     assert rows[0].date == ts[:10] and rows[0].hour == int(ts[11:13])
+
+
+def test_downsample_and_dims(spark):
+    from airshed.sources import dims
+    curve = spark.createDataFrame([(h,) for h in range(25)], "horizon_h long")
+    assert [r.horizon_h for r in scoring.downsample(curve).collect()] == list(range(0, 25, 3))
+    assert dims.stations(spark).count() == 10 and dims.corridors(spark).count() == 10
