@@ -90,3 +90,21 @@ def test_plain_layout_and_missing(spark, tmpdir_path):
     got = read_json_dir(spark, gold, schemas.AQI).collect()
     assert [r.station for r in got] == ["a"]
     assert read_json_dir(spark, os.path.join(tmpdir_path, "nope"), schemas.AQI).count() == 0
+
+
+def test_since_bound_prunes_dates(spark, tmpdir_path):
+    from airshed.sources.bronze import read_bronze
+    bronze = os.path.join(tmpdir_path, "bronze")
+    for day, n in [("2024-01-01", 2), ("2024-01-02", 3)]:
+        write_lines(f"{bronze}/dir=aqi/ingest_date={day}/part-0.txt",
+                    [json.dumps(aqi_rec("a", f"{day}T0{i}:00:00+00:00", 10)) for i in range(n)])
+    df = read_bronze(spark, bronze, "aqi", since="2024-01-02")
+    assert df.count() == 3
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan
+
+
+def test_kafka_without_connector_says_so(spark):
+    import pytest
+    with pytest.raises(RuntimeError, match="Kafka connector"):
+        ingest.kafka_source(spark, "localhost:9", ["aqi-raw"])
