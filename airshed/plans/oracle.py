@@ -351,7 +351,7 @@ def more_oracles() -> dict[str, str]:
         "horizon_samples": horizon_samples_sql(),
         "sensor_pivot": sensor_pivot_sql(),
         "props_json": """SELECT event_id, CAST(k AS BIGINT) AS k,
-            to_json({'station': printf('st-%04d', user_id), 'k': k}) AS payload
+            CAST(to_json({'station': printf('st-%04d', user_id), 'k': k}) AS VARCHAR) AS payload
             FROM (SELECT *, TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)""",
         "hourly_arrays_explode": f"""SELECT station, strftime(time, '%Y-%m-%d') AS day,
             strftime(time, {ISO}) AS time, pm25, aqi FROM ({A.AQ_HOURLY_SQL})""",
