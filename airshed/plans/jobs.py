@@ -31,6 +31,13 @@ class Lake:
         return f"{self.root}/{layer}/{name}"
 
 
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    """Silver read back for the marts.  It is written partitioned by ``date``; partition
+    discovery would type that column as DATE, so it is returned to its text form."""
+    df = spark.read.parquet(path)
+    return df.withColumn("date", F.col("date").cast("string")) if "date" in df.columns else df
+
+
 @dataclass
 class JobResult:
     job: str
@@ -46,7 +53,7 @@ def run_aqi(spark: SparkSession, lake: Lake, run_ts: str) -> JobResult:
         return JobResult("aqi", True, message="no data in bronze/aqi - skipped")
     rows = {"silver_aqi": write_table(clean.clean_aqi(raw, run_ts), lake.path("silver", "aqi"),
                                       partition_by=["date"])}
-    silver = spark.read.parquet(lake.path("silver", "aqi"))
+    silver = read_silver(spark, lake.path("silver", "aqi"))
     rows["gold_stations"] = write_table(marts.station_gold(silver, run_ts), lake.path("gold", "stations"))
     rows["gold_ml_features"] = write_table(marts.ml_features(silver), lake.path("gold", "ml_features"))
     return JobResult("aqi", True, rows)
@@ -60,9 +67,10 @@ def run_weather(spark: SparkSession, lake: Lake, run_ts: str) -> JobResult:
         return JobResult("weather", True, message="no data in bronze/weather - skipped")
     rows = {"silver_weather": write_table(clean.clean_weather(raw, run_ts),
                                           lake.path("silver", "weather"), partition_by=["date"])}
-    silver = spark.read.parquet(lake.path("silver", "weather"))
+    silver = read_silver(spark, lake.path("silver", "weather"))
     rows["gold_weather"] = write_table(marts.weather_gold(silver, run_ts), lake.path("gold", "weather"))
     aqi = read_table(spark, lake.path("silver", "aqi"))
+    aqi = None if aqi is None else read_silver(spark, lake.path("silver", "aqi"))
     msg = ""
     if aqi is None:
         msg = "combined view skipped (AQI silver not ready)"

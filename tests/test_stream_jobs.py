@@ -68,6 +68,8 @@ def test_pipeline_jobs_over_paths(spark, tmpdir_path):
     assert status["aqi"].rows["silver_aqi"] == 4 and status["aqi"].rows["gold_stations"] == 1
     assert status["weather"].rows["silver_combined"] == 2
     assert "skipped" in status["traffic"].message
+    feats = spark.read.parquet(lake.path("gold", "ml_features"))
+    assert dict(feats.dtypes)["date"] == "string" and feats.first().date == "2024-01-01"
     comb = spark.read.parquet(lake.path("silver", "combined")).orderBy("timestamp").collect()
     assert [r.aqi for r in comb] == [20.0, 40.0]
     out = jobs.refresh_marts(spark, lake)
