@@ -12,7 +12,8 @@ from airshed.functions.timeparts import parse_ts
 from airshed.operators.asof import asof_left_join
 
 
-def combined(weather_silver: DataFrame, aqi_silver: DataFrame, run_ts: str) -> DataFrame:
+def combined(weather_silver: DataFrame, aqi_silver: DataFrame, run_ts: str,
+             bucket: str = "hour") -> DataFrame:
     """JN2, re-aimed: each weather reading + the AQI reading of its station in force at that
     time (the latest at or before it).
 
@@ -23,17 +24,17 @@ def combined(weather_silver: DataFrame, aqi_silver: DataFrame, run_ts: str) -> D
     aqi_cols = [c for c in K.COMBINED_AQI_COLS if c in aqi_silver.columns]
     left = weather_silver.withColumn("_lts", parse_ts(F.col("timestamp")))
     right = aqi_silver.select("station", parse_ts(F.col("timestamp")).alias("_rts"), *aqi_cols)
-    out = asof_left_join(left, right, ["station"], "_lts", "_rts", aqi_cols)
+    out = asof_left_join(left, right, ["station"], "_lts", "_rts", aqi_cols, bucket)
     return out.drop("_lts").withColumn("processed_at", F.lit(run_ts))
 
 
-def uv_enrich(weather_silver: DataFrame, uv_readings: DataFrame) -> DataFrame:
+def uv_enrich(weather_silver: DataFrame, uv_readings: DataFrame, bucket: str = "hour") -> DataFrame:
     """JN7: attach the UV reading in force at each weather reading (NULL when none yet)."""
     left = weather_silver.withColumn("_lts", parse_ts(F.col("timestamp")))
     right = uv_readings.select("station", parse_ts(F.col("timestamp")).alias("_rts"),
                                F.col("uv").try_cast("double").alias("uv"),
                                F.col("uv_max").try_cast("double").alias("uv_max"))
-    return asof_left_join(left, right, ["station"], "_lts", "_rts", ["uv", "uv_max"]).drop("_lts")
+    return asof_left_join(left, right, ["station"], "_lts", "_rts", ["uv", "uv_max"], bucket).drop("_lts")
 
 
 def source_fallback(primary: DataFrame, secondary: DataFrame, keys=("station", "slot"),

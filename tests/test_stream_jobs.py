@@ -110,3 +110,20 @@ def test_kafka_without_connector_says_so(spark):
     import pytest
     with pytest.raises(RuntimeError, match="Kafka connector"):
         ingest.kafka_source(spark, "localhost:9", ["aqi-raw"])
+
+
+def test_stream_to_marts_end_to_end(spark, tmpdir_path):
+    src, bronze, ck = (os.path.join(tmpdir_path, d) for d in ("in", "bronze", "ck"))
+    T = "2024-01-01T0{}:00:00+00:00"
+    lines = ([envelope("aqi-raw", aqi_rec(st, T.format(i), 30 * i)) for st in "ab" for i in range(1, 4)]
+             + [envelope("weather-raw", weather_rec("a", T.format(2), 31.0))]
+             + [envelope("traffic-raw", traffic_rec("c", T.format(i), 0.1 * i)) for i in range(1, 6)])
+    write_lines(os.path.join(src, "b1.json"), lines)
+    ingest.start_landing(ingest.file_source(spark, src), bronze, ck, available_now=True).awaitTermination()
+    lake = jobs.Lake(bronze=bronze, root=os.path.join(tmpdir_path, "lake"))
+    status = {r.job: r for r in jobs.run_pipeline(spark, lake, "2024-01-02T00:00:00+00:00").collect()}
+    assert status["aqi"].rows == {"silver_aqi": 6, "gold_stations": 2, "gold_ml_features": 6}
+    assert status["traffic"].rows == {"gold_traffic": 1}
+    assert jobs.refresh_marts(spark, lake) == {"stations": 2, "corridors": 1}
+    cur = {r.station: r for r in spark.read.parquet(lake.path("serving", "station_current")).collect()}
+    assert cur["a"].temp_c == 31.0 and cur["b"].temp_c is None and cur["a"].latest_aqi == 90.0
