@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airshed.functions import constants as K
 from airshed.functions.text import padded_id
 from airshed.functions.timeparts import iso_utc
 from airshed.operators import clean, joins, marts, normalize, serving

@@ -1,6 +1,5 @@
 import math
 
-from pyspark.sql import functions as F
 
 from airshed.functions import (aqi_category, clamp_prediction, compass_point, congestion_level,
                                congestion_ratio, current_value, default_fill, exact_avg,
