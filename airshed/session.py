@@ -19,16 +19,38 @@ DEFAULT_CONF = {
 }
 
 
+# Cluster profile for inputs in the 10-100 TB range.  Shuffles start wide (AQE merges small
+# partitions down to the advisory size after each map stage, so starting wide only costs
+# map-side bookkeeping), file splits are large enough to keep task counts manageable, hot
+# partitions are split by the skew-join rule, and the runtime broadcast threshold is the only
+# place a join side is broadcast without an explicit, bounded dimension.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+    "spark.sql.files.maxRecordsPerFile": "50000000",
+}
+
+
 def get_spark(master: str | None = None, app: str = "airshed",
-              shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, conf: dict | None = None,
+              profile: str = "local") -> SparkSession:
     """Return (or create) a session with the engine's defaults.
 
-    On a cluster ``master`` stays None and spark-submit decides; tests pass ``local[N]``.
+    On a cluster ``master`` stays None, spark-submit decides, and ``profile="cluster"`` adds
+    the large-input sizing above; tests pass ``local[N]``.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
+    if profile == "cluster":
+        settings.update(CLUSTER_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
