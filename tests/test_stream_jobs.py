@@ -127,3 +127,14 @@ def test_stream_to_marts_end_to_end(spark, tmpdir_path):
     assert jobs.refresh_marts(spark, lake) == {"stations": 2, "corridors": 1}
     cur = {r.station: r for r in spark.read.parquet(lake.path("serving", "station_current")).collect()}
     assert cur["a"].temp_c == 31.0 and cur["b"].temp_c is None and cur["a"].latest_aqi == 90.0
+
+
+def test_cli_runs_pipeline(spark, tmpdir_path):
+    from airshed.plans import run
+    bronze = os.path.join(tmpdir_path, "bronze")
+    write_lines(f"{bronze}/dir=traffic/ingest_date=2024-01-01/part-0.txt",
+                [json.dumps(traffic_rec("c", f"2024-01-01T0{i}:00:00+00:00", 0.5)) for i in range(3)])
+    out = run.main(["--bronze", bronze, "--lake", os.path.join(tmpdir_path, "lake"),
+                    "--run-ts", "2024-01-02T00:00:00+00:00"], spark=spark)
+    assert out["marts"] == {"stations": 0, "corridors": 1}
+    assert {j["job"]: j["ok"] for j in out["jobs"]} == {"aqi": True, "weather": True, "traffic": True}
