@@ -23,6 +23,8 @@ def main(argv=None, spark=None) -> dict:
     ap.add_argument("--plain-bronze", action="store_true", help="<dir>/<date>/* layout")
     ap.add_argument("--train", action="store_true", help="fit and save the forecast model")
     ap.add_argument("--hourly", default=None, help="folder with aq_hourly/ and wx_hourly/ tables")
+    ap.add_argument("--score", action="store_true",
+                    help="score every station with the saved model into forecast marts")
     ap.add_argument("--local", default=None, help="local[N] master for a single-machine run")
     a = ap.parse_args(argv)
 
@@ -42,6 +44,16 @@ def main(argv=None, spark=None) -> dict:
         t = model.train(dataset.training_samples(aq, wx))
         model.save(t, f"{a.lake}/models/forecast")
         out["model"] = {"n_samples": t.n_samples, "mae": round(t.mae, 3), "r2": round(t.r2, 4)}
+    if a.score:
+        from airshed.ml import model, scoring
+        from airshed.plans.sinks import write_table
+        m = model.load(f"{a.lake}/models/forecast")
+        current = spark.read.parquet(lake.path("serving", "station_current"))
+        curve_path = lake.path("serving", "forecast_curve")
+        out["forecast_rows"] = write_table(scoring.curve(m, current, run_ts), curve_path)
+        curve = spark.read.parquet(curve_path)
+        out["peaks"] = write_table(scoring.peak(curve), lake.path("serving", "forecast_peak"))
+        out["trend"] = write_table(scoring.trend(m, current, run_ts), lake.path("serving", "trend"))
     print(json.dumps(out, default=str))
     return out
 

@@ -138,3 +138,25 @@ def test_cli_runs_pipeline(spark, tmpdir_path):
                     "--run-ts", "2024-01-02T00:00:00+00:00"], spark=spark)
     assert out["marts"] == {"stations": 0, "corridors": 1}
     assert {j["job"]: j["ok"] for j in out["jobs"]} == {"aqi": True, "weather": True, "traffic": True}
+
+
+def test_cli_scores_with_saved_model(spark, tmpdir_path):
+    from datetime import datetime, timedelta
+
+    from pyspark.sql import functions as F
+
+    from airshed.ml import dataset, model
+    from airshed.plans import run
+    lake = os.path.join(tmpdir_path, "lake")
+    rows = [(f"s{s}", datetime(2024, 1, 1) + timedelta(hours=h), float(h % 24 + s)) for s in range(3) for h in range(40)]
+    df = spark.createDataFrame(rows, "station string, time timestamp, v double")
+    aq = df.select("station", "time", F.col("v").alias("pm25"), F.col("v").alias("pm10"), F.lit(1.0).alias("no2"),
+                   F.lit(1.0).alias("o3"), (F.col("v") + 5).alias("aqi"))
+    wx = df.select("station", "time", F.lit(28.0).alias("temp_c"), F.lit(70.0).alias("humidity_pct"),
+                   F.lit(2.0).alias("wind_speed_ms"))
+    model.save(model.train(dataset.training_samples(aq, wx), num_trees=3, max_depth=5), f"{lake}/models/forecast")
+    bronze = os.path.join(tmpdir_path, "bronze")
+    write_lines(f"{bronze}/dir=aqi/ingest_date=2024-01-01/part-0.txt",
+                [json.dumps(aqi_rec(st, "2024-01-01T01:00:00+00:00", 40)) for st in "ab"])
+    out = run.main(["--bronze", bronze, "--lake", lake, "--run-ts", "2024-02-01T00:00:00+00:00", "--score"], spark=spark)
+    assert out["forecast_rows"] == 50 and out["peaks"] == 2 and out["trend"] == 2
