@@ -88,9 +88,12 @@ def top_importances(spark: SparkSession, t: Trained, k: int = 5) -> DataFrame:
     return importances(spark, t).limit(k)
 
 
-def save(t: Trained, path: str) -> None:
-    """ML8: persist the fitted pipeline (overwrite)."""
+def save(t: Trained, path: str, spark: SparkSession | None = None) -> None:
+    """ML8: persist the fitted pipeline (overwrite) and, given a session, its one-row
+    metadata document (samples, MAE, R2, feature order, horizons) as JSON next to it."""
     t.model.write().overwrite().save(path)
+    if spark is not None:
+        metrics_frame(spark, t).write.mode("overwrite").json(f"{path}_meta")
 
 
 def load(path: str) -> PipelineModel:

@@ -42,7 +42,7 @@ def main(argv=None, spark=None) -> dict:
         aq = spark.read.parquet(f"{a.hourly}/aq_hourly")
         wx = spark.read.parquet(f"{a.hourly}/wx_hourly")
         t = model.train(dataset.training_samples(aq, wx))
-        model.save(t, f"{a.lake}/models/forecast")
+        model.save(t, f"{a.lake}/models/forecast", spark)
         out["model"] = {"n_samples": t.n_samples, "mae": round(t.mae, 3), "r2": round(t.r2, 4)}
     if a.score:
         from airshed.ml import model, scoring

@@ -35,8 +35,10 @@ def test_gate_split_train_save_load_score(spark, tmpdir_path):
     assert t.n_stations == 3 and t.r2 > 0.5
     assert model.importances(spark, t).count() == 12
     path = os.path.join(tmpdir_path, "model")
-    model.save(t, path)
+    model.save(t, path, spark)
     m = model.load(path)
+    meta = spark.read.json(f"{path}_meta").first()
+    assert meta.n_samples == n and meta.feature_order[0] == "pm25"
     with pytest.raises(FileNotFoundError):
         model.load(os.path.join(tmpdir_path, "missing"))
     cur = spark.createDataFrame([("s0", 5.0, None, 0.0, 1.0, 2.0, 0.0, None, 1.0, 1.0, 28.0, 70.0, 2.0)],
