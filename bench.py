@@ -49,7 +49,11 @@ def main() -> None:
         t = Q.trained(spark, sf_dir)
         times["train_forecast"] = round(time.perf_counter() - t0, 3)
         extra = {"mae": round(t.mae, 3), "r2": round(t.r2, 4), "n_samples": t.n_samples}
-    sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    tag = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    try:
+        sf = float(tag)
+    except ValueError:
+        sf = tag
     print(json.dumps({"metric": "total_query_seconds_warm", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf,
                       "cold_total": round(sum(cold.values()), 3), "cold_queries": cold, **extra}))
