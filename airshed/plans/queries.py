@@ -340,6 +340,25 @@ def trend(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.trend(trained(spark, sf).model, station_current(spark, sf), RUN_TS)
 
 
+def forecast_downsample(spark: SparkSession, sf: str) -> DataFrame:
+    """SRT4: the curve every 3rd hour."""
+    from airshed.ml import scoring
+    return scoring.downsample(forecast_curve(spark, sf))
+
+
+def top_features(spark: SparkSession, sf: str) -> DataFrame:
+    """AGG10: the five most important features."""
+    from airshed.ml import model as M
+    return M.top_importances(spark, trained(spark, sf), 5)
+
+
+def dashboard_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """VW6: dashboard station rows with the +6 h forecast, its band and the trend label."""
+    cur = station_current(spark, sf)
+    t = trend(spark, sf).select("station", "forecast_aqi", "forecast_category", "delta", "trend")
+    return views.dashboard_stations(cur).join(t, on="station", how="left")
+
+
 QUERIES = {
     "aqi_silver": aqi_silver,
     "silver_dirty_casts": silver_dirty_casts,
@@ -388,4 +407,7 @@ QUERIES = {
     "forecast_curve": forecast_curve,
     "forecast_peak": forecast_peak,
     "trend": trend,
+    "forecast_downsample": forecast_downsample,
+    "top_features": top_features,
+    "dashboard_forecast": dashboard_forecast,
 }

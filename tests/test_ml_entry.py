@@ -66,7 +66,8 @@ def test_entry_smoke(spark):
 
 def test_registry_has_oracle_for_sql_queries():
     q, o = E.queries(), E.oracle_sql()
-    rows_only = {"train_metrics", "feature_importance", "nowcast", "forecast_curve", "forecast_peak", "trend"}
+    rows_only = {"train_metrics", "feature_importance", "nowcast", "forecast_curve", "forecast_peak", "trend",
+                 "forecast_downsample", "top_features", "dashboard_forecast"}
     assert set(o) == set(q) - rows_only
 
 
