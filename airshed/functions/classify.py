@@ -46,7 +46,8 @@ def uv_band(c) -> Column:
 
 
 def compass_point(deg) -> Column:
-    """Octant name of a wind direction: index round-half-up(deg/45) mod 8; null -> ''.
+    """Octant name of a wind direction: index round-half-up(deg/45) mod 8; null, NaN or
+    infinite -> ''.
 
     The remainder keeps the sign of the dividend (as the dashboard's ``%`` does), so a
     negative index has no name and yields ''.
@@ -55,7 +56,9 @@ def compass_point(deg) -> Column:
     idx = F.floor(deg / 45.0 + 0.5) % 8
     names = F.array(*[F.lit(n) for n in K.COMPASS])
     name = F.when(idx >= 0, F.element_at(names, (idx + 1).cast("int")))
-    return F.when(deg.isNull(), F.lit("")).otherwise(F.coalesce(name, F.lit("")))
+    # NaN or an infinite angle has no octant (the dashboard shows nothing for it)
+    undefined = deg.isNull() | F.isnan(deg) | (F.abs(deg) == float("inf"))
+    return F.when(undefined, F.lit("")).otherwise(F.coalesce(name, F.lit("")))
 
 
 def pretty_name(slug) -> Column:

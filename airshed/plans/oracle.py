@@ -338,7 +338,7 @@ WHERE lat IS NOT NULL AND lon IS NOT NULL"""
 def compass(c: str) -> str:
     names = ", ".join(f"'{n}'" for n in K.COMPASS)
     idx = f"(floor({c} / 45.0 + 0.5) % 8)"
-    return (f"CASE WHEN {c} IS NULL THEN '' ELSE coalesce(CASE WHEN {idx} >= 0 THEN "
+    return (f"CASE WHEN {c} IS NULL OR isnan({c}) OR isinf({c}) THEN '' ELSE coalesce(CASE WHEN {idx} >= 0 THEN "
             f"[{names}][CAST({idx} AS INTEGER) + 1] END, '') END")
 
 

@@ -39,9 +39,10 @@ def test_uv_band_and_compass(spark):
     got = [r[0] for r in one_col(spark, [0.0, 2.0, 2.1, 5.0, 7.0, 10.0, 11.0, None, float("nan")])
            .select(uv_band("x")).collect()]
     assert got == ["Low", "Low", "Moderate", "Moderate", "High", "Very High", "Extreme", "—", "—"]
-    got = [r[0] for r in one_col(spark, [0.0, 22.5, 44.0, 90.0, 337.4, 337.5, 360.0, None, -100.0])
+    got = [r[0] for r in one_col(spark, [0.0, 22.5, 44.0, 90.0, 337.4, 337.5, 360.0, None, -100.0,
+                                         float("nan"), float("inf")])
            .select(compass_point("x")).collect()]
-    assert got == ["N", "NE", "NE", "E", "NW", "N", "N", "", ""]
+    assert got == ["N", "NE", "NE", "E", "NW", "N", "N", "", "", "", ""]
 
 
 def test_pretty_name_keeps_rest_of_word(spark):
