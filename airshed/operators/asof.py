@@ -5,8 +5,8 @@ sides would put a hot entity (a third of all rows) into one task, so the work is
 (key, time bucket):
 
 1. union left and right rows, window per (key, bucket) ordered by time with right rows
-   first on ties -> the in-bucket match (``last(..., ignorenulls)``) and, in the same pass,
-   the bucket's last right row;
+   first on ties -> the in-bucket match (``last(..., ignorenulls)``) and the bucket's last
+   right row; both branches read the same shuffle of the union (a reused exchange);
 2. a window per key over the *bucket-level* table (one row per key and bucket) carries the
    last right row of earlier buckets forward;
 3. left rows without an in-bucket match take the carried value (equi-join on key, bucket).
@@ -33,37 +33,49 @@ def asof_left_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts
     """
     by = list(by)
     lcols = left.columns
-    rv = F.struct(*[F.col(c) for c in right_cols])
-    R = (right.filter(F.col(right_ts).isNotNull())
-              .filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in by]))
-              .select(*by, F.col(right_ts).alias("_t"), F.lit(0).alias("_side"),
-                      rv.alias("_rv"), F.lit(None).alias("_lp")))
-    lp = F.struct(*[F.col(c) for c in lcols])
-    L = left.select(*[F.col(k) for k in by], F.col(left_ts).alias("_t"), F.lit(1).alias("_side"),
-                    F.lit(None).cast(R.schema["_rv"].dataType).alias("_rv"), lp.alias("_lp"))
-    R = R.withColumn("_lp", F.lit(None).cast(L.schema["_lp"].dataType))
+    lstruct = F.struct(*[F.col(c) for c in lcols])
+    rstruct = F.struct(*[F.col(c) for c in right_cols])
+    l_type = left.select(lstruct.alias("x")).schema["x"].dataType
+    r_type = right.select(rstruct.alias("x")).schema["x"].dataType
+    # Both sides travel in the same two columns - ``_rv`` (right payload, NULL on left rows)
+    # and ``_ord`` = (time, side, {l, r}) - and every window reads exactly these, so the
+    # in-bucket branch and the carry branch need identical inputs and share one shuffle of
+    # them (a reused exchange) instead of reading both inputs twice.
+    def tagged(df, ts, side, l, r):
+        payload = F.struct(l.alias("l"), r.alias("r"))
+        return df.select(*[F.col(k) for k in by], F.col(ts).alias("_t"),
+                         r.alias("_rv"),
+                         F.struct(F.col(ts).alias("t"), F.lit(side).alias("s"),
+                                  payload.alias("p")).alias("_ord"))
+    R = tagged(right.filter(F.col(right_ts).isNotNull())
+                    .filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in by])),
+               right_ts, 1, F.lit(None).cast(l_type), rstruct)
+    L = tagged(left, left_ts, 2, lstruct, F.lit(None).cast(r_type))
     trunc = lambda c: F.date_trunc(bucket, c)
 
     u = L.unionByName(R).withColumn("_b", trunc(F.col("_t")))
-    part = Window.partitionBy(*by, "_b")
-    upto = part.orderBy("_t", "_side", "_rv").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # One shuffle of both inputs by (key, bucket); both frames run in the same window pass.
+    ordered = Window.partitionBy(*by, "_b").orderBy("_ord")
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # right rows sort before left rows of the same time (side 1 < 2): "at or before"
     scanned = u.withColumns({"_m": F.last("_rv", ignorenulls=True).over(upto),
-                             "_bl": F.max_by("_rv", F.when(F.col("_side") == 0,
-                                                           F.struct("_t", "_rv"))).over(whole)})
-    in_bucket = scanned.filter(F.col("_side") == 1).select(*by, "_b", "_lp", "_m")
-    # Bucket-level table (one row per key and bucket, already partitioned by the window);
-    # the carry walks it per key: the last right row of any earlier bucket.
+                             "_bl": F.last("_rv", ignorenulls=True).over(whole)})
+    in_bucket = (scanned.filter(F.col("_ord.s") == 2)
+                        .select(*by, "_b", F.col("_ord.p.l").alias("_lp"), "_m"))
+    # Bucket-level table (one row per key and bucket); the carry walks it per key: the last
+    # right row of any earlier bucket.
     cw = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    # The carry branch reads the inputs a second time (pruned to key, time and right
-    # payload); in the jobs the inputs are written silver tables, so that is a narrow
-    # columnar re-scan, not a re-run of the cleaning.
     carry = (scanned.groupBy(*by, "_b").agg(F.first("_bl").alias("_bl"))
                     .withColumn("_carry", F.last("_bl", ignorenulls=True).over(cw))
                     .select(*by, "_b", "_carry"))
 
-    joined = in_bucket.join(carry, on=[*by, "_b"], how="left")
+    # Null-safe keys: an ordinary equi-join would infer NOT NULL filters and push them into
+    # the carry branch only, making its input differ from (and not reuse) the shared shuffle.
+    # Left rows with a NULL key or time find only a NULL carry either way.
+    c = carry.select(*[F.col(k).alias(f"_c_{k}") for k in by], F.col("_b").alias("_c_b"), "_carry")
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in by]
+                  + [F.col("_b").eqNullSafe(F.col("_c_b"))])
+    joined = in_bucket.join(c, on=cond, how="left")
     match = F.coalesce(F.col("_m"), F.col("_carry"))
     return joined.select(*[F.col(f"_lp.{c}").alias(c) for c in lcols],
                          *[match.getField(c).alias(c) for c in right_cols])
