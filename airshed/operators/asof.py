@@ -7,8 +7,9 @@ sides would put a hot entity (a third of all rows) into one task, so the work is
 1. union left and right rows, window per (key, bucket) ordered by time with right rows
    first on ties -> the in-bucket match (``last(..., ignorenulls)``) and the bucket's last
    right row; both branches read the same shuffle of the union (a reused exchange);
-2. a window per key over the *bucket-level* table (one row per key and bucket) carries the
-   last right row of earlier buckets forward;
+2. over the *bucket-level* table (one row per key and bucket) the last right row of earlier
+   buckets is carried forward: within each super bucket (e.g. the minutes of a day), then
+   across super buckets per key - each window bounded, whatever the skew;
 3. left rows without an in-bucket match take the carried value (equi-join on key, bucket).
 
 The result is exact (no search limit): a match any number of buckets back is found through
@@ -25,11 +26,15 @@ from pyspark.sql import functions as F
 
 
 def asof_left_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str,
-                   right_ts: str, right_cols: Sequence[str], bucket: str = "hour") -> DataFrame:
+                   right_ts: str, right_cols: Sequence[str], bucket: str = "minute",
+                   super_bucket: str = "day") -> DataFrame:
     """Left rows keep all columns; ``right_cols`` of the matched right row are appended.
 
     ``left_ts`` / ``right_ts`` are timestamp columns; rows with a null time or key never
-    match.  ``bucket`` is a ``date_trunc`` unit sizing the split of hot keys.
+    match.  ``bucket`` / ``super_bucket`` are ``date_trunc`` units: rows are ordered within
+    (key, bucket); the carry runs over buckets within (key, super bucket), then over super
+    buckets per key, so every window holds a bounded number of rows (buckets per super
+    bucket, or super buckets per key) however the data is skewed.
     """
     by = list(by)
     lcols = left.columns
@@ -62,12 +67,24 @@ def asof_left_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts
                              "_bl": F.last("_rv", ignorenulls=True).over(whole)})
     in_bucket = (scanned.filter(F.col("_ord.s") == 2)
                         .select(*by, "_b", F.col("_ord.p.l").alias("_lp"), "_m"))
-    # Bucket-level table (one row per key and bucket); the carry walks it per key: the last
-    # right row of any earlier bucket.
-    cw = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (scanned.groupBy(*by, "_b").agg(F.first("_bl").alias("_bl"))
-                    .withColumn("_carry", F.last("_bl", ignorenulls=True).over(cw))
-                    .select(*by, "_b", "_carry"))
+    # Carry = last right row of any earlier bucket, found in two bounded steps over the
+    # bucket-level table (one row per key and bucket, derived from the same shuffle):
+    # within the super bucket, then across super buckets per key.  Joins here are null-safe
+    # for the same reason as below (no inferred filters reaching the shared shuffle).
+    strunc = lambda c: F.date_trunc(super_bucket, c)
+    blevel = (scanned.groupBy(*by, "_b").agg(F.first("_bl").alias("_bl"))
+                     .withColumn("_sb", strunc(F.col("_b"))))
+    w_in = Window.partitionBy(*by, "_sb").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    inner = blevel.withColumn("_c1", F.last("_bl", ignorenulls=True).over(w_in))
+    slevel = blevel.groupBy(*by, "_sb").agg(
+        F.max_by("_bl", F.when(F.col("_bl").isNotNull(), F.col("_b"))).alias("_sl"))
+    w_across = Window.partitionBy(*by).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
+    slevel = slevel.withColumn("_c2", F.last("_sl", ignorenulls=True).over(w_across))
+    s2 = slevel.select(*[F.col(k).alias(f"_s_{k}") for k in by], F.col("_sb").alias("_s_sb"), "_c2")
+    scond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in by]
+                   + [F.col("_sb").eqNullSafe(F.col("_s_sb"))])
+    carry = (inner.join(s2, on=scond, how="left")
+                  .select(*by, "_b", F.coalesce("_c1", "_c2").alias("_carry")))
 
     # Null-safe keys: an ordinary equi-join would infer NOT NULL filters and push them into
     # the carry branch only, making its input differ from (and not reuse) the shared shuffle.

@@ -13,7 +13,7 @@ from airshed.operators.asof import asof_left_join
 
 
 def combined(weather_silver: DataFrame, aqi_silver: DataFrame, run_ts: str,
-             bucket: str = "hour") -> DataFrame:
+             bucket: str = "minute") -> DataFrame:
     """JN2, re-aimed: each weather reading + the AQI reading of its station in force at that
     time (the latest at or before it).
 
@@ -28,7 +28,7 @@ def combined(weather_silver: DataFrame, aqi_silver: DataFrame, run_ts: str,
     return out.drop("_lts").withColumn("processed_at", F.lit(run_ts))
 
 
-def uv_enrich(weather_silver: DataFrame, uv_readings: DataFrame, bucket: str = "hour") -> DataFrame:
+def uv_enrich(weather_silver: DataFrame, uv_readings: DataFrame, bucket: str = "minute") -> DataFrame:
     """JN7: attach the UV reading in force at each weather reading (NULL when none yet)."""
     left = weather_silver.withColumn("_lts", parse_ts(F.col("timestamp")))
     right = uv_readings.select("station", parse_ts(F.col("timestamp")).alias("_rts"),

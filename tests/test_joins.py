@@ -26,12 +26,12 @@ def test_asof_matches_brute_force(spark):
     left, right = [], []
     for i in range(400):
         k = rnd.choice(["a", "b", "c", None])
-        t = None if rnd.random() < 0.03 else T0 + timedelta(minutes=rnd.randint(0, 60 * 30))
+        t = None if rnd.random() < 0.03 else T0 + timedelta(minutes=rnd.randint(0, 60 * 24 * 5))
         left.append((k, t, i))
     used = set()
     for i in range(150):
         k = rnd.choice(["a", "b", "c"])
-        t = T0 + timedelta(minutes=rnd.choice([rnd.randint(0, 60 * 30), 0, 60 * 24]))
+        t = T0 + timedelta(minutes=rnd.choice([rnd.randint(0, 60 * 24 * 5), 0, 60 * 24]))
         if (k, t) in used:
             continue
         used.add((k, t))
@@ -40,9 +40,9 @@ def test_asof_matches_brute_force(spark):
     right.append(("a", left[0][1] or T0, 999.0)) if ("a", left[0][1] or T0) not in used else None
     L = spark.createDataFrame(left, "k string, t timestamp, id int")
     R = spark.createDataFrame(right, "k string, t timestamp, v double")
-    for bucket in ("hour", "day"):
-        got = sorted((r.id, r.v) for r in asof_left_join(L, R, ["k"], "t", "t", ["v"], bucket).collect())
-        assert got == brute_asof(left, right)
+    for bucket, sup in (("minute", "day"), ("hour", "day"), ("minute", "hour"), ("day", "month")):
+        got = sorted((r.id, r.v) for r in asof_left_join(L, R, ["k"], "t", "t", ["v"], bucket, sup).collect())
+        assert got == brute_asof(left, right), (bucket, sup)
 
 
 def test_asof_equal_time_matches_and_far_carry(spark):
