@@ -339,7 +339,9 @@ def sensor_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         padded_id("site-", F.col("user_id"), 4).alias("site"),
         iso_utc(F.date_trunc("hour", F.col("ts"))).alias("slot"),
-        F.struct(F.col("ts"), F.col("event_id")).alias("pos"),
+        # entry order: (user, ts) is unique in events, so the time alone orders a site's
+        # entries; a long keeps the pivot's max_by buffers fixed-width (hash aggregate)
+        F.unix_micros(F.col("ts")).alias("pos"),
         name.alias("name"),
         F.col("value"),
     )
@@ -374,9 +376,11 @@ def aqi_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
             iso_utc(F.date_trunc("hour", F.col("ts"))).alias("slot"),
             F.col("ts"), aqi.alias("aqi"), (F.col("value") * _d(0.5)).alias("pm25"),
             F.lit(src).alias("source"))
+        # (user, ts) is unique, so per-column max_by on the time picks one reading's values;
+        # double values and a timestamp ordering keep the buffers fixed-width (hash aggregate)
         return (rows.groupBy("station", "slot")
-                    .agg(F.max_by(F.struct("aqi", "pm25", "source"), F.col("ts")).alias("r"))
-                    .select("station", "slot", "r.*"))
+                    .agg(F.max_by("aqi", "ts").alias("aqi"), F.max_by("pm25", "ts").alias("pm25"))
+                    .withColumn("source", F.lit(src)))
 
     return feed("signup", "primary", 300.0), feed("error", "secondary", None)
 
