@@ -160,3 +160,14 @@ def test_cli_scores_with_saved_model(spark, tmpdir_path):
                 [json.dumps(aqi_rec(st, "2024-01-01T01:00:00+00:00", 40)) for st in "ab"])
     out = run.main(["--bronze", bronze, "--lake", lake, "--run-ts", "2024-02-01T00:00:00+00:00", "--score"], spark=spark)
     assert out["forecast_rows"] == 50 and out["peaks"] == 2 and out["trend"] == 2
+
+
+def test_wind_projection_from_weather_values(spark):
+    rec = weather_rec("a", "2024-01-01T00:00:00+00:00", 30)
+    rec["wind_gust_ms"] = 4.5
+    df = spark.createDataFrame([(json.dumps(rec),)], "value string")
+    out = ingest.wind_projection(df).first()
+    assert out.topic == "wind-raw"
+    wind = json.loads(out.value)
+    assert wind["station"] == "a" and wind["wind_speed_ms"] == 2.0 and wind["wind_gust_ms"] == 4.5
+    assert wind["source"] == "openweathermap" and "temp_c" not in wind
