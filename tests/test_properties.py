@@ -44,3 +44,53 @@ def test_keep_first_and_latest_match_python(spark, rows, parts):
     last = {r.k: r.v for r in latest_by(df, ["k"], ["t", "v"], ["v"]).collect()}
     for k in {r[0] for r in rows}:
         assert last[k] == max((r[1], r[2]) for r in rows if r[0] == k)[1]
+
+
+from datetime import datetime, timedelta  # noqa: E402
+
+from airshed.operators.asof import asof_left_join  # noqa: E402
+
+T0 = datetime(2024, 1, 1)
+minutes = st.integers(min_value=0, max_value=60 * 24 * 3)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), minutes)), max_size=25),
+       st.lists(st.tuples(st.sampled_from(["a", "b"]), minutes), max_size=25),
+       st.sampled_from([("minute", "day"), ("hour", "day"), ("minute", "hour"), ("day", "month")]))
+def test_asof_matches_brute_force(spark, left, right, buckets):
+    right = list({(k, m): i for i, (k, m) in enumerate(right)}.items())   # one reading per key and time
+    L = spark.createDataFrame([(k, None if m is None else T0 + timedelta(minutes=m), i)
+                               for i, (k, m) in enumerate(left)], "k string, t timestamp, id int")
+    R = spark.createDataFrame([(k, T0 + timedelta(minutes=m), float(v)) for (k, m), v in right],
+                              "k string, t timestamp, v double")
+    got = sorted((r.id, r.v) for r in asof_left_join(L, R, ["k"], "t", "t", ["v"], *buckets).collect())
+    want = []
+    for i, (k, m) in enumerate(left):
+        cands = [(rm, float(v)) for (rk, rm), v in right if k is not None and m is not None
+                 and rk == k and rm <= m]
+        want.append((i, max(cands)[1] if cands else None))
+    assert got == sorted(want)
+
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from airshed.operators.joins import horizon_samples, hourly_training_rows  # noqa: E402
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["s1", "s2"]), st.integers(0, 60)), max_size=40),
+       st.lists(st.integers(0, 30), min_size=1, max_size=5, unique=True))
+def test_horizon_pairs_match_brute_force(spark, hours, horizons):
+    hours = sorted(set(hours))
+    df = spark.createDataFrame([(s, T0 + timedelta(hours=h), float(h)) for s, h in hours],
+                               "station string, time timestamp, v double")
+    aq = df.select("station", "time", *[F.lit(1.0).alias(c) for c in ["pm25", "pm10", "no2", "o3"]],
+                   F.col("v").alias("aqi"))
+    wx = df.select("station", "time", *[F.lit(1.0).alias(c) for c in ["temp_c", "humidity_pct", "wind_speed_ms"]])
+    got = sorted((r.station, r.time, r.horizon_h, r.aqi_target)
+                 for r in horizon_samples(hourly_training_rows(aq, wx), horizons=horizons).collect())
+    have = set(hours)
+    want = sorted((s, T0 + timedelta(hours=h), k, float(h + k)) for s, h in hours for k in horizons
+                  if (s, h + k) in have)
+    assert got == want
