@@ -171,3 +171,15 @@ def test_wind_projection_from_weather_values(spark):
     wind = json.loads(out.value)
     assert wind["station"] == "a" and wind["wind_speed_ms"] == 2.0 and wind["wind_gust_ms"] == 4.5
     assert wind["source"] == "openweathermap" and "temp_c" not in wind
+
+
+def test_json_sink_read_back_like_the_serving_layer(spark, tmpdir_path):
+    from airshed.plans.sinks import write_table
+    from airshed.sources.bronze import read_json_dir
+    from pyspark.sql import types as T
+    df = spark.createDataFrame([("a", 1.5), ("b", None)], "station string, avg_aqi double")
+    path = os.path.join(tmpdir_path, "gold_json")
+    assert write_table(df, path, fmt="json") == 2
+    schema = T.StructType([T.StructField("station", T.StringType()), T.StructField("avg_aqi", T.DoubleType())])
+    got = sorted(tuple(r) for r in read_json_dir(spark, path, schema).collect())
+    assert got == [("a", 1.5), ("b", None)]
