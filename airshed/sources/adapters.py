@@ -374,8 +374,7 @@ def aqi_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         rows = ev.filter(F.col("event_type") == et).select(
             padded_id("st-", F.col("user_id"), 4).alias("station"),
             iso_utc(F.date_trunc("hour", F.col("ts"))).alias("slot"),
-            F.col("ts"), aqi.alias("aqi"), (F.col("value") * _d(0.5)).alias("pm25"),
-            F.lit(src).alias("source"))
+            F.col("ts"), aqi.alias("aqi"), (F.col("value") * _d(0.5)).alias("pm25"))
         # (user, ts) is unique, so per-column max_by on the time picks one reading's values;
         # double values and a timestamp ordering keep the buffers fixed-width (hash aggregate)
         return (rows.groupBy("station", "slot")
