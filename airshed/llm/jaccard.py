@@ -12,10 +12,10 @@ Sets that link differ in few elements, at most H = (den - num) / (den + num) of
   are no more of them than spare ones.
 
 The boundary is the size with the smallest number of rows to shuffle, from a histogram of sizes. Equal
-sets are one class from the start. In each list every set is compared with the smallest one; what
-links is one component, and only sets of a list that are still in different components
-are compared with each other. So a group of near copies costs a star, not all its pairs, and no link
-between components is missed.
+sets are one class from the start. In each list every set is compared with the one that meets most
+others; what links is one component. Two sets of a list can then only link across components if they differ from
+the leader in the same elements; those differences, short for near copies, are compared in blocks,
+and a block returns links, not pairs. No link between components is missed.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ NUM, DEN = 9, 10
 LEAST = 3
 LIST_COST = 4  # of a row in an inverted list, which is compared set by set, in rows of subsets
 MOST_SMALL = 48  # largest boundary that is considered
+BLOCK = 1000  # sets of one leader that a task compares with as many others
 IDS = 4_000_000  # lists of ids up to this length are broadcast
 
 _SPACE = np.zeros(256, bool)
@@ -187,14 +188,70 @@ def _contents(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInPandas(run, "node long, x array<long>")
 
 
-def _verify(pairs: DataFrame, contents: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that link."""
-    left = contents.select(F.col("node").alias("a"), F.col("x").alias("xa"))
-    right = contents.select(F.col("node").alias("b"), F.col("x").alias("xb"))
-    common = F.size(F.array_intersect("xa", "xb"))
-    union = F.size("xa") + F.size("xb") - common
-    return (pairs.join(left, "a").join(right, "b").where(den * common >= num * union)
-            .select("a", "b"))
+def _against_leader(lists: DataFrame, contents: DataFrame, num: int, den: int) -> DataFrame:
+    """For each set and each leader of one of its lists: node, leader, n, same (do they link?) and d, the
+    elements that only one of them has."""
+    pairs = lists.where("node <> leader").select("node", "leader").distinct()
+    left = contents.select("node", F.col("x").alias("xa"))
+    right = contents.select(F.col("node").alias("leader"), F.col("x").alias("xb"))
+    d = F.concat(F.array_except("xa", "xb"), F.array_except("xb", "xa"))
+    both = F.size("xa") + F.size("xb")
+    return (pairs.join(left, "node").join(right, "leader")
+            .select("node", "leader", F.size("xa").alias("n"), both.alias("_both"), d.alias("d"))
+            .withColumn("same", (F.col("_both") - F.size("d")) * den
+                        >= (F.col("_both") + F.size("d")) * num).drop("_both"))
+
+
+def _others(met: DataFrame, roots: DataFrame, num: int, den: int) -> DataFrame:
+    """Links between sets of one leader that are not in one component yet, one at least for each two
+    components that link. Sets differ from each other where their differences to the leader
+    differ, so these short arrays decide. Large groups meet in blocks of BLOCK."""
+    sizes = met.groupBy("leader").agg(F.count("*").alias("many")).where("many > 1")
+    at = roots.select(F.col("node").alias("_r"), "root")
+    met = (met.join(sizes, "leader").join(at, F.col("node") == F.col("_r"), "left").drop("_r")
+           .withColumn("root", F.coalesce("root", "node")).withColumnRenamed("root", "own")
+           .join(at, F.col("leader") == F.col("_r"), "left").drop("_r")
+           .withColumn("root", F.coalesce("root", "leader")))
+    blocks = F.ceil(F.col("many") / BLOCK)
+    block = F.pmod(F.xxhash64("node"), blocks)
+    met = written(met.select("leader", "node", "own", "root", "n", "d", blocks.alias("_blocks"),
+                             block.alias("_block")), "members")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))
+    left_out = met.where("own <> root").withColumn("i", F.col("_block")).withColumn("j", every)
+    anyone = met.withColumn("j", F.col("_block")).withColumn("i", every)
+    keys = ["leader", "i", "j"]
+    cols = [*keys, "node", "own", "n", "d"]
+
+    def compare(some: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        others = others.set_axis(cols, axis=1)
+        if len(some) and len(others):
+            some, others = some.sort_values("node"), others.sort_values("node")
+            sizes = others["d"].map(len).to_numpy()
+            tokens, place = np.unique(np.concatenate([*others["d"], np.zeros(0, np.int64)]),
+                                      return_inverse=True)
+            order = np.argsort(place, kind="stable")
+            holder = np.repeat(np.arange(len(others)), sizes)[order]
+            begin = np.searchsorted(place[order], np.arange(len(tokens) + 1))
+            nodes, own, n = (others[c].to_numpy() for c in ("node", "own", "n"))
+            for node, root, size, d in zip(some["node"], some["own"], some["n"], some["d"],
+                                           strict=True):
+                at = np.searchsorted(tokens, d)
+                at = at[(at < len(tokens)) & (tokens[np.minimum(at, len(tokens) - 1)] == d)] \
+                    if len(tokens) else at[:0]
+                held = [holder[begin[t]:begin[t + 1]] for t in at]
+                common = np.bincount(np.concatenate([*held, np.zeros(0, np.int64)]).astype(np.int64),
+                                     minlength=len(others))
+                apart = len(d) + sizes - 2 * common
+                hit = ((size + n - apart) * den >= (size + n + apart) * num) & (own != root)
+                for other in np.unique(own[hit], return_index=True)[1]:  # one per component
+                    found.append((node, nodes[hit][other]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    anyone = anyone.select(*[F.col(c).alias(f"{c}_of") for c in cols])
+    return (left_out.select(cols).groupBy(*keys)
+            .cogroup(anyone.groupBy(*[f"{c}_of" for c in keys]))
+            .applyInPandas(compare, "a long, b long"))
 
 
 def link(docs: DataFrame, num: int = NUM, den: int = DEN, boundary: int | None = None) -> DataFrame:
@@ -215,34 +272,27 @@ def link(docs: DataFrame, num: int = NUM, den: int = DEN, boundary: int | None =
     by_key = Window.partitionBy("key")
     lists = (full.where(F.col("keys").isNotNull())
              .select("node", "n", F.explode("keys").alias("key"))
-             .withColumn("leader", F.min("node").over(by_key))
+             .withColumn("_low", F.min("node").over(by_key))
              .withColumn("_top", F.max("node").over(by_key))
-             .where(F.col("leader") != F.col("_top")).drop("_top").distinct())
+             .where("_low <> _top").select("key", "node", "n").distinct())
     lists = written(lists, "lists")
+    # The leader of a list is its set with the most company in all lists: of near copies, the one that
+    # the others were made from.
+    company = (lists.join(lists.groupBy("key").agg(F.count("*").alias("many")), "key")
+               .groupBy("node").agg(F.sum("many").alias("company")))
+    lists = lists.join(company, "node")
+    leaders = lists.groupBy("key").agg(F.max(F.struct("company", "node"))["node"].alias("leader"))
+    lists = written(lists.join(leaders, "key").drop("company"), "led")
 
     first = small(classes.join(lists.select("node").distinct(), "node", "left_semi")
                   .select("first").distinct().withColumnRenamed("first", "doc_id"), IDS)
     contents = written(_contents(docs.join(first, "doc_id", "left_semi"))
                        .dropDuplicates(["node"]), "contents")
 
-    stars = (lists.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
-             .distinct())
-    links = written(_verify(stars, contents, num, den), "links")
+    met = written(_against_leader(lists, contents, num, den), "met")
+    links = met.where("same").select(F.col("node").alias("a"), F.col("leader").alias("b"))
     roots = components(links)
-
-    # Sets of one list that are not in one component yet
-    apart = (lists.join(roots, "node", "left")
-             .withColumn("root", F.coalesce("root", "node")).where("node <> leader"))
-    mixed = (apart.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-             .where("lo <> hi").select("key"))
-    apart = written(apart.join(mixed, "key", "left_semi").select("key", "node", "n", "root"), "apart")
-    other = apart.select("key", F.col("node").alias("b"), F.col("n").alias("nb"),
-                         F.col("root").alias("rb"))
-    pairs = (apart.join(other, (apart["key"] == other["key"]) & (F.col("node") < F.col("b"))
-                        & (F.col("root") != F.col("rb"))
-                        & (F.least("n", "nb") * den >= F.greatest("n", "nb") * num))
-             .select(F.col("node").alias("a"), "b").distinct())
-    more = written(_verify(pairs, contents, num, den), "more")
+    more = written(_others(met, roots, num, den), "more")
     if more.head(1):
         roots = components(links.union(more))
 
