@@ -30,7 +30,7 @@ _HINTS = ("@", r"[0-9]\.[0-9]", r"[0-9](?:[ -]?[0-9]){13}", r"\+[0-9]")
 _TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
 TOKEN = len(KINDS)
 
-CONFIDENT = 0.9  # least score of a pattern that finds
+CONFIDENT = 0.75  # least score of a pattern that finds
 SUPPORT = 3  # least number of distinct scored values in it
 ROUNDS = 3
 DIGITS = 5  # least number of digits of an unseen identifier
