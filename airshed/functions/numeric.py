@@ -43,18 +43,21 @@ def clamp_prediction(c) -> Column:
 
 
 def exact_avg(c, scale: int = 6) -> Column:
-    """Average with an exact sum: the same double on any partitioning and task order.
-
-    Values are taken in units of 10^-scale (``rint``), split into a whole part and a
-    non-negative remainder, and both are summed as longs - hash-aggregatable, codegen'd and
-    associative.  The parts are recombined as an exact decimal sum; the result is
-    ``double(exact sum) / count``, bit-identical whatever the partitioning or task order.  Nulls, NaN and values
-    beyond the long range are ignored, as ``avg`` ignores nulls.  A group whose remainders
-    exceed the long range (over ~9e12 rows) fails loudly under ANSI mode, never silently.
+    """``avg``, with an exact sum where the values allow one.
+
+    If every value of a group is a number of at most ``scale`` decimals (to within the noise of a
+    double) and fits a long in units of 10^-scale, the values are summed as longs, whole part
+    and remainder, so the result does not depend on partitioning or task order. Any other value, NaN
+    among them, makes the group's result that of plain ``avg``; none is left out.
     """
     unit = 10 ** scale
-    u = F.rint(_col(c).cast("double") * float(unit)).try_cast("long")
+    v = _col(c).cast("double")
+    near = F.rint(v * float(unit))
+    fits = (F.abs(near) < float(2 ** 53)) & (F.abs(v - near / float(unit))
+                                             <= 1e-11 * F.greatest(F.abs(v), F.lit(1.0)))
+    u = F.when(fits, near).try_cast("long")
     frac = F.pmod(u, F.lit(unit))
     whole = ((u - frac) / F.lit(unit)).cast("long")
     total = (F.sum(whole).cast("decimal(38,0)") * F.lit(unit) + F.sum(frac)) / F.lit(unit)
-    return F.try_divide(total.cast("double"), F.count(u).cast("double"))
+    exact = F.try_divide(total.cast("double"), F.count(u).cast("double"))
+    return F.when(F.count(u) == F.count(v), exact).otherwise(F.avg(v))

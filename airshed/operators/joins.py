@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from airshed.functions import constants as K
 from airshed.functions.timeparts import parse_ts
 from airshed.operators.asof import asof_left_join
+from airshed.operators.dedup import first_in_order
 
 
 def combined(weather_silver: DataFrame, aqi_silver: DataFrame, run_ts: str,
@@ -58,10 +59,12 @@ def hourly_training_rows(aq: DataFrame, wx: DataFrame, tz: str = K.TRAINING_TZ)
     """JN4 + ML1: AQ hourly inner-join weather hourly on (station, time), local hour and
     weekday (Monday=0), rows with any NULL current column or AQI dropped.
 
-    Both inputs are aggregates keyed by (station, time), so the join reuses their hash
-    partitioning.
+    Repeated hours of either feed count once (DDP2): the smallest row is kept, so a re-run
+    gives the same one. The join reuses the partitioning of that aggregate.
     """
-    j = aq.join(wx, on=["station", "time"], how="inner")
+    keys = ["station", "time"]
+    aq, wx = (first_in_order(x, keys, [c for c in x.columns if c not in keys]) for x in (aq, wx))
+    j = aq.join(wx, on=keys, how="inner")
     local = F.from_utc_timestamp(F.col("time"), tz)
     j = j.withColumns({"hour": F.hour(local).cast("long"),
                        "dayofweek": F.weekday(local).cast("long")})

@@ -6,6 +6,9 @@ inside the scan's codegen stage; a response that fails a required check yields n
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,20 +60,21 @@ FALLBACK_AQ = _st(("status", S), ("data", _st(("aqi", S), ("iaqi", _IAQI))))
 
 def aq_fallback(raw: DataFrame, station: Column, lat: Column, lon: Column, ts: Column,
                 body: str = "body") -> DataFrame:
-    """JSN3: fallback feed; only ``status == "ok"``; nested ``iaqi.<p>.v``, missing -> NULL.
+    """JSN3: fallback feed; only ``status == "ok"`` with a ``data`` block; nested ``iaqi.<p>.v``, missing -> NULL.
 
     ``aqi`` stays text: this feed may send "-", which the silver filter drops.
     """
     r = F.from_json(F.col(body), FALLBACK_AQ)
     d = r.getField("data")
     iaqi = d.getField("iaqi")
-    out = raw.select(r.getField("status").alias("_status"), station.alias("station"),
+    out = raw.select((r.getField("status") == "ok").alias("_ok"), d.isNotNull().alias("_data"),
+                     station.alias("station"),
                      lat.alias("lat"), lon.alias("lon"), ts.alias("timestamp"),
                      d.getField("aqi").alias("aqi"),
                      *[iaqi.getField(p).getField("v").alias(p)
                        for p in ["pm25", "pm10", "no2", "o3", "so2", "co"]],
                      F.lit("aqicn").alias("source"))
-    return out.filter(F.col("_status") == "ok").drop("_status")
+    return out.filter(F.col("_ok") & F.col("_data")).drop("_ok", "_data")
 
 
 # ---------------------------------------------------------------- JSN4 (weather)
@@ -83,12 +87,14 @@ OWM = _st(("main", _st(("temp", D), ("feels_like", D), ("humidity", D), ("pressu
 
 def weather_payload(raw: DataFrame, station: Column, lat: Column, lon: Column, ts: Column,
                     uv: Column | None = None, body: str = "body") -> DataFrame:
-    """JSN4: flatten; defaults wind.deg = 0 and rain.1h = 0; a missing main / wind / clouds
-    block or an empty weather list rejects the record."""
+    """JSN4: flatten; defaults wind.deg = 0 and rain.1h = 0; a record without one of the
+    required fields (main block, wind speed, clouds, first weather entry) is rejected."""
     r = F.from_json(F.col(body), OWM)
     main, wind, w0 = r.getField("main"), r.getField("wind"), F.try_element_at(r.getField("weather"), F.lit(1))
-    ok = (main.getField("temp").isNotNull() & wind.getField("speed").isNotNull()
-          & r.getField("clouds").getField("all").isNotNull() & w0.isNotNull())
+    needed = [main.getField(c) for c in ("temp", "feels_like", "humidity", "pressure")] + [
+        wind.getField("speed"), r.getField("clouds").getField("all"),
+        w0.getField("main"), w0.getField("description")]
+    ok = reduce(and_, [c.isNotNull() for c in needed])
     out = raw.select(
         ok.alias("_ok"), station.alias("station"), lat.alias("lat"), lon.alias("lon"),
         ts.alias("timestamp"),
@@ -112,10 +118,12 @@ FLOW = _st(("flowSegmentData", _st(("currentSpeed", D), ("freeFlowSpeed", D), ("
 
 def traffic_payload(raw: DataFrame, corridor: Column, lat: Column, lon: Column, ts: Column,
                     body: str = "body") -> DataFrame:
-    """JSN5: defaults speed 0, free flow 1, closure false; ratio by FN9."""
+    """JSN5: defaults speed 0, free flow 1, closure false; ratio by FN9. A body that is
+    not JSON (malformed, NULL) is no reading."""
     d = F.from_json(F.col(body), FLOW).getField("flowSegmentData")
     cur = F.coalesce(d.getField("currentSpeed"), F.lit(K.TRAFFIC_DEFAULTS["current_speed_kmh"]))
     free = F.coalesce(d.getField("freeFlowSpeed"), F.lit(K.TRAFFIC_DEFAULTS["free_flow_kmh"]))
+    raw = raw.filter(F.get_json_object(F.col(body), "$").isNotNull())
     return raw.select(corridor.alias("corridor"), lat.alias("lat"), lon.alias("lon"),
                       ts.alias("timestamp"), cur.alias("current_speed_kmh"),
                       free.alias("free_flow_kmh"), congestion_ratio(cur, free).alias("congestion_ratio"),
@@ -151,7 +159,10 @@ def zip_hourly(arrays: dict[str, Column], limit: int | None = 24) -> Column:
     cols = [F.coalesce(c, F.array().cast(T.ArrayType(T.StringType() if n == "time" else D))).alias(n)
             for n, c in arrays.items()]
     z = F.arrays_zip(*cols)
-    return F.slice(z, 1, limit) if limit else z
+    size = F.lit(limit) if limit else F.size(z)
+    if "time" in arrays:  # hours without a time are none
+        size = F.least(size, F.coalesce(F.size(arrays["time"]), F.lit(0)))
+    return F.slice(z, 1, F.greatest(size, F.lit(0)))
 
 
 def explode_hourly(df: DataFrame, keys, arrays: dict[str, Column], limit: int | None = None) -> DataFrame:
@@ -175,11 +186,12 @@ def sensor_pivot(long: DataFrame, keys=("site", "slot"), params=K.SENSOR_PARAMS)
 
 
 def sensors_from_payload(raw: DataFrame, keys, body: str = "body") -> DataFrame:
-    """Sensor-list response -> long entries (keys, pos, name, value) for ``sensor_pivot``."""
+    """Sensor-list response -> long entries (keys, pos, name, value) for ``sensor_pivot``; a response
+    without results has none."""
     sensor = _st(("parameter", _st(("name", S))), ("value", D))
     result = _st(("sensors", T.ArrayType(sensor)))
     schema = _st(("results", T.ArrayType(result)))
     first = F.try_element_at(F.from_json(F.col(body), schema).getField("results"), F.lit(1))
-    ex = raw.select(*keys, F.posexplode_outer(first.getField("sensors")).alias("pos", "s"))
+    ex = raw.filter(first.isNotNull()).select(*keys, F.posexplode_outer(first.getField("sensors")).alias("pos", "s"))
     return ex.select(*keys, "pos", F.col("s.parameter.name").alias("name"),
                      F.col("s.value").alias("value"))

@@ -24,7 +24,13 @@ def station_current(gold_stations: DataFrame, gold_weather: DataFrame) -> DataFr
     w = gold_weather.select("station", *[F.col(f).alias(f"_w_{f}") for f in K.WEATHER_FIELDS],
                             F.col("last_updated").alias("weather_updated"))
     cur = current_value("latest_aqi", "avg_aqi")
-    return (gold_stations.filter(F.col("station").isNotNull())
+    cols = [c for c in gold_stations.columns if c != "station"]
+    # a station that has moved has a gold row per coordinate: the last updated one serves
+    newest = F.max_by(F.struct(*cols), F.struct("last_updated", *[
+        c for c in cols if c != "last_updated"]))
+    stations = (gold_stations.filter(F.col("station").isNotNull())
+                .groupBy("station").agg(newest.alias("_g")).select("station", "_g.*"))
+    return (stations
             .join(w, on="station", how="left")
             .select(*gold_stations.columns,
                     *[F.col(f"_w_{f}").alias(f) for f in K.WEATHER_FIELDS],

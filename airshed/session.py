@@ -64,14 +64,17 @@ def get_spark(master: str | None = None, app: str = "airshed",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names it).  Only when it is unset, as in
-    local tests, a private folder is created and registered.
+    Read from ``spark.checkpoint.dir`` (the cluster names it). Only a local session without one gets
+    a private folder; elsewhere a missing setting is an error, as executors could not read it.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="airshed-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 

@@ -262,19 +262,14 @@ FROM lineitem
 
 
 # ---------------------------------------------------------------- hourly series (training)
-# The training history covers TRAINING_STATIONS stations (as the upstream training set
-# does): users are assigned round-robin, every event is used.
-TRAINING_STATIONS = 10
-
-
-def _training_station(user_id: Column) -> Column:
-    return padded_id("ts-", F.pmod(user_id, F.lit(TRAINING_STATIONS)), 2)
-
-
-def _hourly(spark, sf_dir, types: list[str], metrics: dict) -> DataFrame:
+# Stations are the users, as in the served feeds; every event is a reading of both feeds, and the
+# AQI is the one that silver serves (2*value - 10, within 0..500).
+def _hourly(spark, sf_dir, metrics: dict, where: Column | None = None) -> DataFrame:
     from airshed.functions.numeric import exact_avg
-    ev = _events(spark, sf_dir).filter(F.col("event_type").isin(types))
-    return (ev.groupBy(_training_station(F.col("user_id")).alias("station"),
+    ev = _events(spark, sf_dir)
+    if where is not None:
+        ev = ev.filter(where)
+    return (ev.groupBy(padded_id("st-", F.col("user_id"), 4).alias("station"),
                        F.date_trunc("hour", F.col("ts")).alias("time"))
               .agg(*[exact_avg(expr).alias(name) for name, expr in metrics.items()]))
 
@@ -282,15 +277,17 @@ def _hourly(spark, sf_dir, types: list[str], metrics: dict) -> DataFrame:
 def aq_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly air-quality series per station (mean of the hour's readings)."""
     v, k = F.col("value"), F.col("k")
-    return _hourly(spark, sf_dir, AQI_EVENT_TYPES, {
+    aqi = v * _d(2.0) - _d(10.0)
+    return _hourly(spark, sf_dir, {
         "pm25": v * _d(0.5), "pm10": v * _d(0.8) + k * _d(0.1),
-        "no2": k * _d(0.3) + _d(1.0), "o3": v * _d(0.2) + _d(2.0), "aqi": v})
+        "no2": k * _d(0.3) + _d(1.0), "o3": v * _d(0.2) + _d(2.0), "aqi": aqi},
+        aqi.between(_d(0.0), _d(500.0)))
 
 
 def wx_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly weather series per station."""
     v, k = F.col("value"), F.col("k")
-    return _hourly(spark, sf_dir, [WEATHER_EVENT_TYPE], {
+    return _hourly(spark, sf_dir, {
         "temp_c": _d(20.0) + v * _d(0.05), "humidity_pct": _d(40.0) + k * _d(0.5),
         "wind_speed_ms": v * _d(0.02)})
 
@@ -304,22 +301,22 @@ _EV_K = ("(SELECT *, CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER)
          " AS k FROM events)")
 
 AQ_HOURLY_SQL = f"""
-SELECT printf('ts-%02d', user_id % {TRAINING_STATIONS}) AS station, date_trunc('hour', ts) AS time,
+SELECT printf('st-%04d', user_id) AS station, date_trunc('hour', ts) AS time,
        {_exact_avg_sql("value * 0.5::DOUBLE")} AS pm25,
        {_exact_avg_sql("value * 0.8::DOUBLE + k * 0.1::DOUBLE")} AS pm10,
        {_exact_avg_sql("k * 0.3::DOUBLE + 1.0::DOUBLE")} AS no2,
        {_exact_avg_sql("value * 0.2::DOUBLE + 2.0::DOUBLE")} AS o3,
-       {_exact_avg_sql("value")} AS aqi
-FROM {_EV_K} WHERE event_type IN ('error', 'purchase', 'signup')
+       {_exact_avg_sql("value * 2.0::DOUBLE - 10.0::DOUBLE")} AS aqi
+FROM {_EV_K} WHERE value * 2.0::DOUBLE - 10.0::DOUBLE BETWEEN 0 AND 500
 GROUP BY 1, 2
 """
 
 WX_HOURLY_SQL = f"""
-SELECT printf('ts-%02d', user_id % {TRAINING_STATIONS}) AS station, date_trunc('hour', ts) AS time,
+SELECT printf('st-%04d', user_id) AS station, date_trunc('hour', ts) AS time,
        {_exact_avg_sql("20.0::DOUBLE + value * 0.05::DOUBLE")} AS temp_c,
        {_exact_avg_sql("40.0::DOUBLE + k * 0.5::DOUBLE")} AS humidity_pct,
        {_exact_avg_sql("value * 0.02::DOUBLE")} AS wind_speed_ms
-FROM {_EV_K} WHERE event_type = 'view'
+FROM {_EV_K}
 GROUP BY 1, 2
 """
 

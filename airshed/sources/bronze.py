@@ -33,8 +33,9 @@ def read_bronze(spark: SparkSession, root: str, name: str, schema=None, layout:
         else:
             full = T.StructType([*schema.fields, T.StructField("dir", T.StringType()),
                                  T.StructField("ingest_date", T.DateType())])
-            df = (spark.read.option("mode", "PERMISSIVE").option("basePath", root)
-                  .schema(full).json(f"{root}/dir={name}"))
+            # the root, not dir=<name>: there the stream's commit log names the files that count
+            df = (spark.read.option("mode", "PERMISSIVE").schema(full).json(root)
+                  .filter(F.col("dir") == name).select(*[f.name for f in full.fields]))
             if since is not None:
                 df = df.filter(F.col("ingest_date") >= F.lit(since).cast("date"))
     except AnalysisException as e:

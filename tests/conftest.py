@@ -13,7 +13,7 @@ from airshed.session import get_spark  # noqa: E402
 def spark():
     s = get_spark("local[4]", app="airshed-tests", shuffle_partitions=8)
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="airshed-test-ckpt-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="airshed-test-ckpt-"))
     yield s
 
 

@@ -98,7 +98,7 @@ def test_station_current_and_overview(spark):
         [("a", 1.0, 1.0, 40.0, None, 10, 5.0), ("b", None, 2.0, 90.0, 90.0, None, 6.0),
          ("c", 1.0, 3.0, None, None, 3, None)],
         "station string, lat double, lon double, avg_aqi double, latest_aqi double, "
-        "reading_count long, avg_pm25 double")
+        "reading_count long, avg_pm25 double").withColumn("last_updated", F.lit("2024-01-01"))
     weather = spark.createDataFrame([("a", 30.0, 80.0, 2.0, 7.2, "2024-01-01")],
                                     "station string, temp_c double, humidity_pct double, "
                                     "wind_speed_ms double, uv_index double, last_updated string")

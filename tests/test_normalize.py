@@ -59,9 +59,24 @@ def test_sensor_pivot_rules(spark):
     raw = bodies(spark, [payload, {"results": []}]).withColumn("site", F.monotonically_increasing_id())
     long = N.sensors_from_payload(raw, ["site"])
     out = sorted(N.sensor_pivot(long, keys=["site"]).collect(), key=lambda r: r.site)
-    assert len(out) == 2
+    assert len(out) == 1  # no results, no record
     assert (out[0].pm25, out[0].no2, out[0].o3, out[0].co) == (12.0, None, 33.0, None)
-    assert out[1].pm25 is None
+
+
+def test_malformed_payloads_are_no_readings(spark):
+    ok = {"flowSegmentData": {"currentSpeed": 20, "freeFlowSpeed": 40}}
+    raw = spark.createDataFrame([(json.dumps(ok),), ("{broken",), (None,), ("[",)], "body string")
+    where = [F.lit("c"), F.lit(1.0), F.lit(2.0), F.lit("t")]
+    assert [r.congestion_ratio for r in N.traffic_payload(raw, *where).collect()] == [0.5]
+    raw = spark.createDataFrame([('{"status": "ok"}',)], "body string")
+    assert N.aq_fallback(raw, *where).count() == 0
+
+
+def test_hours_without_time_are_dropped(spark):
+    df = spark.createDataFrame([("a", None, [1.0, 2.0]), ("b", ["t1"], [3.0, 4.0])],
+                               "station string, time array<string>, temp array<double>")
+    out = N.explode_hourly(df, ["station"], {"time": F.col("time"), "temp_c": F.col("temp")})
+    assert [tuple(r) for r in out.collect()] == [("b", "t1", 3.0)]
 
 
 def test_hourly_arrays(spark):

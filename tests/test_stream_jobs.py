@@ -1,4 +1,5 @@
 import json
+import re
 import os
 
 from pyspark.sql import functions as F
@@ -102,8 +103,12 @@ def test_since_bound_prunes_dates(spark, tmpdir_path):
                     [json.dumps(aqi_rec("a", f"{day}T0{i}:00:00+00:00", 10)) for i in range(n)])
     df = read_bronze(spark, bronze, "aqi", since="2024-01-02")
     assert df.count() == 3
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    df = read_bronze(spark, bronze, "aqi", since="2024-01-02")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(ingest_date" in plan
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)[1]
+    assert "isnotnull(ingest_date" in filters and "isnotnull(dir" in filters
 
 
 def test_kafka_without_connector_says_so(spark):
