@@ -48,8 +48,7 @@ def nowcast(model: PipelineModel, current: DataFrame, now_utc: str) -> DataFrame
 def curve(model: PipelineModel, current: DataFrame, now_utc: str) -> DataFrame:
     """ML13: 0-24 h curve with local valid time, ordered by station and horizon."""
     f = forecast(model, current, now_utc)
-    grid = views.forecast_time_grid(current, now_utc)
-    return f.join(grid, on=["station", "horizon_h"], how="inner").orderBy("station", "horizon_h")
+    return views.with_valid_time(f, now_utc).orderBy("station", "horizon_h")
 
 
 def peak(curve_df: DataFrame) -> DataFrame:

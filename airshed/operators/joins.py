@@ -12,6 +12,9 @@ from airshed.functions.timeparts import parse_ts
 from airshed.operators.asof import asof_left_join
 from airshed.operators.dedup import first_in_order
 
+HOUR_US = 3_600_000_000
+DAY_US = 24 * HOUR_US
+
 
 def combined(weather_silver: DataFrame, aqi_silver: DataFrame, run_ts: str,
              bucket: str = "minute") -> DataFrame:
@@ -75,26 +78,33 @@ def horizon_samples(rows: DataFrame, horizons=K.HORIZONS, tz: str = K.TRAINING_T
     """JN5 / ML2: pair the observation at t with the AQI at t + h for every horizon h.
 
     Exact-time pairing (a gap in the series simply yields no pair), computed without a
-    self-join: every hourly row is exploded over the horizons and keyed by its target time
-    t + h.  The row whose own time *is* that target (its h = 0 copy) carries the target AQI,
-    so a window per (station, target time) - at most one row per horizon, i.e. bounded -
-    hands it to the other copies.  The hourly rows are read once and shuffled once, on a key
-    without skew however unbalanced the stations are.
+    self-join: every hourly row goes to the window of its own UTC day and, as a target only (its
+    features left out), to those of the days from which a horizon can reach it. A window holds
+    the hours of those days, so it is bounded, and no station is a hot key. The pairs are made
+    from it after the shuffle, which carries two rows an hour for horizons of up to 24.
     """
-    hs = sorted(set(int(h) for h in horizons) | {0})
-    x = (rows.select("station", "time", "aqi", *K.CURRENT_COLS)
-             .withColumn("horizon_h", F.explode(F.array(*[F.lit(h) for h in hs])))
-             .withColumn("target_time", F.col("time") + F.make_dt_interval(F.lit(0), F.col("horizon_h"))))
-    same_target = Window.partitionBy("station", "target_time")
-    x = x.withColumn("aqi_target", F.max(F.when(F.col("horizon_h") == 0, F.col("aqi"))).over(same_target))
-    if 0 not in set(int(h) for h in horizons):
-        x = x.filter(F.col("horizon_h") != 0)
+    hs = sorted(set(int(h) for h in horizons))
+    days = max(hs, default=0) // 24 + (1 if max(hs, default=0) % 24 else 0)
+    at = F.unix_micros("time")
+    x = (rows.select("station", "time", "aqi", *K.CURRENT_COLS, at.alias("_at"))
+             .withColumn("_ago", F.explode(F.array(*[F.lit(d) for d in range(days + 1)])))
+             .withColumn("_day", F.floor(F.col("_at") / DAY_US) - F.col("_ago")))
+    own = F.col("_ago") == 0
+    x = x.select("station", "_day", "_ago", "_at", "aqi",
+                 *[F.when(own, F.col(c)).alias(c) for c in ["time", *K.CURRENT_COLS]])
+    near = Window.partitionBy("station", "_day")
+    x = x.withColumn("_near", F.collect_list(F.struct("_at", "aqi")).over(near)).filter(own)
+    ahead = F.filter("_near", lambda s: ((s["_at"] - F.col("_at")) / HOUR_US).isin([float(h) for h in hs])
+                     & s["aqi"].isNotNull())
+    x = (x.withColumn("_to", F.explode(ahead))
+          .select("station", "time", *K.CURRENT_COLS, F.col("_to.aqi").alias("aqi_target"),
+                  F.timestamp_micros("_to._at").alias("target_time"),
+                  ((F.col("_to._at") - F.col("_at")) / HOUR_US).cast("int").alias("horizon_h")))
     local = F.from_utc_timestamp(F.col("target_time"), tz)
-    return (x.filter(F.col("aqi_target").isNotNull())
-             .select("station", "time", *K.CURRENT_COLS, "aqi_target",
-                     F.col("horizon_h").cast("long").alias("horizon_h"),
-                     F.hour(local).cast("long").alias("target_hour"),
-                     F.weekday(local).cast("long").alias("target_dayofweek")))
+    return x.select("station", "time", *K.CURRENT_COLS, "aqi_target",
+                    F.col("horizon_h").cast("long").alias("horizon_h"),
+                    F.hour(local).cast("long").alias("target_hour"),
+                    F.weekday(local).cast("long").alias("target_dayofweek"))
 
 
 def now_vs_future(forecast: DataFrame, horizon: int = K.TREND_HORIZON) -> DataFrame:

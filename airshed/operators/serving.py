@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from airshed.functions import constants as K
 from airshed.functions.classify import aqi_category
 from airshed.functions.numeric import current_value, exact_avg, round_half_even
+from airshed.operators.dedup import latest_by
 
 
 def station_current(gold_stations: DataFrame, gold_weather: DataFrame) -> DataFrame:
@@ -39,6 +40,14 @@ def station_current(gold_stations: DataFrame, gold_weather: DataFrame) -> DataFr
                     cur.alias("current_aqi")))
 
 
+def traffic_current(gold_traffic: DataFrame) -> DataFrame:
+    """JOB5: one row per corridor, the last updated one if it has several coordinates."""
+    cols = [c for c in gold_traffic.columns if c != "corridor"]
+    order = ["last_updated", *[c for c in cols if c != "last_updated"]]
+    return latest_by(gold_traffic.filter(F.col("corridor").isNotNull()), ["corridor"],
+                     order, cols).select(*gold_traffic.columns)
+
+
 def worst_best_station(current: DataFrame) -> DataFrame:
     """AGG5: worst / best station by current AQI; a tie goes to the first station name."""
     rated = current.filter(F.col("current_aqi").isNotNull())

@@ -118,7 +118,7 @@ def refresh_marts(spark: SparkSession, lake: Lake) -> dict:
         out["stations"] = write_table(serving.station_current(stations, weather),
                                       lake.path("serving", "station_current"))
     if traffic is not None:
-        out["corridors"] = write_table(traffic.filter(F.col("corridor").isNotNull()),
+        out["corridors"] = write_table(serving.traffic_current(traffic),
                                        lake.path("serving", "traffic_current"))
     return out
 

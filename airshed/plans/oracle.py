@@ -342,6 +342,48 @@ def compass(c: str) -> str:
             f"[{names}][CAST({idx} AS INTEGER) + 1] END, '') END")
 
 
+def realised_curve_sql() -> str:
+    value = rnd("arg_max(aqi_target, time) - 25.0::DOUBLE", 1)
+    return f"""
+SELECT station, horizon_h, aqi_predicted, {aqi_cat('aqi_predicted')} AS category,
+  strftime(TIMESTAMP '2024-02-01 07:00:00' + to_hours(CAST(horizon_h AS INTEGER)),
+           '%Y-%m-%dT%H:%M:%S+07:00') AS valid_time
+FROM (SELECT station, horizon_h, CASE WHEN {value} > 0 THEN {value} ELSE 0.0::DOUBLE END AS aqi_predicted
+      FROM ({horizon_samples_sql()}) GROUP BY station, horizon_h)"""
+
+
+def realised_trend_sql() -> str:
+    return f"""
+SELECT *, CASE WHEN delta IS NULL THEN '' WHEN delta > 1 THEN 'up' WHEN delta < -1 THEN 'down'
+          ELSE 'flat' END AS trend
+FROM (SELECT station, nowcast_aqi, forecast_aqi, forecast_category,
+        {rnd('forecast_aqi - nowcast_aqi', 1)} AS delta, current_aqi
+      FROM (SELECT station, max(aqi_predicted) FILTER (horizon_h = 0) AS nowcast_aqi,
+              max(aqi_predicted) FILTER (horizon_h = 6) AS forecast_aqi,
+              max(category) FILTER (horizon_h = 6) AS forecast_category
+            FROM ({realised_curve_sql()}) GROUP BY station)
+      LEFT JOIN (SELECT station, current_aqi FROM ({station_current()})) USING (station))"""
+
+
+def realised_oracles() -> dict[str, str]:
+    curve = realised_curve_sql()
+    return {
+        "realised_curve": curve,
+        "realised_peak": f"""SELECT station, horizon_h AS peak_horizon_h, aqi_predicted AS peak_aqi,
+            category AS peak_category, valid_time AS peak_valid_time
+            FROM (SELECT *, row_number() OVER (PARTITION BY station
+                    ORDER BY aqi_predicted DESC, horizon_h) AS rn FROM ({curve})) WHERE rn = 1""",
+        "realised_downsample": f"SELECT * FROM ({curve}) WHERE horizon_h % 3 = 0",
+        "realised_trend": realised_trend_sql(),
+        "realised_dashboard": f"""SELECT * FROM ({dashboard_stations_sql()}) LEFT JOIN (
+            SELECT station, forecast_aqi, forecast_category, delta, trend
+            FROM ({realised_trend_sql()})) USING (station)""",
+        "traffic_current": f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+            PARTITION BY corridor ORDER BY last_updated DESC) AS rn FROM ({gold_traffic()})
+            WHERE corridor IS NOT NULL) WHERE rn = 1""",
+    }
+
+
 def more_oracles() -> dict[str, str]:
     return {
         "combined": combined_sql(),
@@ -423,4 +465,5 @@ def oracle_sql() -> dict[str, str]:
         "worst_corridor": worst_corridor_sql(),
         "city_weather": city_weather_sql(),
         **more_oracles(),
+        **realised_oracles(),
     }

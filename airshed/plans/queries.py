@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airshed.functions.classify import aqi_category
+from airshed.functions.numeric import clamp_prediction
 from airshed.functions.text import padded_id
 from airshed.functions.timeparts import iso_utc
 from airshed.operators import clean, joins, marts, normalize, serving
@@ -302,9 +304,13 @@ _TRAINED: dict = {}
 
 
 def trained(spark: SparkSession, sf: str):
-    """Fit once per (application, data dir); later queries reuse the fitted pipeline."""
+    """Fit once per application and state of the data; later queries reuse the fitted pipeline."""
     from airshed.ml import model as M
-    key = (spark.sparkContext.applicationId, sf)
+    files = spark.read.parquet(f"{sf}/events.parquet").select("_metadata.file_path", "_metadata.file_size",
+                                                              "_metadata.file_modification_time")
+    state = files.distinct().agg(F.count("*"), F.sum(
+        F.xxhash64(*files.columns).cast("decimal(38,0)"))).first()
+    key = (spark.sparkContext.applicationId, sf, *state)
     if key not in _TRAINED:
         _TRAINED[key] = M.train(joins.horizon_samples(_training_rows(spark, sf)))
     return _TRAINED[key]
@@ -359,7 +365,57 @@ def dashboard_forecast(spark: SparkSession, sf: str) -> DataFrame:
     return views.dashboard_stations(cur).join(t, on="station", how="left")
 
 
+# ------------------------------------------------------------------ forecast views, realised values
+#: Taken from the realised AQI, so that the clamp at zero has values to work on.
+REALISED_BIAS = 25.0
+
+
+def realised_curve(spark: SparkSession, sf: str) -> DataFrame:
+    """ML13 over a forecast that SQL can compute: per station and horizon the last realised target less
+    a constant, clamped and rounded (FN16), with band and valid time."""
+    pairs = joins.horizon_samples(_training_rows(spark, sf))
+    raw = F.max_by("aqi_target", "time") - F.lit(REALISED_BIAS)
+    f = pairs.groupBy("station", "horizon_h").agg(clamp_prediction(raw).alias("aqi_predicted"))
+    f = f.withColumn("category", aqi_category("aqi_predicted"))
+    return views.with_valid_time(f, RUN_TS)
+
+
+def realised_peak(spark: SparkSession, sf: str) -> DataFrame:
+    """AGG8 and SRT3 over the realised curve."""
+    from airshed.ml import scoring
+    return scoring.peak(realised_curve(spark, sf))
+
+
+def realised_downsample(spark: SparkSession, sf: str) -> DataFrame:
+    """SRT4 over the realised curve."""
+    from airshed.ml import scoring
+    return scoring.downsample(realised_curve(spark, sf))
+
+
+def realised_trend(spark: SparkSession, sf: str) -> DataFrame:
+    """JN9, JN6, FN11 and ML14 over the realised curve."""
+    pairs = joins.now_vs_future(realised_curve(spark, sf))
+    return views.trend_table(pairs, station_current(spark, sf))
+
+
+def realised_dashboard(spark: SparkSession, sf: str) -> DataFrame:
+    """VW4 and VW6: dashboard rows with forecast, band, delta and trend of the realised curve."""
+    t = realised_trend(spark, sf).select("station", "forecast_aqi", "forecast_category", "delta", "trend")
+    return views.dashboard_stations(station_current(spark, sf)).join(t, on="station", how="left")
+
+
+def traffic_current(spark: SparkSession, sf: str) -> DataFrame:
+    """JOB5: one row per corridor."""
+    return serving.traffic_current(gold_traffic(spark, sf))
+
+
 QUERIES = {
+    "realised_curve": realised_curve,
+    "realised_peak": realised_peak,
+    "realised_downsample": realised_downsample,
+    "realised_trend": realised_trend,
+    "realised_dashboard": realised_dashboard,
+    "traffic_current": traffic_current,
     "aqi_silver": aqi_silver,
     "silver_dirty_casts": silver_dirty_casts,
     "gold_stations": gold_stations,

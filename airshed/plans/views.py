@@ -90,11 +90,17 @@ def scoring_features(current: DataFrame, now_utc: str, horizons=K.HORIZONS) -> D
 
 def forecast_time_grid(current: DataFrame, now_utc: str, horizons=K.HORIZONS) -> DataFrame:
     """FN15: valid time (local, ISO text) of every (station, horizon)."""
-    now_local = F.from_utc_timestamp(parse_ts(F.lit(now_utc)), K.SCORING_TZ)
     hs = F.array(*[F.lit(int(h)).cast("long") for h in sorted(set(horizons))])
     g = current.select("station", F.explode(hs).alias("horizon_h"))
+    return with_valid_time(g, now_utc)
+
+
+def with_valid_time(forecast: DataFrame, now_utc: str) -> DataFrame:
+    """FN15 / ML13: adds the local valid time (ISO text) of ``horizon_h`` hours after ``now_utc``."""
+    now_local = F.from_utc_timestamp(parse_ts(F.lit(now_utc)), K.SCORING_TZ)
     vt = now_local + F.make_dt_interval(F.lit(0), F.col("horizon_h").cast("int"))
-    return g.withColumn("valid_time", F.date_format(vt, "yyyy-MM-dd'T'HH:mm:ss'" + K.SCORING_TZ + "'"))
+    return forecast.withColumn("valid_time", F.date_format(
+        vt, "yyyy-MM-dd'T'HH:mm:ss'" + K.SCORING_TZ + "'"))
 
 
 def trend_table(pairs: DataFrame, current: DataFrame) -> DataFrame:

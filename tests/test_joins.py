@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from airshed.functions import constants as K
+from airshed.operators import serving
 from airshed.operators.asof import asof_left_join
 from airshed.operators.joins import horizon_samples, hourly_training_rows, source_fallback
 
@@ -94,3 +95,21 @@ def test_source_fallback(spark):
 
 def test_horizon_constants():
     assert K.HORIZONS == list(range(25)) and len(K.FEATURE_ORDER) == 12
+
+
+def test_horizon_samples_reach_beyond_a_day(spark):
+    t0 = datetime(2024, 1, 1, 23, 30)
+    rows = spark.createDataFrame([("a", t0 + timedelta(hours=h), float(h)) for h in (0, 24, 25, 49)],
+                                 "station string, time timestamp, aqi double")
+    rows = rows.withColumns({c: F.lit(1.0) for c in K.CURRENT_COLS})
+    got = {(r.horizon_h, r.aqi_target) for r in horizon_samples(rows, horizons=[1, 24, 49]).collect()}
+    assert got == {(24, 24.0), (1, 25.0), (24, 49.0), (49, 49.0)}
+
+
+def test_traffic_current_keeps_the_last_place_of_a_corridor(spark):
+    gold = spark.createDataFrame(
+        [("c", 1.0, 1.0, "2024-01-01T00:00:00+00:00"), ("c", 2.0, 2.0, "2024-01-02T00:00:00+00:00"),
+         ("d", 3.0, 3.0, None), (None, 4.0, 4.0, None)],
+        "corridor string, lat double, lon double, last_updated string")
+    got = {(r.corridor, r.lat) for r in serving.traffic_current(gold).collect()}
+    assert got == {("c", 2.0), ("d", 3.0)}

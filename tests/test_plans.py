@@ -56,6 +56,9 @@ def test_horizon_pairing_has_no_self_join(static_plans):
     plan = static_plans("horizon_samples")
     assert n(r"FileScan parquet", plan) == 2     # the AQ and the weather series, once each
     assert n(r"Window \[", plan) == 1
+    # pairs are made after the shuffle: the first operator from the top that makes rows is above
+    # every exchange
+    assert plan.index("Generate explode") < plan.index("Exchange")
 
 
 def test_no_query_uses_a_cartesian_product(static_plans):
