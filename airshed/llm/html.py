@@ -5,7 +5,9 @@ with its path from the root (tags with class and id names). For each path, text
 and link text of its blocks are summed and divided by their number. These ratios are smoothed over
 neighbouring blocks, fused into one score per path, and paths above a threshold are seeds. The
 innermost element that holds most of the seeds' text is the article; its blocks are returned
-except those on paths that name other things (menus, adverts, comments, forms, ...).
+except those in elements of other kinds (nav, form, ...) or named as other things (menus, adverts,
+comments, ...). A name counts only for elements that do not hold most of the seeds' text: wrappers are
+named after their parts.
 """
 
 from __future__ import annotations
@@ -135,18 +137,29 @@ def blocks(page: str) -> list[_Block]:
 
 @lru_cache(4096)
 def _other(path: tuple) -> bool:
-    """Does the path name something that is not the article?"""
+    """Do the tags of the path say that it is not the article?"""
     in_article = False
-    for tag, names in path:
+    for tag, _ in path:
         if tag in ("article", "main"):
             in_article = True
         if tag in _NOT_TAGS or tag == "header" and not (in_article and path[-1][0] in _HEADINGS):
             return True
-        if tag not in ("html", "body") and any(n in _NOT_NAMES for n in names):
-            return True
     return False
 
 
+@lru_cache(4096)
+def _named(path: tuple) -> tuple[tuple, ...]:
+    """The paths of the elements on the path whose names say that they are not the article. Main and
+    article are the article whatever their names, but for an article inside another."""
+    found, in_article = [], False
+    for i, (tag, names) in enumerate(path):
+        if (any(n in _NOT_NAMES for n in names) and tag not in ("html", "body", "main")
+                and (tag != "article" or in_article)):
+            found.append(path[:i + 1])
+        in_article = in_article or tag == "article"
+    return tuple(found)
+
+
 def _deviation(x: list[float]) -> float:
     mean = sum(x) / len(x)
     return sqrt(sum((v - mean) ** 2 for v in x) / len(x))
@@ -175,6 +188,44 @@ def _seeds(found: list[_Block], texts: list[str]) -> list[float]:
     return [score[b.path] if score[b.path] >= least else 0.0 for b in found]
 
 
+def _in_article(path: tuple, kept: set[tuple]) -> bool:
+    """Is the path in a main or article that is in no ``_named`` element but those of ``kept``?"""
+    inside = next((i for i, (tag, _) in enumerate(path) if tag in ("article", "main")), None)
+    return inside is not None and kept.issuperset(e for e in _named(path) if len(e) <= inside)
+
+
+def _misnamed(found: list[_Block], texts: list[str]) -> set[tuple]:
+    """The paths of ``_named`` elements that are not left out: those that hold more of the seeds' text
+    than there is outside all elements to be left out, such as a wrapper named has-sidebar. Once
+    a main or article is known to stay, only the text in such elements counts."""
+    def seeds(scope: list[bool]) -> dict[tuple, int]:
+        some = [(b, t) for b, t, x in zip(found, texts, scope, strict=True) if x]
+        total: dict = defaultdict(int)
+        score = _seeds([b for b, _ in some], [t for _, t in some])
+        for (b, t), s in zip(some, score, strict=True):
+            total[b.path] += len(t) if s else 0
+        return total
+
+    kept: set[tuple] = set()
+    before = None
+    while True:
+        scope = [_in_article(b.path, kept) for b in found]
+        scope = scope if any(scope) else [True] * len(found)
+        if scope != before:
+            total, before = seeds(scope), scope
+        held: dict = defaultdict(int)
+        outside = 0
+        for path, n in total.items():
+            left = [e for e in _named(path) if e not in kept]
+            outside += 0 if left else n
+            for element in left:
+                held[element] += n
+        largest = max(held, key=lambda e: (held[e], -len(e)), default=None)
+        if largest is None or held[largest] <= outside:
+            return kept
+        kept.add(largest)
+
+
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks joined by an empty line; empty if there is none."""
     found = [b for b in blocks(page or "") if not _other(b.path)]
@@ -183,6 +234,12 @@ def main_text(page: str | None) -> str:
     if not pairs:
         return ""
     found, texts = [b for b, _ in pairs], [t for _, t in pairs]
+    if any(_named(b.path) for b in found):
+        misnamed = _misnamed(found, texts)
+        pairs = [(b, t) for b, t in pairs if misnamed.issuperset(_named(b.path))]
+        if not pairs:
+            return ""
+        found, texts = [b for b, _ in pairs], [t for _, t in pairs]
     score = _seeds(found, texts)
     held: dict[int, int] = defaultdict(int)
     depth: dict[int, int] = {}

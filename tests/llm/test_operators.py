@@ -294,6 +294,26 @@ def test_html(spark):
     assert html.extract_pages(pages.limit(0)).count() == 0
 
 
+PARTS = [f"Paragraph {i} of the article, with a good number of words in it; and more." for i in range(4)]
+BODY = "".join(f"<p>{x}</p>" for x in PARTS)
+
+
+@pytest.mark.parametrize("wrapper", [
+    '<div class="page has-sidebar">{}</div>', '<div class="no-sidebar">{}</div>',
+    '<main class="has-banner">{}</main>', '<article class="comments-open">{}</article>',
+    '<article class="post category-social tag-legal">{}</article>',
+    '<div class="has-sidebar"><article><div id="social-story">{}</div></article></div>'])
+def test_html_wrapper_names(wrapper):
+    """Names of wrappers do not hide the article; small named parts in them stay out."""
+    inner = BODY + '<div class="sidebar"><p>Other news, briefly.</p></div><div class="ad">Buy.</div>'
+    assert html.main_text("<body>" + wrapper.format(inner)) == "\n\n".join(PARTS)
+    ad = f'<div class="ad"><p>{PARTS[0]} {PARTS[1]}</p></div>'
+    assert html.main_text(f"<body>{ad}<article><p>Short.</p></article></body>") == "Short."
+    half = [f'<div class="{c}"><p>{x}</p></div>' for c, x in zip(
+        ["has-banner", "category-social"], PARTS, strict=False)]
+    assert html.main_text("".join(half)).startswith(PARTS[0])
+
+
 def test_quality(spark, docs, rows, empty):
     good = [(i, " ".join(RNG.choice(VOCABULARY, 40)) + ".", 1) for i in range(100, 400)]
     junk = [(i, " ".join(w.upper() + "!!" for w in RNG.choice(VOCABULARY, 30)), 0)
