@@ -4,9 +4,10 @@ A page is read once as a sequence of blocks: runs of text between tags of block
 with its path from the root (tags with class and id names). For each path, text length, punctuation
 and link text of its blocks are summed and divided by their number. These ratios are smoothed over
 neighbouring blocks, fused into one score per path, and paths above a threshold are seeds. The
-innermost element that holds most of the seeds' text is the article; its blocks are returned
-except those in elements of other kinds (nav, form, ...) or named as other things (menus, adverts,
-comments, ...). A name counts only for elements that do not hold most of the seeds' text: wrappers are
+article is what main and article elements hold, all of them that have seeds, if that is most of the
+seeds' text. Else it reaches from the first seed to the last, and beyond them in the innermost
+element around all seeds as far as the text is not mostly links. Its blocks are returned except those
+in elements of other kinds (nav, form, ...) or named as other things (menus, adverts, comments, ...). A name counts only for elements that do not hold most of the seeds' text: wrappers are
 named after their parts.
 """
 
@@ -45,7 +46,10 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _SAME = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)),
          "tr": ("tr td th", ("table", "tbody", "thead", "tfoot")),
          "td": ("td th", ("tr",)), "th": ("td th", ("tr",)), "option": ("option", ("select",))}
-MOST = 0.6  # part of the seeds' text that the article's element must hold
+#: Elements that are a part of a text and do not hold a whole one.
+_PARTS = _HEADINGS | frozenset("p ul ol li dl dt dd menu table caption thead tbody tfoot tr td th "
+                               "blockquote pre figure figcaption address details summary".split())
+MOST = 0.6  # part of the seeds' text that main and article elements must hold to be the article
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
@@ -241,28 +245,35 @@ def main_text(page: str | None) -> str:
             return ""
         found, texts = [b for b, _ in pairs], [t for _, t in pairs]
     score = _seeds(found, texts)
-    held: dict[int, int] = defaultdict(int)
-    depth: dict[int, int] = {}
-    whole = 0
-    for b, t, s in zip(found, texts, score, strict=True):
-        if not s:
-            continue
-        whole += len(t)
-        leaf = b.path[-1][0] if b.path else ""
-        inner = b.elements[:-1] if leaf in ("p", "li", "td", "pre") or leaf in _HEADINGS \
-            else b.elements
-        for d, e in enumerate(inner):
-            held[e] += len(t)
-            depth[e] = d
-    article = [e for b, s in zip(found, score, strict=True) if s
-               for e, x in zip(b.elements, b.path, strict=True) if x[0] in ("article", "main")]
-    inside = [e for e in (article or held) if held[e] >= MOST * whole]
-    if not inside:
-        return "\n\n".join(texts)
-    root = (min if article else max)(inside, key=depth.__getitem__)
-    kept = [(b, t) for b, t in zip(found, texts, strict=True) if root in b.elements
-            and not (not article and b.link * 2 > len(t) and b.path[-1][0] not in _HEADINGS)]
-    return "\n\n".join(t for _, t in kept)
+    seeds = [i for i, x in enumerate(score) if x] or list(range(len(found)))
+    parts = {}  # outermost main or article of the seeds in one: number of the element
+    for i in seeds:
+        for e, (tag, _) in zip(found[i].elements, found[i].path, strict=True):
+            if tag in ("article", "main"):
+                parts[i] = e
+                break
+    if sum(len(texts[i]) for i in parts) >= MOST * sum(len(texts[i]) for i in seeds):
+        roots = set(parts.values())
+        inside = [i for i, b in enumerate(found) if not roots.isdisjoint(b.elements)]
+        return "\n\n".join(texts[inside[0]:inside[-1] + 1])
+    first, last = seeds[0], seeds[-1]
+    root = _common(found[first], found[last])
+    kept = [t for i, (b, t) in enumerate(zip(found, texts, strict=True))
+            if first <= i <= last or (root is None or root in b.elements)
+            and (b.link * 2 <= len(t) or b.path[-1:] and b.path[-1][0] in _HEADINGS)]
+    return "\n\n".join(kept)
+
+
+def _common(first: _Block, last: _Block) -> int | None:
+    """The innermost element around the first and the last seed, and so around all of them, that is
+    not itself a part of a text, such as a quote or a list."""
+    root = None
+    for e, x, (tag, _) in zip(first.elements, last.elements, first.path, strict=False):
+        if e != x:
+            break
+        if tag not in _PARTS:
+            root = e
+    return root
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

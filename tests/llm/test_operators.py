@@ -314,6 +314,25 @@ def test_html_wrapper_names(wrapper):
     assert html.main_text("".join(half)).startswith(PARTS[0])
 
 
+def test_html_keeps_all_parts():
+    """Without one article element, no part of the article is lost to a larger one."""
+    a, b, c, d = PARTS
+    long = " ".join(PARTS)
+    tag = lambda name, *x: f"<{name}>{''.join(x)}</{name}>"
+    p = lambda *x: "".join(tag("p", t) for t in x)
+    menu = '<ul><li><a href="/x">Home</a></li><li><a href="/y">News</a></li></ul>'
+    cases = [
+        (tag("div", p(a, b)) + tag("div", p(c)), [a, b, c]),
+        (tag("article", p(a, b, c)) + tag("article", p(d)), [a, b, c, d]),
+        (tag("article", p(a, b)) + "<h2>Two</h2>" + tag("article", p(c)), [a, b, "Two", c]),
+        (tag("div", p(a), tag("blockquote", p(long, long)), p(b)), [a, long, long, b]),
+        (tag("div", p(a), tag("ul", *[tag("li", long)] * 3), p(b)), [a, long, long, long, b]),
+        (tag("div", p(a, f'<a href="/z">{b}</a>', c)), [a, b, c]),
+        (menu + tag("div", "<h1>Title</h1>", p(a, b, c), p("End.")), ["Title", a, b, c, "End."])]
+    for page, want in cases:
+        assert html.main_text(f"<body>{page}</body>") == "\n\n".join(want), page
+
+
 def test_quality(spark, docs, rows, empty):
     good = [(i, " ".join(RNG.choice(VOCABULARY, 40)) + ".", 1) for i in range(100, 400)]
     junk = [(i, " ".join(w.upper() + "!!" for w in RNG.choice(VOCABULARY, 30)), 0)
