@@ -156,24 +156,24 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, plan: Plan) -> DataFrame:
-    """doc_id, n (size of the set), node and check (hashes of the set), keys. Keys are given once
-    per set and task."""
+    """doc_id, key (hash of the text), n (size of the set), node and check (hashes of the set), keys.
+    Keys are given once per set and task."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         done = set()
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for doc_id, key, text in zip(batch["doc_id"], batch["key"], batch["text"], strict=True):
                 x = shingles(text)
                 node = int(_signed(_mix(x, 8).sum(dtype=np.uint64, keepdims=True))[0])
                 check = int(_signed(_mix(x, 9).sum(dtype=np.uint64, keepdims=True))[0])
                 keys = None if node in done else _signed(plan.keys(x))
                 done.add(node)
-                rows.append((doc_id, len(x), node, check, keys))
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "node", "check", "keys"]).astype(
+                rows.append((doc_id, key, len(x), node, check, keys))
+            yield pd.DataFrame(rows, columns=["doc_id", "key", "n", "node", "check", "keys"]).astype(
                 {"doc_id": "Int64"})
 
-    return docs.select("doc_id", "text").mapInPandas(
-        run, "doc_id long, n long, node long, check long, keys array<long>")
+    return docs.select("doc_id", F.xxhash64("text").alias("key"), "text").mapInPandas(
+        run, "doc_id long, key long, n long, node long, check long, keys array<long>")
 
 
 def _contents(docs: DataFrame) -> DataFrame:
@@ -267,7 +267,8 @@ def link(docs: DataFrame, num: int = NUM, den: int = DEN, boundary: int | None =
         boundary = choose_boundary({r["s"]: r["count"] for r in sizes}, num, den)
     sets = written(_sets(docs, Plan(boundary, num, den)), "sets")
     full = sets.where("n > 0")
-    classes = full.groupBy("node", "check", "n").agg(F.min("doc_id").alias("first"))
+    classes = full.groupBy("node", "check", "n").agg(F.min("doc_id").alias("first"),
+                                                     F.min("key").alias("key"))
 
     by_key = Window.partitionBy("key")
     lists = (full.where(F.col("keys").isNotNull())
@@ -284,9 +285,10 @@ def link(docs: DataFrame, num: int = NUM, den: int = DEN, boundary: int | None =
     leaders = lists.groupBy("key").agg(F.max(F.struct("company", "node"))["node"].alias("leader"))
     lists = written(lists.join(leaders, "key").drop("company"), "led")
 
-    first = small(classes.join(lists.select("node").distinct(), "node", "left_semi")
-                  .select("first").distinct().withColumnRenamed("first", "doc_id"), IDS)
-    contents = written(_contents(docs.join(first, "doc_id", "left_semi"))
+    # A text of each set, found by its hash: ids can be null. Other texts of that hash do no harm.
+    texts = small(classes.join(lists.select("node").distinct(), "node", "left_semi")
+                  .select(F.col("key").alias("_key")).distinct(), IDS)
+    contents = written(_contents(docs.join(texts, F.xxhash64("text") == F.col("_key"), "left_semi"))
                        .dropDuplicates(["node"]), "contents")
 
     met = written(_against_leader(lists, contents, num, den), "met")

@@ -222,6 +222,18 @@ def test_jaccard_near_copies(spark):
     assert got == dict(enumerate(root)) and 1 < len(set(root)) < len(root)
 
 
+def test_jaccard_null_ids(spark):
+    """Sets whose rows have no doc_id link as others do, and lead lists."""
+    base = [f"t{i}" for i in range(150)]
+    texts = [" ".join(base)]  # without an id; the others are near it, and some not near each other
+    for at in ((20,), (60,), (100,), (5, 140), (40, 80)):
+        texts.append(" ".join(f"new{i}" if i in at else w for i, w in enumerate(base)))
+    rows = [(i or None, t) for i, t in enumerate(texts)] + [(None, texts[0])]
+    got = jaccard.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {
+        (i, 1) for i in (None, *range(1, len(texts)))} and len(got) == len(rows)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(20)] + [(40, 50), (50, 45), (60, 60)]
     got = {tuple(r) for r in components.components(
