@@ -7,9 +7,10 @@ Sets that link differ in few elements, at most H = (den - num) / (den + num) of
   with it; linked sets have a subset in common.
 * Large sets (heavy): elements are dealt by hash to more cells than H, so linked sets agree in
   some cell as a whole. Each set stands in the inverted list of each of its cells, for its own
-  size class and the next; the lists are scanned for sets that meet. Some cells are spare, so
-  those with fewer than LEAST elements, which unrelated sets share, need no list as long as there
-  are no more of them than spare ones.
+  size class and the next; the lists are scanned for sets that meet. Some cells are spare, so a set
+  needs only its fullest cells, one more than can differ and all of their least size: of two linked
+  sets, the one with the lower least size has every cell that the other one has and that agrees.
+  Cells of few elements, which unrelated sets share, thus need no list.
 
 The boundary is the size with the smallest number of rows to shuffle, from a histogram of sizes. Equal
 sets are one class from the start. In each list every set is compared with the one that meets most
@@ -35,7 +36,7 @@ from airshed.llm.components import components
 
 SHINGLE = 3
 NUM, DEN = 9, 10
-LEAST = 3
+SPARE = 9  # with this many elements in a cell or more, few cells are spare
 LIST_COST = 4  # of a row in an inverted list, which is compared set by set, in rows of subsets
 MOST_SMALL = 48  # largest boundary that is considered
 BLOCK = 1000  # sets of one leader that a task compares with as many others
@@ -109,9 +110,16 @@ class Plan:
             self.lows.append(self.lows[-1] * self.den // self.num + 1)
         top = self.lows[j] * self.den // self.num
         most = 2 * top * (self.den - self.num) // (self.den + self.num)
-        spare = 2 + most // 20
+        spare = 2 + (most // 20 if self.den + self.num >= 2 * SPARE * (self.den - self.num)
+                     else most * 3 // 10)
         return most + 1 + spare, spare
 
+    def differ(self, s: int, j: int) -> int:
+        """Most elements in which a set of size s and a linked one of at most the top of class j differ."""
+        top = self.lows[j] * self.den // self.num
+        return (s + min(top, s * self.den // self.num)) * (self.den - self.num) // (
+            self.den + self.num)
+
     def keys(self, x: np.ndarray) -> np.ndarray:
         s, out = len(x), []
         if 0 < s <= self.top_small:
@@ -124,12 +132,13 @@ class Plan:
             own = self.size_class(s)
             y = _mix(x, 5)
             for j in (own, own + 1):
-                m, spare = self.cells(j)
+                m, _ = self.cells(j)
                 cell = (y % np.uint64(m)).astype(np.int64)
                 sums = np.zeros(m, np.uint64)
                 np.add.at(sums, cell, y)
-                full = np.bincount(cell, minlength=m) >= LEAST
-                which = np.flatnonzero(full) if m - int(full.sum()) <= spare else np.arange(m)
+                filled = np.bincount(cell, minlength=m)
+                # full enough: the differ + 1 fullest cells and those of equal size
+                which = np.flatnonzero(filled >= np.sort(filled)[m - 1 - self.differ(s, j)])
                 out.append(_mix(sums[which] ^ _mix(which.astype(np.uint64)
                                                    + np.uint64(j << 32), 6), 7))
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
@@ -155,7 +164,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _sets(docs: DataFrame, plan: Plan) -> DataFrame:
+def _sets(docs: DataFrame, plan: Plan, k: int) -> DataFrame:
     """doc_id, key (hash of the text), n (size of the set), node and check (hashes of the set), keys.
     Keys are given once per set and task."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -163,7 +172,7 @@ def _sets(docs: DataFrame, plan: Plan) -> DataFrame:
         for batch in batches:
             rows = []
             for doc_id, key, text in zip(batch["doc_id"], batch["key"], batch["text"], strict=True):
-                x = shingles(text)
+                x = shingles(text, k)
                 node = int(_signed(_mix(x, 8).sum(dtype=np.uint64, keepdims=True))[0])
                 check = int(_signed(_mix(x, 9).sum(dtype=np.uint64, keepdims=True))[0])
                 keys = None if node in done else _signed(plan.keys(x))
@@ -176,11 +185,11 @@ def _sets(docs: DataFrame, plan: Plan) -> DataFrame:
         run, "doc_id long, key long, n long, node long, check long, keys array<long>")
 
 
-def _contents(docs: DataFrame) -> DataFrame:
+def _contents(docs: DataFrame, k: int) -> DataFrame:
     """node and x, the set as an array, for each row."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = [shingles(t) for t in batch["text"]]
+            sets = [shingles(t, k) for t in batch["text"]]
             yield pd.DataFrame({
                 "node": [int(_signed(_mix(x, 8).sum(dtype=np.uint64, keepdims=True))[0])
                          for x in sets], "x": [_signed(x) for x in sets]})
@@ -254,18 +263,19 @@ def _others(met: DataFrame, roots: DataFrame, num: int, den: int) -> DataFrame:
             .applyInPandas(compare, "a long, b long"))
 
 
-def link(docs: DataFrame, num: int = NUM, den: int = DEN, boundary: int | None = None) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, the smallest doc_id
-    that links reach. Texts without words link with nothing. Sets stand for themselves as sums of
+def link(docs: DataFrame, num: int = NUM, den: int = DEN, boundary: int | None = None,
+         k: int = SHINGLE) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles (of k words), component_id, the
+    smallest doc_id that links reach. Texts without words link with nothing. Sets stand for themselves as sums of
     64-bit hashes; a candidate pair links only after its sets have been compared."""
     docs = docs.select("doc_id", "text")
     if boundary is None:
         words = F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""))
         sizes = (docs.where(F.length("text") <= 40 * MOST_SMALL)  # longer texts are large sets
-                 .groupBy(F.greatest(words - (SHINGLE - 1), F.lit(1)).alias("s")).count()
+                 .groupBy(F.greatest(words - (k - 1), F.lit(1)).alias("s")).count()
                  .where(F.col("s") <= 2 * MOST_SMALL).collect())
         boundary = choose_boundary({r["s"]: r["count"] for r in sizes}, num, den)
-    sets = written(_sets(docs, Plan(boundary, num, den)), "sets")
+    sets = written(_sets(docs, Plan(boundary, num, den), k), "sets")
     full = sets.where("n > 0")
     classes = full.groupBy("node", "check", "n").agg(F.min("doc_id").alias("first"),
                                                      F.min("key").alias("key"))
@@ -288,7 +298,7 @@ def link(docs: DataFrame, num: int = NUM, den: int = DEN, boundary: int | None =
     # A text of each set, found by its hash: ids can be null. Other texts of that hash do no harm.
     texts = small(classes.join(lists.select("node").distinct(), "node", "left_semi")
                   .select(F.col("key").alias("_key")).distinct(), IDS)
-    contents = written(_contents(docs.join(texts, F.xxhash64("text") == F.col("_key"), "left_semi"))
+    contents = written(_contents(docs.join(texts, F.xxhash64("text") == F.col("_key"), "left_semi"), k)
                        .dropDuplicates(["node"]), "contents")
 
     met = written(_against_leader(lists, contents, num, den), "met")
@@ -311,10 +321,10 @@ def link(docs: DataFrame, num: int = NUM, den: int = DEN, boundary: int | None =
                       .otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+def keep_one(docs: DataFrame, num: int = NUM, den: int = DEN, k: int = SHINGLE) -> DataFrame:
     """``docs`` with one document of each component, that with the smallest doc_id. Rows that repeat a
     kept doc_id are dropped but for one; rows without doc_id stay."""
-    found = written(link(docs, num, den), "components")
+    found = written(link(docs, num, den, k=k), "components")
     gone = small(found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(),
                  IDS)
     kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)

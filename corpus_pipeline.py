@@ -13,6 +13,8 @@ from airshed.llm import decontamination, jaccard, language, mixing, sharding
 from airshed.llm.common import small, table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+SHINGLE = 5  # words, of near duplicates
+NUM, DEN = 4, 5  # least similarity of near duplicates
 LEAST_SCORE = 0.5  # of the language: texts below it are not in one language
 IDS = 4_000_000  # lists of keys up to this length are broadcast
 
@@ -35,8 +37,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each component of linked documents."""
-    return jaccard.keep_one(docs).select(*COLUMNS)
+    """Keeps the document with the smallest doc_id of each component of linked documents: those whose
+    sets of SHINGLE words have a similarity of NUM / DEN or more (op9_jaccard has its own values)."""
+    return jaccard.keep_one(docs, NUM, DEN, SHINGLE).select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -222,6 +222,26 @@ def test_jaccard_near_copies(spark):
     assert got == dict(enumerate(root)) and 1 < len(set(root)) < len(root)
 
 
+@pytest.mark.parametrize(("num", "den"), [(9, 10), (4, 5)])
+def test_linked_sets_share_a_key(num, den):
+    """Any two sets of at least the similarity share a key; unrelated ones hardly any."""
+    rng = np.random.default_rng(5)
+    new = lambda n: rng.integers(1, 2**63, n).astype(np.uint64)
+    alien = 0
+    for boundary in (1, 9, 30):
+        plan = jaccard.Plan(boundary, num, den)
+        sizes = [*range(5, 26), *range(31, 400, 7)]
+        for s in sizes if boundary < 30 else sizes[30:]:
+            a = new(s)
+            out = int(rng.integers(0, s + 1)) * (den - num) // den
+            into = max(0, (s - out) * den // num - s)
+            b = np.concatenate([a[out:], new(into)])
+            if (s - out) * den >= (s + into) * num:
+                assert np.intersect1d(plan.keys(np.sort(a)), plan.keys(np.sort(b))).size
+            alien += s > 60 and np.intersect1d(plan.keys(np.sort(a)), plan.keys(new(s))).size
+    assert alien == 0
+
+
 def test_jaccard_null_ids(spark):
     """Sets whose rows have no doc_id link as others do, and lead lists."""
     base = [f"t{i}" for i in range(150)]

@@ -49,6 +49,18 @@ def test_stages(spark, folder):
     assert max(sizes) - min(sizes) <= 1
 
 
+def test_near_duplicates_threshold(spark, folder):
+    """A copy with a passage of an eighth of the text added is a near duplicate; one of a third is not."""
+    base = [f"w{i}" for i in range(200)]
+    texts = [base, [*base, *[f"n{i}" for i in range(25)]], [*base, *[f"m{i}" for i in range(67)]],
+             [*base[:100], *[f"p{i}" for i in range(40)], *base[100:]]]
+    docs = spark.createDataFrame(
+        [(i, " ".join(t), None, None, None) for i, t in enumerate(texts)],
+        "doc_id long, text string, lang string, source string, n_chars long")
+    kept = pipeline.near_duplicates(spark, docs, folder)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2]
+
+
 def test_run_repeats(spark, folder):
     first, second = (sorted(map(tuple, pipeline.run(spark, folder).drop("grown_shard").collect()))
                      for _ in range(2))
