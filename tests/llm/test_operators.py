@@ -451,3 +451,17 @@ def test_pii_finds_by_context(spark):
     assert got[10]["spans"] == "card:14:26" and got[10]["n_card"] == 0
     assert got[11]["spans"] == ""
     assert (got[12]["n_email"], got[12]["n_ip"], got[12]["n_card"]) == (2, 2, 0)
+
+
+def test_pii_context_without_digits(spark):
+    """Emails without digits are seeds; unseen addresses have no digits and may follow a digit word."""
+    mails = ["alice@example.com", "bob@example.org", "carol@some.net", "dave@an.example"]
+    data = [(i, f"é on 7  please write (to) {m}, soon") for i, m in enumerate(mails)]
+    data += [(9, "é on 7  please write (to) zoe-at-example, soon"), (10, "write zoe-at-example x")]
+    cards = ["4111 1111 1111 1111", "5500 0055 5555 5559", "6011 1111 1111 1117", "4012 8888 8888 1881"]
+    data += [(20 + i, f"room n7x {c} is paid by mail a@b.cc") for i, c in enumerate(cards)]
+    data += [(30, "room n7x AB-9 is paid")]
+    got = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(
+        spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got[0] == "email:26:43" and got[9] == "email:26:40" and got[10] == ""
+    assert got[30] == "card:9:13"
