@@ -13,8 +13,11 @@ from airshed.llm import (
     language,
     licenses,
     mixing,
+    periodic,
     pii,
     quality,
+    ranked,
+    secrets,
     sharding,
     topk,
 )
@@ -64,10 +67,23 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.with_tail_repeats(table(spark, sf_dir, "documents"))
+    return periodic.digests(periodic.find_runs(docs))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontamination, op2_html_extraction, op3_sharding, op4_mixing,
                             op5_topk, op6_quality, op7_licenses, op8_language, op9_jaccard,
-                            op10_pii)}
+                            op10_pii, op11_periodic_runs, op12_secrets, op13_ranked_search)}
 
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
@@ -105,4 +121,121 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 5
 """
 
-ORACLE: dict[str, str] = {"op1_decontamination": _OP1, "op5_topk": _OP5}
+_CRC = ("list_reduce(list_prepend(4294967295, [CAST(ord(c) AS BIGINT) FOR c IN "
+        "string_split(CAST(doc_id AS VARCHAR), '')]), lambda a, b: list_reduce(list_prepend("
+        "xor(a, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))")
+
+# Pairs of equal 6-word pieces at distance q, in stretches of neighbouring starts, are repetitions of
+# period q; of those with the same bounds the least period counts.
+_OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    CASE WHEN doc_id IS NOT NULL THEN xor({_CRC}, 4294967295) END AS h
+  FROM documents),
+e AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 AND h % 10 = 0
+        THEN (h // 10) % len(w) END AS a FROM d),
+f AS (SELECT *, CASE WHEN a IS NOT NULL THEN 1 + (n - a) // (3 + g % 8) END AS p FROM e),
+t AS MATERIALIZED (SELECT r, doc_id, CASE WHEN a IS NULL THEN w ELSE
+    list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w
+  FROM f),
+six AS (SELECT r, i, hash(w[i + 1:i + 6]) AS x
+        FROM (SELECT r, w, unnest(range(len(w) - 5)) AS i FROM t WHERE len(w) >= 12)),
+pairs AS (SELECT l.r, l.i, m.i - l.i AS q FROM six l JOIN six m
+          ON l.r = m.r AND l.x = m.x AND m.i > l.i),
+parts AS (SELECT r, q, min(i) AS s, max(i) + q + 6 AS e FROM
+            (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM pairs)
+          GROUP BY r, q, k),
+runs AS MATERIALIZED (SELECT r, s, e - s AS len, min(q) AS q FROM parts
+  WHERE e - s >= 12 AND e - s >= 2 * q GROUP BY r, s, e),
+gone AS (SELECT DISTINCT r, unnest(range(s + q, s + len)) AS i FROM runs),
+lost AS (SELECT r, list(i) AS g FROM gone GROUP BY r),
+best AS (SELECT r, count(*) AS n_runs, max({{'l': len, 's': -s, 'q': -q}}) AS m,
+           string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS lines
+         FROM runs GROUP BY r),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS c FROM
+           (SELECT t.r, unnest(w) AS x, unnest(range(len(w))) AS i FROM t SEMI JOIN lost ON t.r = lost.r)
+         WHERE (r, i) NOT IN (SELECT (r, i) FROM gone) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, -m.s AS start, m.l AS length, -m.q AS period,
+  1000 * m.l // -m.q AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+  sha256(coalesce(c, array_to_string(w, ' '))) AS collapsed_sha256
+FROM t LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
+"""
+
+def _places(name: str, source: str, expression: str, group: int = 0) -> str:
+    """CTE of the matches of an expression: r, m, g (the group), e (end), in code points."""
+    return f"""{name}_m AS (SELECT r, unnest(range(len(m))) AS i, unnest(m) AS m, unnest(g) AS g,
+    unnest(p[1:len(m)]) AS p FROM (SELECT r, regexp_extract_all(text, '{expression}') AS m,
+      regexp_extract_all(text, '{expression}', {group}) AS g,
+      string_split_regex(text, '{expression}') AS p FROM {source})),
+{name} AS (SELECT r, m, g, CAST(sum(length(p) + length(m)) OVER (PARTITION BY r ORDER BY i) AS INT) AS e
+  FROM {name}_m)"""
+
+
+def _entropy(name: str, chars: str, most: int) -> str:
+    """CTE ``name`` of the stretches (r, s, e, m: the candidate) that windows of low enough sums cover."""
+    allowed = "|".join(f"(?:{a})" for a in secrets.ALLOWED)
+    listed = " OR ".join(f"contains(m, '{x}')" for x in secrets.LISTINGS)
+    w = secrets.WINDOW
+    return f"""{_places(f'{name}_c', 'd', f'[{chars}]{{{w},}}')},
+{name}_w AS (SELECT r, e, m, i, sum(weights[n + 1]) AS total FROM (
+    SELECT r, e, m, i, c, count(*) AS n FROM (SELECT r, e, m, i, unnest(string_split(m[i:i + {w - 1}], '')) AS c
+      FROM (SELECT r, e, m, unnest(range(1, length(m) - {w - 2})) AS i FROM {name}_c
+        WHERE NOT (regexp_full_match(m, '{allowed}') OR {listed})))
+    GROUP BY r, e, m, i, c), (SELECT {secrets.weights(w)} AS weights)
+  GROUP BY r, e, m, i HAVING total <= {most}),
+{name} AS (SELECT r, CAST(e - length(m) + min(i) - 1 AS INT) AS s,
+    CAST(e - length(m) + max(i) + {w - 1} AS INT) AS e FROM (
+    SELECT *, sum(new) OVER (PARTITION BY r, e ORDER BY i) AS part FROM (
+      SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY r, e ORDER BY i) <= {w} THEN 0 ELSE 1 END AS new
+      FROM {name}_w))
+  GROUP BY r, e, m, part)"""
+
+
+_ASSIGN = ("(?:" + "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in x) for x in
+                            ("password", "passwd", "secret", "token", "api_?key"))
+           + r""")["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
+_NOT_IN = "NOT EXISTS (SELECT 1 FROM {} x WHERE x.r = y.r AND x.s <= y.s AND y.e <= x.e)".format
+_OP12 = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text
+                        FROM documents),
+{_places('assign', 'd', _ASSIGN, 1)},
+{_places('access', 'd', 'AKIA[A-Z0-9]{16,}')},
+{_places('hex', 'd', '[0-9a-f]{24,}')},
+base AS (SELECT r, 0 AS k, 'assign' AS kind, e - length(m) AS s, e FROM assign WHERE length(g) >= 6
+  UNION ALL SELECT r, 1, 'access', e - length(m), e FROM access
+  UNION ALL SELECT r, 2, 'hex', e - length(m), e FROM hex),
+{_entropy('eh', secrets.CLASSES[0][1], secrets.limit(secrets.WINDOW, secrets.CLASSES[0][2]))},
+{_entropy('eb', secrets.CLASSES[1][1], secrets.limit(secrets.WINDOW, secrets.CLASSES[1][2]))},
+more AS (SELECT * FROM eh y WHERE {_NOT_IN('base')}),
+spans AS (SELECT * FROM base UNION ALL SELECT r, 3, 'entropy_hex', s, e FROM more
+  UNION ALL SELECT r, 4, 'entropy_base64', s, e FROM eb y WHERE {_NOT_IN('base')} AND {_NOT_IN('more')}),
+found AS (SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access,
+    count(*) FILTER (k = 2) AS n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k, e) FILTER (k < 3) AS base,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k, e) AS spans FROM spans GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN found USING (r)
+"""
+
+_OP13 = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+whole AS (SELECT count(*) AS nd, sum(len(w)) AS nw FROM d WHERE len(w) > 0),
+item AS (SELECT DISTINCT item_id, unnest({_WORDS}) AS t FROM benchmark),
+entry AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d)
+          SEMI JOIN item USING (t) GROUP BY r, t),
+weight AS (SELECT t, CAST(floor(1000 * ln((2 * nd + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+           FROM entry, whole GROUP BY t, nd),
+part AS (SELECT r, t, weight.w * (1000000000 * tf // (1000 * tf + 20 * CAST(
+           50 + 50 * len(d.w) * nd // nw AS BIGINT))) AS s
+         FROM entry JOIN weight USING (t) JOIN d USING (r), whole),
+score AS (SELECT item_id, doc_id, r, CAST(sum(s) AS BIGINT) AS score
+          FROM item JOIN part USING (t) JOIN d USING (r) GROUP BY item_id, doc_id, r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM
+  (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+   FROM score WHERE score > 0)
+WHERE rank <= 50
+"""
+
+ORACLE: dict[str, str] = {"op1_decontamination": _OP1, "op5_topk": _OP5, "op11_periodic_runs": _OP11,
+                          "op12_secrets": _OP12, "op13_ranked_search": _OP13}
