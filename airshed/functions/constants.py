@@ -50,6 +50,9 @@ REQUEST_DEFAULTS = {"pm25": 0.0, "pm10": 0.0, "no2": 0.0, "o3": 0.0,
                     "temp_c": 28.0, "humidity_pct": 75.0, "wind_speed_ms": 2.0,
                     "hour": 12, "dayofweek": 0}
 
+# Inclusive bounds of a request's fields.
+REQUEST_BOUNDS = {"hour": (0, 23), "dayofweek": (0, 6)}
+
 # Traffic payload defaults: current speed, free-flow speed, road closure.
 TRAFFIC_DEFAULTS = {"current_speed_kmh": 0.0, "free_flow_kmh": 1.0, "road_closure": False}
 

@@ -3,23 +3,53 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airshed.functions import constants as K
 from airshed.functions.classify import aqi_category
 from airshed.functions.numeric import clamp_prediction
+from airshed.functions.timeparts import target_parts
+from airshed.operators.dedup import horizon_list
 from airshed.operators.joins import now_vs_future
 from airshed.plans import views
 
 
-def request_rows(req: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """ML10: apply request defaults; rows with hour outside 0-23 or weekday outside 0-6 go to
-    a reject output instead of being scored."""
-    filled = req.withColumns({c: F.coalesce(F.col(c), F.lit(v))
-                              for c, v in K.REQUEST_DEFAULTS.items() if c in req.columns})
-    ok = F.col("hour").between(0, 23) & F.col("dayofweek").between(0, 6)
-    return filled.filter(ok), filled.filter(~ok)
+def request_rows(requests: DataFrame) -> DataFrame:
+    """ML10 + DDP4: request rows with the defaults filled in (also for columns that are missing), their
+    horizons (no list: all; else distinct, sorted, without negative ones) and ``rejected``, the fields
+    outside their bounds, comma-joined (NULL for an accepted request)."""
+    def filled(c: str, v) -> Column:
+        kind = "int" if isinstance(v, int) else "double"
+        return F.coalesce(F.col(c).cast(kind), F.lit(v)) if c in requests.columns else F.lit(v)
+
+    values = {c: filled(c, v) for c, v in K.REQUEST_DEFAULTS.items()}
+    every = F.array(*[F.lit(int(h)) for h in K.HORIZONS])
+    own = horizon_list(F.col("horizons").cast("array<int>")) if "horizons" in requests.columns else F.lit(None)
+    out = requests.withColumns({**values, "horizons": F.coalesce(own, every)})
+    outside = F.concat_ws(",", *[F.when(~F.col(c).between(lo, hi), F.lit(c))
+                                 for c, (lo, hi) in K.REQUEST_BOUNDS.items()])
+    return out.withColumn("rejected", F.when(outside != "", outside))
+
+
+def request_features(rows: DataFrame, keys=("request_id", "station")) -> DataFrame:
+    """ML12 + FN14: a feature row for each accepted request and horizon; the target hour and weekday
+    follow from the request's own."""
+    base = rows.where("rejected is null").select(*keys, *K.REQUEST_DEFAULTS,
+                                                 F.explode("horizons").alias("horizon_h"))
+    hour, day = target_parts("hour", "dayofweek", "horizon_h")
+    return base.withColumns({"target_hour": hour.cast("int"), "target_dayofweek": day.cast("int")})
+
+
+def request_rejects(rows: DataFrame, keys=("request_id", "station")) -> DataFrame:
+    """The requests that are not scored, with the fields outside their bounds."""
+    return rows.where("rejected is not null").select(*keys, *K.REQUEST_BOUNDS, "rejected")
+
+
+def score_requests(model: PipelineModel, rows: DataFrame, keys=("request_id", "station")) -> DataFrame:
+    """ML11 + ML12 over requests: key columns, horizon_h, aqi_predicted, category."""
+    return predict(model, request_features(rows, keys)).select(*keys, "horizon_h", "aqi_predicted",
+                                                               "category")
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:

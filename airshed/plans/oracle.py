@@ -436,7 +436,51 @@ SELECT 'weather', count(*), count(DISTINCT station) FROM (
 UNION ALL
 SELECT 'uv', count(*), count(DISTINCT station) FROM ({A.UV_RAW_SQL})
 UNION ALL
-SELECT 'traffic', count(*), count(DISTINCT corridor) FROM ({A.TRAFFIC_RAW_SQL})""",
+SELECT 'traffic', count(*), count(DISTINCT corridor) FROM ({A.TRAFFIC_RAW_SQL})
+UNION ALL
+SELECT 'openaq', count(*), count(DISTINCT station) FROM ({A.OPENAQ_SQL})
+UNION ALL
+SELECT 'openmeteo', count(*), count(DISTINCT station) FROM ({A.OPENMETEO_SQL})""",
+    }
+
+
+def landing_sinks_sql() -> str:
+    feeds = [("aqi", "aqi-raw", A.AQI_RAW_SQL, "station"), ("weather", "weather-raw", A.WEATHER_RAW_SQL, "station"),
+             ("weather", "wind-derived", A.WEATHER_RAW_SQL, "station"), ("uv", "uv-raw", A.UV_RAW_SQL, "station"),
+             ("traffic", "traffic-raw", A.TRAFFIC_RAW_SQL, "corridor"), ("openaq", "openaq-raw", A.OPENAQ_SQL, "station"),
+             ("openmeteo", "openmeteo-raw", A.OPENMETEO_SQL, "station")]
+    landed = " UNION ALL ".join(
+        f"SELECT 'bronze' AS sink, '{d}' AS part, '{f}' AS feed, count(*) AS rows, count(DISTINCT {key}) AS entities "
+        f"FROM ({sql})" for d, f, sql, key in feeds)
+    return f"""SELECT * FROM ({landed}) WHERE rows > 0 UNION ALL
+        SELECT 'rejects', CASE k WHEN 0 THEN 'unknown topic' WHEN 1 THEN 'malformed' WHEN 2 THEN 'not an object'
+               ELSE 'no value' END, CASE k WHEN 0 THEN 'alerts' ELSE 'uv-raw' END, count(*), 0
+        FROM (SELECT TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) WHERE k < 4 GROUP BY k"""
+
+
+def payload_oracles() -> dict[str, str]:
+    # records by form: 5 an empty object, 6 a null block, 7 a valid response
+    return {
+        "openaq_payload": A.OPENAQ_SQL,
+        "openmeteo_payload": f"""SELECT station, timestamp, temp_c AS current_temp_c, cloud AS cloud_cover_pct,
+            i AS hour_no, strftime(ts + to_hours(CAST(i AS INTEGER)), {ISO}) AS time,
+            value * 0.05::DOUBLE + CAST(i AS DOUBLE) AS temp_c
+            FROM (SELECT *, unnest(range(n)) AS i FROM ({A.OPENMETEO_SQL}))""",
+        "payload_kinds": f"""SELECT feed, CASE k % 8 WHEN 0 THEN 'no body' WHEN 1 THEN 'malformed' WHEN 2 THEN 'array'
+            WHEN 3 THEN 'scalar' WHEN 4 THEN 'null' ELSE 'object' END AS kind, count(*) AS bodies
+            FROM ({A.DIRTY_SQL}) GROUP BY 1, 2""",
+        "dirty_payloads": f"""SELECT feed, event_id, CASE WHEN k % 8 = 7 THEN CAST(k AS DOUBLE)
+            WHEN feed = 'traffic' THEN 0.0 END AS value FROM ({A.DIRTY_SQL})
+            WHERE k % 8 = 7 OR k % 8 = 5 AND feed IN ('traffic', 'uv', 'openmeteo')""",
+        "request_features": f"""SELECT * EXCLUDE (horizons, h), h AS horizon_h, (hour + h) % 24 AS target_hour,
+            (dayofweek + (hour + h) // 24) % 7 AS target_dayofweek
+            FROM (SELECT *, CAST(unnest(horizons) AS INTEGER) AS h FROM ({A.REQUESTS_SQL}))
+            WHERE hour BETWEEN 0 AND 23 AND dayofweek BETWEEN 0 AND 6""",
+        "request_rejects": f"""SELECT request_id, station, hour, dayofweek, concat_ws(',',
+            CASE WHEN hour NOT BETWEEN 0 AND 23 THEN 'hour' END,
+            CASE WHEN dayofweek NOT BETWEEN 0 AND 6 THEN 'dayofweek' END) AS rejected
+            FROM ({A.REQUESTS_SQL}) WHERE hour NOT BETWEEN 0 AND 23 OR dayofweek NOT BETWEEN 0 AND 6""",
+        "landing_sinks": landing_sinks_sql(),
     }
 
 
@@ -465,5 +509,6 @@ def oracle_sql() -> dict[str, str]:
         "worst_corridor": worst_corridor_sql(),
         "city_weather": city_weather_sql(),
         **more_oracles(),
+        **payload_oracles(),
         **realised_oracles(),
     }

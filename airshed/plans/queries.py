@@ -6,6 +6,8 @@ run stamp and averages rounded to ``DIGITS`` so the oracle can compare values ex
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,8 @@ from airshed.functions.classify import aqi_category
 from airshed.functions.numeric import clamp_prediction
 from airshed.functions.text import padded_id
 from airshed.functions.timeparts import iso_utc
-from airshed.operators import clean, joins, marts, normalize, serving
+from airshed.ml import scoring
+from airshed.operators import clean, joins, marts, normalize, payload, serving
 from airshed.operators.dedup import latest_by
 from airshed.plans import views
 from airshed.sources import adapters as A
@@ -268,27 +271,133 @@ def forecast_time_grid(spark: SparkSession, sf: str) -> DataFrame:
     return views.forecast_time_grid(station_current(spark, sf), RUN_TS)
 
 
+# ------------------------------------------------------------------ responses of every form
+def openaq_payload(spark: SparkSession, sf: str) -> DataFrame:
+    """AGG9 over the sensor-list responses, folded in the row."""
+    body = A.openaq_bodies(spark, sf)
+    return normalize.openaq_payload(body, F.col("station"), F.col("location_id"), F.col("timestamp"))
+
+
+def _openmeteo(spark: SparkSession, sf: str) -> DataFrame:
+    body = A.openmeteo_bodies(spark, sf)
+    return normalize.openmeteo_payload(body, *_meta(body))
+
+
+def stored_forecasts(spark: SparkSession, sf: str) -> DataFrame:
+    """JSN7: forecast records stored with their array of structs, and read back."""
+    from airshed.plans.sinks import write_table
+    from airshed.session import scratch_path
+
+    path = scratch_path(spark, f"openmeteo-{uuid.uuid4().hex}")
+    write_table(_openmeteo(spark, sf), path)
+    return spark.read.parquet(path)
+
+
+def openmeteo_payload(spark: SparkSession, sf: str) -> DataFrame:
+    """JSN7 end to end: two subfields of every stored forecast hour, next to the current values."""
+    stored = stored_forecasts(spark, sf)
+    hours = F.arrays_zip(F.col("forecast_24h.time").alias("time"), F.col("forecast_24h.temp_c").alias("temp_c"))
+    return stored.select("station", "timestamp", F.col("temp_c").alias("current_temp_c"), "cloud_cover_pct",
+                         F.posexplode_outer(hours).alias("hour_no", "h")).select(
+        "station", "timestamp", "current_temp_c", "cloud_cover_pct", F.col("hour_no").cast("long").alias("hour_no"),
+        F.col("h.time").alias("time"), F.col("h.temp_c").alias("temp_c"))
+
+
+def payload_kinds(spark: SparkSession, sf: str) -> DataFrame:
+    """Responses by feed and kind of body, as VARIANT tells them apart."""
+    return (A.dirty_bodies(spark, sf).groupBy("feed", payload.body_kind("body").alias("kind"))
+            .agg(F.count("*").alias("bodies")))
+
+
+def dirty_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """JSN2-JSN7, AGG9: which of the dirty responses give a record, and its main value."""
+    raw = A.dirty_bodies(spark, sf)
+    who, lat, lon, ts = F.col("event_id").cast("string"), F.lit(0.0), F.lit(0.0), F.lit("t")
+    forms = {"aq": (normalize.aq_current, "station", "aqi"), "fallback": (normalize.aq_fallback, "station", "aqi"),
+             "weather": (normalize.weather_payload, "station", "temp_c"),
+             "traffic": (normalize.traffic_payload, "corridor", "current_speed_kmh"),
+             "uv": (normalize.uv_payload, "station", "uv"),
+             "openmeteo": (normalize.openmeteo_payload, "station", "temp_c")}
+    out = normalize.openaq_payload(raw.where("feed = 'openaq'"), who, F.lit("1"), ts).select(
+        F.lit("openaq").alias("feed"), F.col("station").alias("event_id"), F.col("pm25").alias("value"))
+    for feed, (form, key, value) in forms.items():
+        got = form(raw.where(F.col("feed") == feed), who, lat, lon, ts)
+        out = out.unionByName(got.select(F.lit(feed).alias("feed"), F.col(key).alias("event_id"),
+                                         F.col(value).cast("double").alias("value")))
+    return out.withColumn("event_id", F.col("event_id").cast("long"))
+
+
+# ------------------------------------------------------------------ requests
+def request_features(spark: SparkSession, sf: str) -> DataFrame:
+    """ML10 + ML12: feature rows of the accepted requests, with their own horizons."""
+    return scoring.request_features(scoring.request_rows(A.forecast_requests(spark, sf)))
+
+
+def request_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """ML10: requests with a field out of bounds."""
+    return scoring.request_rejects(scoring.request_rows(A.forecast_requests(spark, sf)))
+
+
+def request_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """ML12: the model's forecast for every accepted request and horizon."""
+    return scoring.score_requests(trained(spark, sf).model, scoring.request_rows(A.forecast_requests(spark, sf)))
+
+
 # ------------------------------------------------------------------ streaming landing
 STREAM_FEEDS = [("aqi-raw", A.aqi_raw, "station"), ("weather-raw", A.weather_raw, "station"),
                 ("wind-raw", A.wind_raw, "station"), ("uv-raw", A.uv_raw, "station"),
-                ("traffic-raw", A.traffic_raw, "corridor")]
+                ("traffic-raw", A.traffic_raw, "corridor"), ("openaq-raw", openaq_payload, "station"),
+                ("openmeteo-raw", _openmeteo, "station")]
+
+
+def _envelopes(spark: SparkSession, sf: str, without=()) -> DataFrame:
+    """topic, value of every feed's records."""
+    env = None
+    for topic, fn, _key in STREAM_FEEDS:
+        if topic in without:
+            continue
+        df = fn(spark, sf)
+        e = df.select(F.lit(topic).alias("topic"), F.to_json(F.struct(*df.columns)).alias("value"))
+        env = e if env is None else env.unionByName(e)
+    return env
+
+
+def landing_sinks(spark: SparkSession, sf: str) -> DataFrame:
+    """STR1-STR7 + PRJ10: records and junk of six topics are published to a topic log, read from it by the
+    admission-controlled source and landed in several sinks; wind records are derived from the weather
+    ones. Rows, stations and corridors by sink, folder or reason, and feed."""
+    from airshed.session import scratch_path
+    from airshed.streaming import landing, topic_log
+
+    base = scratch_path(spark, f"landing-{uuid.uuid4().hex}")
+    ev = table(spark, sf, "events")
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    junk = ev.where(k < 4).select(
+        F.when(k == 0, F.lit("alerts")).otherwise(F.lit("uv-raw")).alias("topic"),
+        F.when(k == 0, F.col("props")).when(k == 1, F.lit('{"station": "cut')).when(k == 2, F.lit("[1, 2]"))
+         .alias("value"))
+    published = topic_log.publish(_envelopes(spark, sf, ("wind-raw",)).unionByName(junk), f"{base}/log")
+    stream = topic_log.topic_source(spark, f"{base}/log", starting_offsets="earliest", min_records=1,
+                                    topics=sorted(published))
+    landing.start_landing(stream, base, f"{base}/checkpoint", available_now=True).awaitTermination()
+    entity = F.coalesce(F.get_json_object("value", "$.station"), F.get_json_object("value", "$.corridor"))
+    counts = [F.count("*").alias("rows"), F.countDistinct(entity).alias("entities")]
+    landed = spark.read.text(f"{base}/bronze").groupBy(F.lit("bronze").alias("sink"), F.col("dir").alias("part"),
+                                                       "feed").agg(*counts)
+    rejected = landing.read_rejects(spark, base).groupBy(
+        F.lit("rejects").alias("sink"), F.col("reason").alias("part"), F.col("topic").alias("feed")).agg(*counts)
+    return landed.unionByName(rejected)
 
 
 def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
     """STR1-STR7 end to end: every feed record is published as a ``{topic, value}`` envelope
     into a landing folder, the landing stream (availableNow) routes it to bronze, and the
     landed bronze is read back and parsed: rows and entities per bronze dir."""
-    import uuid
-
     from airshed.session import scratch_path
     from airshed.streaming import ingest
 
     base = scratch_path(spark, f"ingest-{uuid.uuid4().hex}")
-    env = None
-    for topic, fn, _key in STREAM_FEEDS:
-        df = fn(spark, sf)
-        e = df.select(F.lit(topic).alias("topic"), F.to_json(F.struct(*df.columns)).alias("value"))
-        env = e if env is None else env.unionByName(e)
+    env = _envelopes(spark, sf)
     env.write.mode("overwrite").json(f"{base}/landing")
     q = ingest.start_landing(ingest.file_source(spark, f"{base}/landing"), f"{base}/bronze",
                              f"{base}/_checkpoint", available_now=True)
@@ -327,28 +436,23 @@ def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def nowcast(spark: SparkSession, sf: str) -> DataFrame:
-    from airshed.ml import scoring
     return scoring.nowcast(trained(spark, sf).model, station_current(spark, sf), RUN_TS)
 
 
 def forecast_curve(spark: SparkSession, sf: str) -> DataFrame:
-    from airshed.ml import scoring
     return scoring.curve(trained(spark, sf).model, station_current(spark, sf), RUN_TS)
 
 
 def forecast_peak(spark: SparkSession, sf: str) -> DataFrame:
-    from airshed.ml import scoring
     return scoring.peak(forecast_curve(spark, sf))
 
 
 def trend(spark: SparkSession, sf: str) -> DataFrame:
-    from airshed.ml import scoring
     return scoring.trend(trained(spark, sf).model, station_current(spark, sf), RUN_TS)
 
 
 def forecast_downsample(spark: SparkSession, sf: str) -> DataFrame:
     """SRT4: the curve every 3rd hour."""
-    from airshed.ml import scoring
     return scoring.downsample(forecast_curve(spark, sf))
 
 
@@ -382,13 +486,11 @@ def realised_curve(spark: SparkSession, sf: str) -> DataFrame:
 
 def realised_peak(spark: SparkSession, sf: str) -> DataFrame:
     """AGG8 and SRT3 over the realised curve."""
-    from airshed.ml import scoring
     return scoring.peak(realised_curve(spark, sf))
 
 
 def realised_downsample(spark: SparkSession, sf: str) -> DataFrame:
     """SRT4 over the realised curve."""
-    from airshed.ml import scoring
     return scoring.downsample(realised_curve(spark, sf))
 
 
@@ -457,6 +559,14 @@ QUERIES = {
     "horizon_features": horizon_features,
     "forecast_time_grid": forecast_time_grid,
     "ingest_stream": ingest_stream,
+    "landing_sinks": landing_sinks,
+    "openaq_payload": openaq_payload,
+    "openmeteo_payload": openmeteo_payload,
+    "payload_kinds": payload_kinds,
+    "dirty_payloads": dirty_payloads,
+    "request_features": request_features,
+    "request_rejects": request_rejects,
+    "request_forecast": request_forecast,
     "train_metrics": train_metrics,
     "feature_importance": feature_importance,
     "nowcast": nowcast,

@@ -391,3 +391,129 @@ SELECT station, slot, aqi, pm25, source FROM (
          row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY ts DESC) AS rn
   FROM events WHERE event_type = '{event_type}') WHERE rn = 1
 """
+
+
+# ---------------------------------------------------------------- response bodies
+def openmeteo_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecast responses, one per view event: k % 40 + 1 hours. For k % 7 = 0 the temperature series is one
+    hour short; for k % 5 = 0 there is no wind series and for k % 9 = 0 no current block."""
+    ev = _events(spark, sf_dir).filter(F.col("event_type") == WEATHER_EVENT_TYPE)
+    v, k, n = F.col("value"), F.col("k"), (F.col("k").cast("int") % 40 + 1)
+    hours = F.sequence(F.lit(0), n - 1)
+    times = F.transform(hours, lambda h: iso_utc(F.col("ts") + F.make_dt_interval(F.lit(0), h)))
+    temps = F.transform(hours, lambda h: v * _d(0.05) + h.cast("double"))
+    hourly = F.struct(
+        times.alias("time"),
+        F.when(k.cast("int") % 7 == 0, F.slice(temps, F.lit(1), n - 1)).otherwise(temps).alias("temperature_2m"),
+        F.when(k.cast("int") % 5 != 0, F.transform(hours, lambda h: h.cast("double") * _d(0.5)))
+         .alias("wind_speed_10m"))
+    current = F.when(k.cast("int") % 9 != 0, F.struct(v.alias("temperature_2m"), k.alias("cloud_cover")))
+    return ev.select(*_station_cols(F.col("user_id")), iso_utc("ts").alias("timestamp"), "event_id",
+                     F.to_json(F.struct(current.alias("current"), hourly.alias("hourly"))).alias("body"))
+
+
+OPENMETEO_SQL = """
+SELECT printf('st-%04d', user_id) AS station, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS timestamp, ts,
+       value, CASE WHEN k % 9 <> 0 THEN value END AS temp_c, CASE WHEN k % 9 <> 0 THEN k::DOUBLE END AS cloud,
+       least(24, n) AS n, k
+FROM (SELECT *, k % 40 + 1 AS n FROM (
+        SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
+        WHERE event_type = 'view'))
+WHERE NOT (k % 7 = 0 AND n - 1 < least(24, n))
+"""
+
+
+def openaq_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sensor-list responses, one per click event: a parameter given twice (the second without a value for
+    k % 3 = 0), names in either case, an empty and a missing one. No results for k % 11 = 0."""
+    ev = _events(spark, sf_dir).filter(F.col("event_type") == UV_EVENT_TYPE)
+    v, k = F.col("value"), F.col("k")
+
+    def sensor(name: Column, value: Column) -> Column:
+        return F.struct(F.when(name.isNotNull(), F.struct(name.alias("name"))).alias("parameter"),
+                        value.alias("value"))
+    sensors = F.array(
+        sensor(F.lit("PM25"), v), sensor(F.lit("pm25"), F.when(k.cast("int") % 3 != 0, k)),
+        sensor(F.lit(""), _d(1.0)), sensor(F.lit(None).cast("string"), _d(2.0)),
+        sensor(F.lit("NO2"), k * _d(0.3)), sensor(F.lit("humidity"), v))
+    results = F.when(k.cast("int") % 11 != 0, F.array(F.struct(sensors.alias("sensors")))).otherwise(
+        F.array().cast("array<struct<sensors:array<struct<parameter:struct<name:string>,value:double>>>>"))
+    return ev.select(padded_id("site-", F.col("user_id"), 4).alias("station"),
+                     F.col("user_id").alias("location_id"), iso_utc("ts").alias("timestamp"),
+                     F.to_json(F.struct(results.alias("results"))).alias("body"))
+
+
+OPENAQ_SQL = """
+SELECT printf('site-%04d', user_id) AS station, CAST(user_id AS VARCHAR) AS location_id,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS timestamp,
+       CASE WHEN k % 3 <> 0 THEN k::DOUBLE ELSE value END AS pm25, CAST(NULL AS DOUBLE) AS pm10,
+       k * 0.3::DOUBLE AS no2, CAST(NULL AS DOUBLE) AS so2, CAST(NULL AS DOUBLE) AS co,
+       CAST(NULL AS DOUBLE) AS o3, 'openaq' AS source
+FROM (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
+      WHERE event_type = 'click') WHERE k % 11 <> 0
+"""
+
+#: Feed -> its block, and what a body with a null block looks like. Dirty bodies go round these.
+DIRTY_FEEDS = {"aq": "current", "fallback": "data", "weather": "main", "traffic": "flowSegmentData",
+               "uv": "result", "openaq": "results", "openmeteo": "current"}
+_VALID = {"aq": '{"current": {"us_aqi": %s}}', "fallback": '{"status": "ok", "data": {"aqi": "%s"}}',
+          "weather": '{"main": {"temp": %s, "feels_like": null, "humidity": 1, "pressure": 2}, "wind": '
+                     '{"speed": 1}, "clouds": {"all": 1}, "weather": [{"main": "a", "description": "b"}]}',
+          "traffic": '{"flowSegmentData": {"currentSpeed": %s}}', "uv": '{"result": {"uv": %s}}',
+          "openaq": '{"results": [{"sensors": [{"parameter": {"name": "PM25"}, "value": %s}]}]}',
+          "openmeteo": '{"current": {"temperature_2m": %s}}'}
+
+
+def dirty_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """feed, event_id, k, body: every event is a response of one feed (event_id % 7), in one of eight forms
+    (k % 8): no body, malformed, array, scalar, null, empty object, null block, valid."""
+    ev = _events(spark, sf_dir)
+    feeds = list(DIRTY_FEEDS)
+    feed = F.element_at(F.array(*map(F.lit, feeds)), (F.col("event_id") % len(feeds) + 1).cast("int"))
+    form = F.col("k").cast("int") % 8
+    null_block = F.coalesce(*[F.when(feed == f, F.lit(
+        f'{{"{b}": null}}' if f != "fallback" else '{"status": "ok", "data": null}'))
+        for f, b in DIRTY_FEEDS.items()])
+    valid = F.coalesce(*[F.when(feed == f, F.format_string(t, F.col("k").cast("int"))) for f, t in _VALID.items()])
+    body = F.lit(None).cast("string")
+    for i, text in enumerate((F.lit("{not json"), F.lit("[]"), F.lit("5"), F.lit("null"), F.lit("{}"),
+                              null_block, valid), 1):
+        body = F.when(form == i, text).otherwise(body)
+    return ev.select(feed.alias("feed"), "event_id", F.col("k").cast("int").alias("k"), body.alias("body"))
+
+
+DIRTY_SQL = f"""
+SELECT list_value({', '.join(f"'{f}'" for f in DIRTY_FEEDS)})[event_id % 7 + 1] AS feed, event_id,
+       TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
+"""
+
+
+# ---------------------------------------------------------------- forecast requests
+def forecast_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per signup event; fields are missing, and hours and weekdays out of bounds, by k."""
+    ev = _events(spark, sf_dir).filter(F.col("event_type") == "signup")
+    v, k = F.col("value"), F.col("k").cast("int")
+    horizons = (F.when(k % 4 == 1, F.array(*map(F.lit, (6, 3, -1, 6, 0))))
+                .when(k % 4 == 2, F.array().cast("array<int>"))
+                .when(k % 4 == 3, F.array(k % 30, F.lit(24), F.lit(48), F.lit(None).cast("int"))))
+    return ev.select(
+        F.col("event_id").alias("request_id"), padded_id("st-", F.col("user_id"), 4).alias("station"),
+        F.when(k % 5 != 0, v * _d(0.5)).alias("pm25"), (v * _d(0.8)).alias("pm10"),
+        F.when(k % 6 != 0, v * _d(0.2)).alias("o3"), F.when(k % 4 != 0, _d(20.0) + v * _d(0.05)).alias("temp_c"),
+        F.when(k % 9 != 0, k % 26 - 1).alias("hour"), F.when(k % 10 != 0, k % 8).alias("dayofweek"),
+        horizons.alias("horizons"))
+
+
+REQUESTS_SQL = """
+SELECT event_id AS request_id, printf('st-%04d', user_id) AS station,
+       CASE WHEN k % 5 <> 0 THEN value * 0.5::DOUBLE ELSE 0.0 END AS pm25, value * 0.8::DOUBLE AS pm10,
+       0.0::DOUBLE AS no2, CASE WHEN k % 6 <> 0 THEN value * 0.2::DOUBLE ELSE 0.0 END AS o3,
+       CASE WHEN k % 4 <> 0 THEN 20.0::DOUBLE + value * 0.05::DOUBLE ELSE 28.0 END AS temp_c,
+       75.0::DOUBLE AS humidity_pct, 2.0::DOUBLE AS wind_speed_ms,
+       CASE WHEN k % 9 <> 0 THEN k % 26 - 1 ELSE 12 END AS hour,
+       CASE WHEN k % 10 <> 0 THEN k % 8 ELSE 0 END AS dayofweek,
+       CASE k % 4 WHEN 0 THEN range(25) WHEN 1 THEN [0, 3, 6] WHEN 2 THEN []
+         ELSE list_distinct([k % 30, 24, 48]) END AS horizons
+FROM (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
+      WHERE event_type = 'signup')
+"""

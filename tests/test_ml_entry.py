@@ -54,9 +54,13 @@ def test_gate_split_train_save_load_score(spark, tmpdir_path):
     assert pk.peak_aqi == max(r.aqi_predicted for r in rows)
     tr_ = scoring.trend(m, cur, "2024-02-01T00:00:00+00:00").first()
     assert tr_.trend in ("up", "down", "flat") and tr_.current_aqi == 5.0
-    ok, rej = scoring.request_rows(spark.createDataFrame(
-        [(None, 3), (25, 1)], "hour int, dayofweek int"))
-    assert ok.first().hour == 12 and rej.count() == 1
+    rows = scoring.request_rows(spark.createDataFrame(
+        [("q1", "s", None, 3, [0, 6]), ("q2", "s", 25, 1, None)],
+        "request_id string, station string, hour int, dayofweek int, horizons array<int>"))
+    scored = scoring.score_requests(m, rows).orderBy("horizon_h").collect()
+    assert [(r.request_id, r.horizon_h) for r in scored] == [("q1", 0), ("q1", 6)]
+    assert all(r.aqi_predicted >= 0 and r.category for r in scored)
+    assert [r.rejected for r in scoring.request_rejects(rows).collect()] == ["hour"]
 
 
 def test_entry_smoke(spark):
@@ -67,7 +71,7 @@ def test_entry_smoke(spark):
 def test_registry_has_oracle_for_sql_queries():
     q, o = E.queries(), E.oracle_sql()
     rows_only = {"train_metrics", "feature_importance", "nowcast", "forecast_curve", "forecast_peak", "trend",
-                 "forecast_downsample", "top_features", "dashboard_forecast"}
+                 "forecast_downsample", "top_features", "dashboard_forecast", "request_forecast"}
     training_data = {n for n in q if n.startswith("op") and n[2].isdigit()} | {"pipeline"}
     assert set(o) - training_data == set(q) - rows_only - training_data
 
