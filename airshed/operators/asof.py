@@ -1,98 +1,77 @@
 """As-of left join: each left row gets the latest right row at or before its time.
 
-Spark has no native as-of join.  A plain ``partitionBy(key)`` window over the union of both
-sides would put a hot entity (a third of all rows) into one task, so the work is split by
-(key, time bucket):
+Spark has no native as-of join. A plain ``partitionBy(key)`` window over the union of both sides would put
+a hot entity (a third of all rows) into one task, so the work is split by (key, time bucket):
 
-1. union left and right rows, window per (key, bucket) ordered by time with right rows
-   first on ties -> the in-bucket match (``last(..., ignorenulls)``) and the bucket's last
-   right row; both branches read the same shuffle of the union (a reused exchange);
-2. over the *bucket-level* table (one row per key and bucket) the last right row of earlier
-   buckets is carried forward: within each super bucket (e.g. the minutes of a day), then
-   across super buckets per key - each window bounded, whatever the skew;
-3. left rows without an in-bucket match take the carried value (equi-join on key, bucket).
+1. a bucket table, one row per key and bucket, made by a partial aggregate: the bucket's last right row and
+   whether it has left rows. Carried forward over a key's earlier buckets (as many as the data's time
+   span has, however many rows a key has), it says with which right row a bucket begins;
+2. that carry row joins the left and right rows of its bucket, ahead of them. One exchange by (key,
+   bucket) and one sort bring them in order of time, right rows first on ties; the last right row so far,
+   carried or not, is the match. No join and no second pass over the rows is needed.
 
-The result is exact (no search limit): a match any number of buckets back is found through
-the carry.  Work and shuffle are linear in the input; nothing emits pairs.
+Only step 2 moves the left rows; the bucket table reads their keys and times. A bucket holds what its key
+has in that time; choose ``bucket`` so that the hottest key's rows in it fit a task (they may spill). Left
+rows without a key or time match nothing; they are dealt over partitions of their own by a hash. The
+result is exact: a match any number of buckets back is found. Work and shuffle are linear in the input.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SPREAD = 4096  # groups over which left rows without key or time are dealt
+
 
 def asof_left_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str,
-                   right_ts: str, right_cols: Sequence[str], bucket: str = "minute",
-                   super_bucket: str = "day") -> DataFrame:
+                   right_ts: str, right_cols: Sequence[str], bucket: str = "minute") -> DataFrame:
     """Left rows keep all columns; ``right_cols`` of the matched right row are appended.
 
-    ``left_ts`` / ``right_ts`` are timestamp columns; rows with a null time or key never
-    match.  ``bucket`` / ``super_bucket`` are ``date_trunc`` units: rows are ordered within
-    (key, bucket); the carry runs over buckets within (key, super bucket), then over super
-    buckets per key, so every window holds a bounded number of rows (buckets per super
-    bucket, or super buckets per key) however the data is skewed.
+    ``left_ts`` / ``right_ts`` are timestamp columns; rows with a null time or key never match.
+    ``bucket`` is a ``date_trunc`` unit. Of right rows at one time the largest (by
+    ``right_cols``) counts.
     """
-    by = list(by)
-    lcols = left.columns
-    lstruct = F.struct(*[F.col(c) for c in lcols])
-    rstruct = F.struct(*[F.col(c) for c in right_cols])
-    l_type = left.select(lstruct.alias("x")).schema["x"].dataType
-    r_type = right.select(rstruct.alias("x")).schema["x"].dataType
-    # Both sides travel in the same two columns - ``_rv`` (right payload, NULL on left rows)
-    # and ``_ord`` = (time, side, {l, r}) - and every window reads exactly these, so the
-    # in-bucket branch and the carry branch need identical inputs and share one shuffle of
-    # them (a reused exchange) instead of reading both inputs twice.
-    def tagged(df, ts, side, l, r):
-        payload = F.struct(l.alias("l"), r.alias("r"))
-        return df.select(*[F.col(k) for k in by], F.col(ts).alias("_t"),
-                         r.alias("_rv"),
-                         F.struct(F.col(ts).alias("t"), F.lit(side).alias("s"),
-                                  payload.alias("p")).alias("_ord"))
-    R = tagged(right.filter(F.col(right_ts).isNotNull())
-                    .filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in by])),
-               right_ts, 1, F.lit(None).cast(l_type), rstruct)
-    L = tagged(left, left_ts, 2, lstruct, F.lit(None).cast(r_type))
-    trunc = lambda c: F.date_trunc(bucket, c)
+    keys = list(by)
+    known = lambda ts: reduce(and_, [F.col(c).isNotNull() for c in [*keys, ts]])
+    trunc = lambda c: F.unix_seconds(F.date_trunc(bucket, c))
+    rrow = F.struct(*right_cols)
+    rtype = right.select(rrow.alias("x")).schema["x"].dataType
+    none = lambda kind: F.lit(None).cast(kind)
+    right = right.where(known(right_ts))
 
-    u = L.unionByName(R).withColumn("_b", trunc(F.col("_t")))
-    ordered = Window.partitionBy(*by, "_b").orderBy("_ord")
-    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # right rows sort before left rows of the same time (side 1 < 2): "at or before"
-    scanned = u.withColumns({"_m": F.last("_rv", ignorenulls=True).over(upto),
-                             "_bl": F.last("_rv", ignorenulls=True).over(whole)})
-    in_bucket = (scanned.filter(F.col("_ord.s") == 2)
-                        .select(*by, "_b", F.col("_ord.p.l").alias("_lp"), "_m"))
-    # Carry = last right row of any earlier bucket, found in two bounded steps over the
-    # bucket-level table (one row per key and bucket, derived from the same shuffle):
-    # within the super bucket, then across super buckets per key.  Joins here are null-safe
-    # for the same reason as below (no inferred filters reaching the shared shuffle).
-    strunc = lambda c: F.date_trunc(super_bucket, c)
-    blevel = (scanned.groupBy(*by, "_b").agg(F.first("_bl").alias("_bl"))
-                     .withColumn("_sb", strunc(F.col("_b"))))
-    w_in = Window.partitionBy(*by, "_sb").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    inner = blevel.withColumn("_c1", F.last("_bl", ignorenulls=True).over(w_in))
-    slevel = blevel.groupBy(*by, "_sb").agg(
-        F.max_by("_bl", F.when(F.col("_bl").isNotNull(), F.col("_b"))).alias("_sl"))
-    w_across = Window.partitionBy(*by).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
-    slevel = slevel.withColumn("_c2", F.last("_sl", ignorenulls=True).over(w_across))
-    s2 = slevel.select(*[F.col(k).alias(f"_s_{k}") for k in by], F.col("_sb").alias("_s_sb"), "_c2")
-    scond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in by]
-                   + [F.col("_sb").eqNullSafe(F.col("_s_sb"))])
-    carry = (inner.join(s2, on=scond, how="left")
-                  .select(*by, "_b", F.coalesce("_c1", "_c2").alias("_carry")))
+    # 1. the bucket table and what each bucket with left rows begins with
+    def buckets(df: DataFrame, ts: str, last: Column, has_left: bool) -> DataFrame:
+        return df.select(*keys, trunc(F.col(ts)).alias("_b"), last.alias("_last"),
+                         F.lit(has_left).alias("_has"))
+    last = F.struct(F.col(right_ts).alias("t"), rrow.alias("r"))
+    last_type = right.select(last.alias("x")).schema["x"].dataType
+    table = (buckets(right, right_ts, last, False)
+             .unionByName(buckets(left.where(known(left_ts)), left_ts, none(last_type), True))
+             .groupBy(*keys, "_b").agg(F.max("_last").alias("_last"), F.max("_has").alias("_has")))
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (table.withColumn("_r", F.last("_last", ignorenulls=True).over(earlier)["r"])
+             .where("_has and _r is not null").select(*keys, "_b", "_r"))
 
-    # Null-safe keys: an ordinary equi-join would infer NOT NULL filters and push them into
-    # the carry branch only, making its input differ from (and not reuse) the shared shuffle.
-    # Left rows with a NULL key or time find only a NULL carry either way.
-    c = carry.select(*[F.col(k).alias(f"_c_{k}") for k in by], F.col("_b").alias("_c_b"), "_carry")
-    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in by]
-                  + [F.col("_b").eqNullSafe(F.col("_c_b"))])
-    joined = in_bucket.join(c, on=cond, how="left")
-    match = F.coalesce(F.col("_m"), F.col("_carry"))
-    return joined.select(*[F.col(f"_lp.{c}").alias(c) for c in lcols],
-                         *[match.getField(c).alias(c) for c in right_cols])
+    # 2. carry, right and left rows of a bucket in one sorted partition
+    absent = ~known(left_ts)
+    spread = F.pmod(F.xxhash64(*left.columns), F.lit(SPREAD))
+    # the left columns keep their names: renames make Catalyst's constraints multiply
+    def at(ts: Column, side: int) -> Column:
+        return F.struct(ts.alias("t"), F.lit(side).alias("side")).alias("_at")
+    empty = [none(f.dataType).alias(f.name) for f in left.schema if f.name not in keys]
+    rows = (left.select("*", F.when(absent, spread).otherwise(trunc(F.col(left_ts))).alias("_b"),
+                        absent.alias("_absent"), at(F.col(left_ts), 2), none(rtype).alias("_r"))
+            .unionByName(right.select(*keys, *empty, trunc(F.col(right_ts)).alias("_b"),
+                                      F.lit(False).alias("_absent"), at(F.col(right_ts), 1), rrow.alias("_r")))
+            .unionByName(carry.select(*keys, *empty, "_b", F.lit(False).alias("_absent"),
+                                      at(none(left.schema[left_ts].dataType), 0), "_r")))
+    so_far = (Window.partitionBy(*keys, "_absent", "_b").orderBy("_at", "_r")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    match = F.last("_r", ignorenulls=True).over(so_far)
+    return (rows.withColumn("_m", match).where("_at.side = 2")
+            .select(*left.columns, *[F.col("_m")[c].alias(c) for c in right_cols]))

@@ -41,9 +41,9 @@ def test_asof_matches_brute_force(spark):
     right.append(("a", left[0][1] or T0, 999.0)) if ("a", left[0][1] or T0) not in used else None
     L = spark.createDataFrame(left, "k string, t timestamp, id int")
     R = spark.createDataFrame(right, "k string, t timestamp, v double")
-    for bucket, sup in (("minute", "day"), ("hour", "day"), ("minute", "hour"), ("day", "month")):
-        got = sorted((r.id, r.v) for r in asof_left_join(L, R, ["k"], "t", "t", ["v"], bucket, sup).collect())
-        assert got == brute_asof(left, right), (bucket, sup)
+    for bucket in ("minute", "hour", "day"):
+        got = sorted((r.id, r.v) for r in asof_left_join(L, R, ["k"], "t", "t", ["v"], bucket).collect())
+        assert got == brute_asof(left, right), bucket
 
 
 def test_asof_equal_time_matches_and_far_carry(spark):

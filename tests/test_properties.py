@@ -57,14 +57,14 @@ minutes = st.integers(min_value=0, max_value=60 * 24 * 3)
 @SETTINGS
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), minutes)), max_size=25),
        st.lists(st.tuples(st.sampled_from(["a", "b"]), minutes), max_size=25),
-       st.sampled_from([("minute", "day"), ("hour", "day"), ("minute", "hour"), ("day", "month")]))
-def test_asof_matches_brute_force(spark, left, right, buckets):
+       st.sampled_from(["minute", "hour", "day"]))
+def test_asof_matches_brute_force(spark, left, right, bucket):
     right = list({(k, m): i for i, (k, m) in enumerate(right)}.items())   # one reading per key and time
     L = spark.createDataFrame([(k, None if m is None else T0 + timedelta(minutes=m), i)
                                for i, (k, m) in enumerate(left)], "k string, t timestamp, id int")
     R = spark.createDataFrame([(k, T0 + timedelta(minutes=m), float(v)) for (k, m), v in right],
                               "k string, t timestamp, v double")
-    got = sorted((r.id, r.v) for r in asof_left_join(L, R, ["k"], "t", "t", ["v"], *buckets).collect())
+    got = sorted((r.id, r.v) for r in asof_left_join(L, R, ["k"], "t", "t", ["v"], bucket).collect())
     want = []
     for i, (k, m) in enumerate(left):
         cands = [(rm, float(v)) for (rk, rm), v in right if k is not None and m is not None
