@@ -18,6 +18,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores added until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def as_text(name: str) -> Column:
+    """An id as text, for Python stages: pandas would turn a column of integers that has a null into
+    floating numbers and round ids above 2**53. ``as_id`` turns it back."""
+    return F.col(name).cast("string").alias(name)
+
+
+def as_id(name: str) -> Column:
+    return F.col(name).cast("long").alias(name)
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

@@ -23,6 +23,8 @@ from math import sqrt
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from airshed.llm.common import as_id, as_text
+
 # Element kinds of HTML, and names that sites give to what is not the article.
 _RAW = "script|style|template|noscript|textarea|title|iframe|noembed|noframes|xmp"
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -281,8 +283,9 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             text = [main_text(x) for x in batch["html"]]
-            yield pd.DataFrame({"page_id": batch["page_id"].astype("Int64"), "url": batch["url"],
+            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"],
                                 "text": text, "n_chars": [len(t) for t in text]})
 
-    return pages.select("page_id", "url", "html").mapInPandas(
-        run, "page_id long, url string, text string, n_chars long")
+    return pages.select(as_text("page_id"), "url", "html").mapInPandas(
+        run, "page_id string, url string, text string, n_chars long").select(
+        as_id("page_id"), "url", "text", "n_chars")

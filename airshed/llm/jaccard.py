@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airshed.llm.common import small, written
+from airshed.llm.common import as_id, as_text, free_name, small, written
 from airshed.llm.components import components
 
 SHINGLE = 3
@@ -178,11 +178,11 @@ def _sets(docs: DataFrame, plan: Plan, k: int) -> DataFrame:
                 keys = None if node in done else _signed(plan.keys(x))
                 done.add(node)
                 rows.append((doc_id, key, len(x), node, check, keys))
-            yield pd.DataFrame(rows, columns=["doc_id", "key", "n", "node", "check", "keys"]).astype(
-                {"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "key", "n", "node", "check", "keys"])
 
-    return docs.select("doc_id", F.xxhash64("text").alias("key"), "text").mapInPandas(
-        run, "doc_id long, key long, n long, node long, check long, keys array<long>")
+    return docs.select(as_text("doc_id"), F.xxhash64("text").alias("key"), "text").mapInPandas(
+        run, "doc_id string, key long, n long, node long, check long, keys array<long>").select(
+        as_id("doc_id"), "key", "n", "node", "check", "keys")
 
 
 def _contents(docs: DataFrame, k: int) -> DataFrame:
@@ -268,6 +268,14 @@ def link(docs: DataFrame, num: int = NUM, den: int = DEN, boundary: int | None =
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles (of k words), component_id, the
     smallest doc_id that links reach. Texts without words link with nothing. Sets stand for themselves as sums of
     64-bit hashes; a candidate pair links only after its sets have been compared."""
+    return _linked(docs, num, den, boundary, k).select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def _linked(docs: DataFrame, num: int, den: int, boundary: int | None, k: int) -> DataFrame:
+    """doc_id, key (hash of the text), n, component (a number of its own; null without words) and
+    component_id of each row."""
     docs = docs.select("doc_id", "text")
     if boundary is None:
         words = F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""))
@@ -311,28 +319,37 @@ def link(docs: DataFrame, num: int = NUM, den: int = DEN, boundary: int | None =
     roots = written(roots, "roots")
     whole = (classes.join(roots, "node").groupBy("root")
              .agg(F.min("first").alias("component_id")))
-    member = (roots.join(whole, "root").select("node", "component_id"))
+    member = (roots.join(whole, "root").select("node", "root", "component_id"))
     alone = classes.groupBy("node", "check", "n").agg(F.min("first").alias("first"))
     at = (alone.join(member, "node", "left")
-          .select("node", "check", F.coalesce("component_id", "first").alias("component_id")))
+          .select("node", "check", F.coalesce("root", "node").alias("component"),
+                  F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("component_id"))
+                  .alias("component_id")))
     out = sets.join(at, ["node", "check"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("component_id"))
-                      .otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select("doc_id", "key", "n", F.when(F.col("n") > 0, F.col("component")).alias("component"),
+                      "component_id")
 
 
 def keep_one(docs: DataFrame, num: int = NUM, den: int = DEN, k: int = SHINGLE) -> DataFrame:
-    """``docs`` with one document of each component, that with the smallest doc_id. Rows that repeat a
-    kept doc_id are dropped but for one; rows without doc_id stay."""
-    found = written(link(docs, num, den, k=k), "components")
-    gone = small(found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(),
-                 IDS)
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    twice = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null")
+    """``docs`` with one row of each component: that with the smallest doc_id (null last), of equal ids that
+    with the smallest hash of its text, of equal rows any one. A row goes by its id and text together, so
+    an id that occurs with two texts loses only the one that is a copy. Rows without words stay."""
+    found = written(_linked(docs, num, den, None, k).where("component is not null")
+                    .select("doc_id", "key", "component"), "components")
+    row = F.xxhash64("doc_id", "key")
+    best = found.groupBy("component").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("best"))
+    best = best.select("component", F.xxhash64("best.doc_id", "best.key").alias("_best"))
+    gone = written(found.withColumn("_row", row).join(best, "component")
+                   .where(F.col("_row") != F.col("_best")).select("_row").distinct(), "gone")
+    own, gone_row, repeated = (free_name(docs, x) for x in ("_own", "_gone", "_repeated"))
+    marked = docs.select("*", F.xxhash64("doc_id", F.xxhash64("text")).alias(own))
+    gone = small(gone.select(F.col("_row").alias(gone_row)), IDS)
+    kept = marked.join(gone, F.col(own) == F.col(gone_row), "left_anti")
+    # rows that repeat a kept row, id and text, are one document
+    twice = written(found.groupBy(row.alias(repeated)).count().where("count > 1").select(repeated), "twice")
     if not twice.head(1):
-        return kept
-    twice = small(twice.select("doc_id"), IDS)
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), *docs.columns)
-    again = (kept.join(twice, "doc_id", "left_semi").select(docs.columns)
-             .withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n"))
-    return kept.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(again)
+        return kept.select(docs.columns)
+    twice, same = small(twice, IDS), F.col(own) == F.col(repeated)
+    again = kept.join(twice, same, "left_semi").dropDuplicates([own])
+    return kept.join(twice, same, "left_anti").select(docs.columns).unionByName(again.select(docs.columns))

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from airshed.llm.common import as_id, as_text
+
 TRAIN_ROWS = 150  # labelled documents per language, the bound of the training sample
 CHAIN = 256  # longest chain: longer lines are read as several
 BYTES_AT_ONCE = 2_000_000
@@ -264,11 +266,12 @@ def identify(docs: DataFrame, tagger: Tagger) -> DataFrame:
                 best = int(sums.argmax()) if total else 0
                 lang.append(tagger.languages[best] if total else UNKNOWN)
                 score.append(round(min(1.0, float(sums[best] / total)), 9) if total else 0.0)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "lang_pred": lang,
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "lang_pred": lang,
                                 "score": score})
 
-    return docs.select("doc_id", "text").mapInPandas(
-        run, "doc_id long, lang_pred string, score double")
+    return docs.select(as_text("doc_id"), "text").mapInPandas(
+        run, "doc_id string, lang_pred string, score double").select(
+        as_id("doc_id"), "lang_pred", "score")
 
 
 def filter_texts(docs: DataFrame, tagger: Tagger, least: float) -> DataFrame:

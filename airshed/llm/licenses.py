@@ -16,6 +16,8 @@ from collections.abc import Iterable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from airshed.llm.common import as_id, as_text
+
 # The phrases of the contract, and openings of public licence texts and notices.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"),
            ("general public license", "gpl"))
@@ -189,7 +191,7 @@ class Scanner:
         return best
 
 
-SCHEMA = ("doc_id long, n_words long, n_base long, first_word long, last_word long, "
+SCHEMA = ("doc_id string, n_words long, n_base long, first_word long, last_word long, "
           "base_labels string, labels string, score double, spans string")
 
 
@@ -214,6 +216,7 @@ def scan_documents(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES) -> Dat
                                                  default=0.0),
                             ",".join(f"{x}:{c[1]}:{c[2]}" for x, c in sorted(covers.items()))))
             frame = pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
-            yield frame.astype({"doc_id": "Int64", "first_word": "Int64", "last_word": "Int64"})
+            yield frame.astype({"first_word": "Int64", "last_word": "Int64"})
 
-    return docs.select("doc_id", "text").mapInPandas(scan, SCHEMA)
+    found = docs.select(as_text("doc_id"), "text").mapInPandas(scan, SCHEMA)
+    return found.select(as_id("doc_id"), *found.columns[1:])

@@ -130,14 +130,17 @@ def mix(df: DataFrame, ident: Column, tie: Column, source: Column, size: Column,
     like others of their source. A null source is a source. Equal rows count one by one. The
     result depends on the rows alone, not on their order or partitioning.
     """
-    rows = df.select(ident.alias("_id"), tie.alias("_tie"), source.alias("source"),
+    # the flights are Python: an id travels as text (see common.as_text)
+    kind = df.select(ident.alias("_id")).schema["_id"].dataType
+    rows = df.select(ident.cast("string").alias("_id"), tie.alias("_tie"), source.alias("source"),
                      size.cast("long").alias("size"))
+    own = F.col("_id").cast(kind)
     stats = rows.groupBy("source").agg(F.sum("size").alias("source_size"),
                                        F.count("*").alias("_rows"))
     stats = written(source_targets(stats, "source", "source_size", weights, cap), "targets")
     stats = small(stats.withColumnRenamed("source", "_source"), MAX_SOURCES)
     wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    place = F.xxhash64(F.lit(seed), "_id", "_tie", "size")
+    place = F.xxhash64(F.lit(seed), own, "_tie", "size")
     rows = (rows.join(stats, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
             .withColumn("_whole", F.floor(wanted + _EPS).cast("int"))
             .withColumn("_p", F.greatest(wanted - F.col("_whole"), F.lit(0.0)))
@@ -164,14 +167,14 @@ def mix(df: DataFrame, ident: Column, tie: Column, source: Column, size: Column,
         still = (flown.where(is_open)
                  .join(many, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
                  .withColumn("_block", F.when(F.col("count") <= block, F.lit(0).cast("long"))
-                             .otherwise(F.pmod(F.xxhash64(F.lit(seed + level), "_id", "_tie"),
+                             .otherwise(F.pmod(F.xxhash64(F.lit(seed + level), own, "_tie"),
                                                F.ceil(F.col("count") * 2 / block).cast("long"))))
                  .drop("count")
                  .withColumn("_seed", F.xxhash64(F.lit(seed + level), "source", "_block")))
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
-    return out.select("_id", "_tie", "source", "size", "source_size", "target",
+    return out.select(own.alias("_id"), "_tie", "source", "size", "source_size", "target",
                       (F.col("_whole") + F.col("_p").cast("int")).alias("copies"))
 
 

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airshed.llm.common import written
+from airshed.llm.common import as_id, as_text, written
 
 FOURIER = 384  # random features
 WIDTH = 3.0  # of the kernel, in standard deviations of a statistic
@@ -166,11 +166,11 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"),
+            yield pd.DataFrame({"doc_id": batch["doc_id"],
                                 "x": [statistics(t) for t in batch["text"]]})
 
-    measured = written(docs.select("doc_id", "text").mapInPandas(
-        measure, "doc_id long, x array<double>"), "statistics")
+    measured = written(docs.select(as_text("doc_id"), "text").mapInPandas(
+        measure, "doc_id string, x array<double>").select(as_id("doc_id"), "x"), "statistics")
     taught = (labels.where(F.col("quality").isNotNull() & (_bucket(F.col("doc_id"), 5) != 0))
               .groupBy("doc_id").agg(F.avg(F.col("quality").cast("double")).alias("y")))
     taught = written(measured.join(taught, "doc_id"), "labelled")
@@ -179,10 +179,10 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"),
+            yield pd.DataFrame({"doc_id": batch["doc_id"],
                                 "score": model.score(_stack(batch["x"]))})
 
     held = F.coalesce(_bucket(F.col("doc_id"), 5) == 0, F.lit(False))
-    return (measured.mapInPandas(apply, "doc_id long, score double")
-            .select("doc_id", held.alias("held_out"), "score",
+    return (measured.select(as_text("doc_id"), "x").mapInPandas(apply, "doc_id string, score double")
+            .select(as_id("doc_id"), "score").select("doc_id", held.alias("held_out"), "score",
                     (F.col("score") >= 0.3).cast("int").alias("predicted")))

@@ -257,3 +257,64 @@ def test_bounds_leave_documents_out():
     order = np.lexsort((ids, -score))[:5]
     assert top.ids.tolist() == order.tolist() and top.score.tolist() == score[order].tolist()
     assert scored < n / 2
+
+
+# ---------------------------------------------------------------- ids above 2**53 beside null ids
+IDS = [BIG, BIG + 2, None, 7, 2 ** 62 + 1]
+ID_TEXTS = ["the quick brown fox jumps over the lazy dog and runs", "mail bob7@example.com now",
+            "le renard brun saute par dessus le chien", "MIT License applies here", "der schnelle braune fuchs"]
+
+
+@pytest.fixture(scope="module")
+def big_ids(spark, tmp_path_factory):
+    at = str(tmp_path_factory.mktemp("ids"))
+    rows = [(i, t, lang, "s", len(t)) for i, t, lang in zip(IDS, ID_TEXTS, ["en", "en", "fr", "en", "de"], strict=True)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(
+        1).write.parquet(f"{at}/documents.parquet")
+    spark.createDataFrame([(1, ID_TEXTS[0])], "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
+    spark.createDataFrame([(i, "u", f"<p>{t}</p>") for i, t in zip(IDS, ID_TEXTS, strict=True)],
+                          "page_id long, url string, html string").coalesce(1).write.parquet(f"{at}/pages.parquet")
+    spark.createDataFrame([(BIG, 1, 0), (BIG + 2, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(
+        f"{at}/labels.parquet")
+    spark.createDataFrame([(i, [0.1 * k, 0.5]) for k, i in enumerate(IDS)], "vec_id long, embedding array<float>"
+                          ).coalesce(1).write.parquet(f"{at}/embeddings.parquet")
+    return at
+
+
+def by_id(rows):
+    return sorted(rows, key=repr)
+
+
+@pytest.mark.parametrize("name", [n for n in queries.QUERIES if n != "op5_topk" and n != "op13_ranked_search"])
+def test_large_ids_beside_null(spark, big_ids, name):
+    """No id is rounded where a null stands beside it, and what follows from an id is right."""
+    got = queries.QUERIES[name](spark, big_ids).collect()
+    key = "page_id" if name == "op2_html_extraction" else "doc_id"
+    assert by_id(r[key] for r in got) == by_id(IDS)
+    for r in got:
+        if name in ("op6_quality", "op8_language") and r[key] is not None:
+            n, rest = (5, 0) if name == "op6_quality" else (4, 2)
+            assert r["held_out"] == (zlib.crc32(str(r[key]).encode()) % n == rest)
+        if name == "op9_jaccard":
+            assert r["component_id"] == r[key]
+
+
+def test_large_ids_in_searches(spark, big_ids):
+    assert {r["doc_id"] for r in queries.op13_ranked_search(spark, big_ids).collect()} == {BIG}
+    got = queries.op5_topk(spark, big_ids).collect()
+    assert {r["vec_id"] for r in got} <= set(IDS) - {None}
+
+
+def test_keep_one_goes_by_id_and_text(spark):
+    """An id with two texts loses only the one that is a copy; ids above 2**53 are told apart."""
+    from airshed.llm import jaccard
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    near = a.replace("a20", "other")
+    rows = [(1, a), (2, a), (2, b), (None, a), (None, b + " tail"), (BIG, near + " x"), (BIG + 2, "c d e f g h"),
+            (BIG + 2, "c d e f g h"), (9, None), (9, None), (None, "")]
+    docs = spark.createDataFrame([(*r, 5, "extra") for r in rows],
+                                 "doc_id long, text string, _own int, _gone string")
+    kept = jaccard.keep_one(docs, 8, 10, 3)
+    assert kept.columns == docs.columns
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(
+        [(1, a), (2, b), (BIG + 2, "c d e f g h"), (9, None), (9, None), (None, "")])

@@ -75,3 +75,26 @@ def test_empty_and_repeated(spark, folder):
     twice = docs.union(docs.where("doc_id < 4")).withColumn("n_chars", F.lit(None).cast("long"))
     kept = pipeline.near_duplicates(spark, twice, folder)
     assert kept.groupBy("doc_id").count().where("count > 1").count() == 0
+
+
+def test_large_ids_beside_null(spark, folder):
+    """Every stage keeps ids above 2**53 as they are, beside null ids and ids with two texts."""
+    big = 2 ** 53 + 1
+    docs = common.table(spark, folder, "documents")
+    texts = [r["text"] for r in docs.where("doc_id between 10 and 13").orderBy("doc_id").collect()]
+    extra = spark.createDataFrame(
+        [(big, texts[0], "en", "s0", 5), (big + 2, texts[1], "fr", "s0", 5), (None, texts[2] + " more", "en", "s1", 5),
+         (big + 4, f"start {ITEM} end of it", "en", "s0", 5), (big + 6, "a copy: " + texts[3], "fr", "s2", 5),
+         (big + 6, " ".join(f"the{x}{y}ing" for x in "klmn" for y in "opqr"), "en", "s2", 5)], docs.schema)
+    docs = docs.where("doc_id is null or doc_id not between 10 and 13").unionByName(extra)
+    ids = lambda df: {r["doc_id"] for r in df.select("doc_id").collect()}
+    want = {big, big + 2, None, big + 6}
+    for _, stage in pipeline.STAGES[:3]:
+        docs = common.written(stage(spark, docs, folder), "ids")
+        assert want <= ids(docs), stage.__name__
+    assert big + 4 not in ids(docs) and docs.where(f"doc_id = {big + 6}").count() == 2
+    mixed = common.written(pipeline.mix_sources(spark, docs, folder), "mixed")
+    taken = {(r["doc_id"], r["text_key"]): r["copies"] for r in mixing.mix_documents(docs).collect() if r["copies"]}
+    got = mixed.groupBy("doc_id", mixing.text_key(F.col("text")).alias("k")).count().collect()
+    assert {(r["doc_id"], r["k"]): r["count"] for r in got} == taken
+    assert ids(pipeline.shard(spark, mixed, folder)) == ids(mixed)
