@@ -6,7 +6,7 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.llm import decontamination, jaccard, language, mixing, sharding
@@ -19,13 +19,15 @@ LEAST_SCORE = 0.5  # of the language: texts below it are not in one language
 IDS = 4_000_000  # lists of keys up to this length are broadcast
 
 
+def _row(docs: DataFrame) -> Column:
+    """One number for a row's id and text together: lists of such numbers are short enough to broadcast."""
+    return F.xxhash64(docs["doc_id"], mixing.text_key(docs["text"]))
+
+
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose (doc_id, text) is in ``gone`` (_id, _key). Only documents with one
-    of these ids have their text hashed."""
-    gone = small(gone.distinct(), IDS)
-    same = (F.col("doc_id").eqNullSafe(F.col("_id"))
-            & (mixing.text_key(F.col("text")) == F.col("_key")))
-    return docs.join(gone, same, "left_anti").select(*COLUMNS)
+    """``docs`` without the rows whose number is in ``gone`` (_gone)."""
+    gone = small(written(gone.distinct(), "gone"), IDS)
+    return docs.join(gone, _row(docs) == F.col("_gone"), "left_anti").select(*COLUMNS)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,22 +46,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
-    keyed = docs.select(F.col("doc_id").alias("_id"), mixing.text_key(F.col("text")).alias("_key"),
-                        "text")
-    hits = decontamination.find_hits(keyed, table(spark, sf_dir, "benchmark"), ["_id", "_key"])
-    return _without(docs, hits.where(F.size("spans") > 0).select("_id", "_key"))
+    keyed = docs.select(_row(docs).alias("_gone"), "text")
+    hits = decontamination.find_hits(keyed, table(spark, sf_dir, "benchmark"), ["_gone"])
+    return _without(docs, hits.where(F.size("spans") > 0).select("_gone"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes each document as often as the mix says: not at all, once or repeatedly."""
-    copies = mixing.mix_documents(docs).groupBy("doc_id", "text_key").agg(
+    copies = mixing.mix_documents(docs).groupBy(F.xxhash64("doc_id", "text_key").alias("_number")).agg(
         F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    other = small(written(copies.where("_copies <> _rows").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_copies", "_rows"),
-        "copies"), IDS)
-    same = (F.col("doc_id").eqNullSafe(F.col("_id"))
-            & (mixing.text_key(F.col("text")) == F.col("_key")))
-    found = docs.join(other, same, "left")
+    other = small(written(copies.where("_copies <> _rows"), "copies"), IDS)
+    found = docs.join(other, _row(docs) == F.col("_number"), "left")
     # equal rows share what the mix takes of them as evenly as whole copies allow
     once = found.where("_rows is null or _rows = 1")
     many = (found.where("_rows > 1").groupBy(*COLUMNS).agg(F.first("_copies").alias("_copies")))
