@@ -30,7 +30,6 @@ _MARK, _JOIN = "\ue000", "\ue001"  # of seeds in a text
 
 CONFIDENT = 0.75  # least score of a pattern that finds
 SUPPORT = 3  # least number of distinct scored values in it
-ROUNDS = 3
 SEEDED = 1_000_000  # lists of keys, patterns and values up to this length are broadcast
 
 
@@ -150,40 +149,65 @@ def _valued(words: DataFrame) -> DataFrame:
             .withColumn("kind", F.when(seed, kind.cast("int"))).where("value <> ''"))
 
 
+def _hopeful(slots: DataFrame, support: DataFrame) -> DataFrame:
+    """The patterns of ``support`` that can be confident: those with at most sum / CONFIDENT values.
+
+    Values set bits of a map, twice as many bits as the pattern may have values, in words of 64. No value
+    sets two bits, so a map with more bits than that holds too many values, and its pattern is out. Maps
+    are combined before the shuffle: common patterns such as "the _" cost a few words for each task, and
+    not a row for each value. Patterns just above the bound stay; their values are counted later.
+    """
+    most = F.floor(F.max("sum") / CONFIDENT).cast("long")
+    names = support.groupBy("pattern").agg(most.alias("most")).withColumn(
+        "parts", F.ceil(F.col("most") * 2 / 64).cast("long"))
+    values = _valued(slots.join(small(names, SEEDED), "pattern"))
+    place = F.xxhash64("value")
+    bit = F.expr("shiftleft(1L, cast(pmod(place, 64) as int))")
+    maps = (values.select("pattern", "most", place.alias("place"), F.pmod(F.xxhash64("value", F.lit(1)),
+                                                                        "parts").alias("part"))
+            .groupBy("pattern", "most", "part").agg(F.bit_or(bit).alias("bits")))
+    return (maps.groupBy("pattern", "most").agg(F.sum(F.bit_count("bits").cast("long")).alias("least"))
+            .where(F.col("least") <= F.col("most")).select("pattern"))
+
+
 def _discover(words: DataFrame) -> DataFrame:
     """key, i, kind and score of the words that are unseen identifiers: values with digits wherever they
     stand, others, which only emails can be, in the slots of confident patterns. A pattern counts all
-    values in its slot; only those with SUPPORT, which alone can be confident, are looked up."""
+    values in its slot; only those with SUPPORT, which alone can be confident, are looked up. Rounds go on
+    until they find no value that was not found before; scores only rise, so they come to an end."""
     slots = _slots(words)
     known = written(_valued(slots.where(F.col("word").contains(_MARK)))
                     .select("pattern", "value", "kind").distinct()
                     .withColumn("score", F.lit(1.0)), "seeds")
     seeds = known.select("value").distinct()
     has_digit = F.col("value").rlike("[0-9]")
-    scored = known
-    for i in range(ROUNDS):
-        support = (scored.groupBy("pattern", "kind")
-                   .agg(F.sum("score").alias("sum"), F.count("*").alias("support"))
-                   .where(F.col("support") >= SUPPORT))
-        support = written(support, f"support{i}")
-        names = small(support.select("pattern").distinct(), SEEDED)
-        edges = written(_valued(slots.join(names, "pattern")).select("pattern", "value").distinct(),
-                        f"edges{i}")
+    none = words.select("key", "i", F.lit(0).alias("kind"), F.lit(0.0).alias("score")).limit(0)
+    scored, found = known, None
+    while True:
+        support = written(scored.groupBy("pattern", "kind")
+                          .agg(F.sum("score").alias("sum"), F.count("*").alias("support"))
+                          .where(F.col("support") >= SUPPORT), "support")
+        hopeful = written(_hopeful(slots, support), "hopeful")
+        if not hopeful.head(1):
+            return none
+        edges = written(_valued(slots.join(small(hopeful, SEEDED), "pattern")).select("pattern", "value")
+                        .distinct(), "edges")
         sizes = edges.groupBy("pattern").agg(F.count("*").alias("n"))
         confident = written(support.join(sizes, "pattern").select(
             "pattern", "kind", (F.col("sum") / F.col("n")).alias("score"))
-            .where(F.col("score") >= CONFIDENT), f"confident{i}")
+            .where(F.col("score") >= CONFIDENT), "confident")
         new = written(edges.join(confident, "pattern").where((F.col("kind") == 0) | has_digit)
                       .groupBy("value", "kind").agg(F.max("score").alias("score"))
-                      .join(seeds, "value", "left_anti"), f"round{i}")
+                      .join(seeds, "value", "left_anti"), "round")
         if not new.head(1):
-            return words.select("key", "i", F.lit(0).alias("kind"), F.lit(0.0).alias("score")).limit(0)
-        if i == ROUNDS - 1:
+            return none
+        if found is not None and not new.join(found, ["value", "kind"], "left_anti").head(1):
             break
+        found = new
         values = small(new.withColumnRenamed("kind", "_kind"), SEEDED)
         more = (_valued(slots).where("kind is null").drop("kind").join(values, "value")
                 .select("pattern", "value", F.col("_kind").alias("kind"), "score").distinct())
-        scored = written(known.unionByName(more), f"scored{i}")
+        scored = written(known.unionByName(more), "scored")
     anywhere = (_valued(words).where("kind is null").drop("kind")
                 .join(small(new.where(has_digit), SEEDED), "value"))
     there = (_valued(slots).where("kind is null").drop("kind").where(~has_digit)
