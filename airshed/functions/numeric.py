@@ -50,6 +50,12 @@ def exact_avg(c, scale: int = 6) -> Column:
     and remainder, so the result does not depend on partitioning or task order. Any other value, NaN
     among them, makes the group's result that of plain ``avg``; none is left out.
     """
+    return average_of(average_state(c, scale), scale)
+
+
+def average_state(c, scale: int = 6) -> Column:
+    """What ``exact_avg`` keeps of a group, as a struct: it can be stored and merged with that of other
+    groups, so an average needs only the states of the parts that changed."""
     unit = 10 ** scale
     v = _col(c).cast("double")
     near = F.rint(v * float(unit))
@@ -58,6 +64,21 @@ def exact_avg(c, scale: int = 6) -> Column:
     u = F.when(fits, near).try_cast("long")
     frac = F.pmod(u, F.lit(unit))
     whole = ((u - frac) / F.lit(unit)).cast("long")
-    total = (F.sum(whole).cast("decimal(38,0)") * F.lit(unit) + F.sum(frac)) / F.lit(unit)
-    exact = F.try_divide(total.cast("double"), F.count(u).cast("double"))
-    return F.when(F.count(u) == F.count(v), exact).otherwise(F.avg(v))
+    return F.struct(F.count(v).alias("n"), F.count(u).alias("fit"), F.sum(whole).alias("whole"),
+                    F.sum(frac).alias("frac"), F.avg(v).alias("avg"))
+
+
+def merged_state(state: str) -> Column:
+    """The states of several groups as one: exact where all of them are."""
+    s = lambda f: F.sum(F.col(f"{state}.{f}"))
+    n = s("n")
+    mean = F.try_divide(F.sum(F.col(f"{state}.avg") * F.col(f"{state}.n")), n.cast("double"))
+    return F.struct(n.alias("n"), s("fit").alias("fit"), s("whole").alias("whole"), s("frac").alias("frac"),
+                    mean.alias("avg"))
+
+
+def average_of(state: Column, scale: int = 6) -> Column:
+    unit = 10 ** scale
+    total = (state["whole"].cast("decimal(38,0)") * F.lit(unit) + state["frac"]) / F.lit(unit)
+    exact = F.try_divide(total.cast("double"), state["fit"].cast("double"))
+    return F.when(state["fit"] == state["n"], exact).otherwise(state["avg"])

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.functions import constants as K
-from airshed.ml.dataset import check_size, split
+from airshed.ml.dataset import SAMPLE_KEY, checked, split
 from airshed.session import checkpoint_dir
 
 # MLlib caps tree depth at 30; the upstream forest grows unlimited depth, bounded in
@@ -47,32 +47,49 @@ class Trained:
     n_stations: int
     mae: float
     r2: float
+    first_time: str | None = None  # of the samples' hours, UTC
+    last_time: str | None = None
+    trained_at: str | None = None
 
 
-def train(samples: DataFrame, num_trees: int = K.RF_TREES, max_depth: int = MAX_DEPTH) -> Trained:
-    """ML3-ML6: gate, split, fit, evaluate on the hold-out."""
+def evaluate(predictions: DataFrame, label: str = "aqi_target") -> tuple[float, float]:
+    """ML6: MAE and R2 in one aggregate (R2 is NaN for fewer than two different targets)."""
+    y, e = F.col(label).cast("double"), F.col("prediction") - F.col(label)
+    mae, mse, var = predictions.agg(F.avg(F.abs(e)), F.avg(e * e), F.var_pop(y)).first()
+    if mae is None:
+        return float("nan"), float("nan")
+    return float(mae), float(1 - mse / var) if var else float("nan")
+
+
+def train(samples: DataFrame, num_trees: int = K.RF_TREES, max_depth: int = MAX_DEPTH,
+          split_keys=SAMPLE_KEY) -> Trained:
+    """ML3-ML7: gate, split, fit, evaluate on the hold-out. Besides the fit, two passes over the samples:
+    one counts them, one scores the hold-out."""
     checkpoint_dir(samples.sparkSession)
-    # The sample join feeds the size gate, the station count, the fit and the evaluation:
-    # materialise it once in the shared checkpoint folder instead of recomputing it.
+    # The sample join feeds the size gate, the fit and the evaluation: it is materialised once in the
+    # shared checkpoint folder.
     samples = samples.checkpoint(eager=True)
-    n = check_size(samples)
-    train_df, test_df = split(samples)
+    hour = F.date_format(F.col("time").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    n, stations, first, last = samples.agg(F.count("*"), F.count_distinct("station"), F.min(hour),
+                                           F.max(hour)).first()
+    checked(n)
+    train_df, test_df = split(samples, keys=split_keys)
     model = build_pipeline(num_trees, max_depth).fit(_as_features(train_df))
-    pred = model.transform(_as_features(test_df))
-    ev = RegressionEvaluator(labelCol="aqi_target", predictionCol="prediction")
-    mae = ev.evaluate(pred, {ev.metricName: "mae"})
-    r2 = ev.evaluate(pred, {ev.metricName: "r2"})
-    stations = samples.select("station").distinct().count()
-    return Trained(model, n, stations, float(mae), float(r2))
+    mae, r2 = evaluate(model.transform(_as_features(test_df)))
+    return Trained(model, n, stations, mae, r2, first, last, datetime.now(timezone.utc).isoformat())
 
 
 def metrics_frame(spark: SparkSession, t: Trained) -> DataFrame:
     """ML7: one-row metadata document."""
+    weights = t.model.stages[-1].featureImportances.toArray()
+    found = {f: round(float(v), 4) for f, v in zip(K.FEATURE_ORDER, weights, strict=True)}
     return spark.createDataFrame(
-        [(t.n_samples, t.n_stations, round(t.mae, 3), round(t.r2, 4), "RandomForestRegressor",
-          "forecast", "us_aqi (at t + horizon_h)", list(K.FEATURE_ORDER), list(K.HORIZONS))],
-        "n_samples long, n_stations long, mae double, r2 double, model_type string, "
-        "task string, target string, feature_order array<string>, horizons_h array<int>")
+        [(t.trained_at, t.first_time, t.last_time, t.n_samples, t.n_stations, round(t.mae, 3), round(t.r2, 4),
+          "RandomForestRegressor", "forecast", "us_aqi (at t + horizon_h)", list(K.FEATURE_ORDER),
+          list(K.HORIZONS), found)],
+        "trained_at string, first_time string, last_time string, n_samples long, n_stations long, mae double, "
+        "r2 double, model_type string, task string, target string, feature_order array<string>, "
+        "horizons_h array<int>, importances map<string,double>")
 
 
 def importances(spark: SparkSession, t: Trained) -> DataFrame:
@@ -102,4 +119,4 @@ def load(path: str) -> PipelineModel:
         return PipelineModel.load(path)
     except Exception as e:  # noqa: BLE001
         raise FileNotFoundError(
-            f"Model not loaded from {path}: train it first (airshed.ml.model.train + save)") from e
+            f"No forecast model in {path}; make one with airshed.ml.model.train and save") from e

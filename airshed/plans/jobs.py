@@ -2,7 +2,9 @@
 
 Each job writes its silver table once and reads it back for the gold marts, so the marts
 start from a written table instead of re-running the cleaning plan (the write is the
-lineage cut; its folder is on shared storage).
+lineage cut; its folder is on shared storage). Gold and serving marts are snapshots
+(``plans.snapshots``): a failed run leaves the former ones in place. Every job run is a line of the
+lake's ledger.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.operators import clean, joins, marts, serving
+from airshed.plans import snapshots
 from airshed.plans.sinks import write_table
 from airshed.sources.bronze import read_bronze, read_table
 
@@ -50,12 +53,12 @@ def run_aqi(spark: SparkSession, lake: Lake, run_ts: str) -> JobResult:
     """JOB1: bronze AQI -> silver -> gold stations + gold ML features."""
     raw = read_bronze(spark, lake.bronze, "aqi", layout=lake.bronze_layout)
     if raw is None:
-        return JobResult("aqi", True, message="no data in bronze/aqi - skipped")
+        return JobResult("aqi", True, message="skipped: no AQI records")
     rows = {"silver_aqi": write_table(clean.clean_aqi(raw, run_ts), lake.path("silver", "aqi"),
                                       partition_by=["date"])}
     silver = read_silver(spark, lake.path("silver", "aqi"))
-    rows["gold_stations"] = write_table(marts.station_gold(silver, run_ts), lake.path("gold", "stations"))
-    rows["gold_ml_features"] = write_table(marts.ml_features(silver), lake.path("gold", "ml_features"))
+    rows["gold_stations"] = snapshots.publish(marts.station_gold(silver, run_ts), lake.path("gold", "stations"), run_ts)
+    rows["gold_ml_features"] = snapshots.publish(marts.ml_features(silver), lake.path("gold", "ml_features"), run_ts)
     return JobResult("aqi", True, rows)
 
 
@@ -64,19 +67,19 @@ def run_weather(spark: SparkSession, lake: Lake, run_ts: str) -> JobResult:
     silver exists."""
     raw = read_bronze(spark, lake.bronze, "weather", layout=lake.bronze_layout)
     if raw is None:
-        return JobResult("weather", True, message="no data in bronze/weather - skipped")
+        return JobResult("weather", True, message="skipped: no weather records")
     rows = {"silver_weather": write_table(clean.clean_weather(raw, run_ts),
                                           lake.path("silver", "weather"), partition_by=["date"])}
     silver = read_silver(spark, lake.path("silver", "weather"))
-    rows["gold_weather"] = write_table(marts.weather_gold(silver, run_ts), lake.path("gold", "weather"))
+    rows["gold_weather"] = snapshots.publish(marts.weather_gold(silver, run_ts), lake.path("gold", "weather"), run_ts)
     aqi = read_table(spark, lake.path("silver", "aqi"))
     aqi = None if aqi is None else read_silver(spark, lake.path("silver", "aqi"))
     msg = ""
     if aqi is None:
-        msg = "combined view skipped (AQI silver not ready)"
+        msg = "no combined view: there is no AQI silver yet"
     else:
-        rows["silver_combined"] = write_table(joins.combined(silver, aqi, run_ts),
-                                              lake.path("silver", "combined"))
+        rows["silver_combined"] = snapshots.publish(joins.combined(silver, aqi, run_ts),
+                                                    lake.path("silver", "combined"), run_ts)
     return JobResult("weather", True, rows, msg)
 
 
@@ -84,20 +87,25 @@ def run_traffic(spark: SparkSession, lake: Lake, run_ts: str) -> JobResult:
     """JOB3: traffic cleaned in flight (no silver write), gold corridors written."""
     raw = read_bronze(spark, lake.bronze, "traffic", layout=lake.bronze_layout)
     if raw is None:
-        return JobResult("traffic", True, message="no data in bronze/traffic - skipped")
+        return JobResult("traffic", True, message="skipped: no traffic records")
     gold = marts.corridor_gold(clean.clean_traffic(raw, run_ts), run_ts)
-    return JobResult("traffic", True, {"gold_traffic": write_table(gold, lake.path("gold", "traffic"))})
+    return JobResult("traffic", True, {"gold_traffic": snapshots.publish(
+        gold, lake.path("gold", "traffic"), run_ts)})
 
 
 def run_pipeline(spark: SparkSession, lake: Lake, run_ts: str) -> DataFrame:
     """JOB4: AQI -> weather -> traffic; each may fail alone; status ok / partial."""
     results = []
     for fn in (run_aqi, run_weather, run_traffic):
+        started = snapshots.now()
         try:
             results.append(fn(spark, lake, run_ts))
         except Exception as e:  # noqa: BLE001 - one failed job must not stop the others
             log.error("%s failed: %s", fn.__name__, e)
             results.append(JobResult(fn.__name__.removeprefix("run_"), False, message=str(e)[:500]))
+        r = results[-1]
+        snapshots.record_run(spark, lake.root, run_ts, r.job, "ok" if r.ok else "failed", r.rows, r.message,
+                             started)
     status = "ok" if all(r.ok for r in results) else "partial"
     return spark.createDataFrame(
         [(r.job, r.ok, {k: int(v) for k, v in r.rows.items()}, r.message, status, run_ts)
@@ -106,23 +114,39 @@ def run_pipeline(spark: SparkSession, lake: Lake, run_ts: str) -> DataFrame:
         "run_ts string")
 
 
-def refresh_marts(spark: SparkSession, lake: Lake) -> dict:
+def refresh_marts(spark: SparkSession, lake: Lake, run_ts: str = "") -> dict:
     """JOB5: rebuild the serving marts from gold; returns station and corridor counts."""
-    stations = read_table(spark, lake.path("gold", "stations"))
-    weather = read_table(spark, lake.path("gold", "weather"))
-    traffic = read_table(spark, lake.path("gold", "traffic"))
+    started = snapshots.now()
+    stations, weather, traffic = (snapshots.read(spark, lake.path("gold", x))
+                                  for x in ("stations", "weather", "traffic"))
     out = {"stations": 0, "corridors": 0}
     if stations is not None:
         if weather is None:
             weather = spark.createDataFrame([], marts_weather_schema())
-        out["stations"] = write_table(serving.station_current(stations, weather),
-                                      lake.path("serving", "station_current"))
+        out["stations"] = snapshots.publish(serving.station_current(stations, weather),
+                                            lake.path("serving", "station_current"), run_ts)
     if traffic is not None:
-        out["corridors"] = write_table(serving.traffic_current(traffic),
-                                       lake.path("serving", "traffic_current"))
+        out["corridors"] = snapshots.publish(serving.traffic_current(traffic),
+                                             lake.path("serving", "traffic_current"), run_ts)
+    snapshots.record_run(spark, lake.root, run_ts, "refresh", "ok", out, "", started)
     return out
 
 
+def run_requests(spark: SparkSession, lake: Lake, requests: DataFrame, run_ts: str, model=None) -> JobResult:
+    """ML10 + ML12: requests are checked in one pass and written by whether they are accepted; the
+    accepted ones are scored (with a model) into a mart of forecasts."""
+    from airshed.ml import scoring
+    path, started = lake.path("serving", "requests"), snapshots.now()
+    checked = scoring.request_rows(requests).withColumn("accepted", F.col("rejected").isNull())
+    rows = {"requests": write_table(checked, path, partition_by=["accepted"])}
+    checked = spark.read.schema(checked.schema).parquet(path)
+    if model is not None:
+        rows["forecasts"] = snapshots.publish(scoring.score_requests(model, checked.where("accepted")),
+                                              lake.path("serving", "request_forecasts"), run_ts)
+    snapshots.record_run(spark, lake.root, run_ts, "requests", "ok", rows, "", started)
+    return JobResult("requests", True, rows)
+
+
 def marts_weather_schema() -> str:
     from airshed.functions import constants as K
     fields = ", ".join(f"{f} {'string' if f.startswith('weather_') else 'double'}"
@@ -130,18 +154,34 @@ def marts_weather_schema() -> str:
     return f"station string, lat double, lon double, {fields}, last_updated string, processed_at string"
 
 
+MARTS = [("gold", "stations"), ("gold", "ml_features"), ("gold", "weather"), ("gold", "traffic"),
+         ("serving", "station_current"), ("serving", "traffic_current")]
+
+
 def freshness(spark: SparkSession, lake: Lake) -> DataFrame:
-    """VW5: last processing stamp per written mart."""
-    frames = []
-    for layer, name in [("gold", "stations"), ("gold", "weather"), ("gold", "traffic"),
-                        ("serving", "station_current"), ("serving", "traffic_current")]:
-        t = read_table(spark, lake.path(layer, name))
-        if t is not None and "processed_at" in t.columns:
-            frames.append(t.agg(F.max("processed_at").alias("last_processed"))
-                           .select(F.lit(f"{layer}/{name}").alias("mart"), "last_processed"))
-    if not frames:
-        return spark.createDataFrame([], "mart string, last_processed string")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+    """VW5: the current snapshot of every mart: mart, version, rows, run_ts, refreshed_at."""
+    out = spark.createDataFrame([], "mart string, version long, rows long, run_ts string, refreshed_at string")
+    for layer, name in MARTS:
+        newest = F.max_by(F.struct("version", "rows", "run_ts", "finished_at"), F.struct("version", "finished_at"))
+        line = (snapshots.manifest(spark, lake.path(layer, name)).agg(newest.alias("m")).where("m is not null"))
+        out = out.unionByName(line.select(F.lit(f"{layer}/{name}").alias("mart"), "m.version", "m.rows", "m.run_ts",
+                                          F.col("m.finished_at").alias("refreshed_at")))
     return out
+
+
+def health(spark: SparkSession, lake: Lake) -> DataFrame:
+    """VW5: one row: the last refresh of the serving marts and the last run of the pipeline's jobs, with the
+    status of that run (ok, partial, failed); NULLs before the first."""
+    lines = snapshots.ledger(spark, lake.root).groupBy("job").agg(F.max_by(
+        F.struct("job", "run_ts", "status", "finished_at"), "finished_at").alias("l")).select("l.*")
+    is_job = F.col("job").isin("aqi", "weather", "traffic")
+    # the newest line of each job: a handful
+    one = lines.agg(F.max(F.when(F.col("job") == "refresh", F.col("finished_at"))).alias("last_refresh"),
+                    F.max(F.when(is_job, F.col("finished_at"))).alias("pipeline_last_run"),
+                    F.max_by("run_ts", F.when(is_job, F.col("finished_at"))).alias("pipeline_run_ts"),
+                    F.collect_list(F.when(is_job, F.struct("run_ts", "status"))).alias("_lines"))
+    statuses = F.transform(F.filter("_lines", lambda x: x["run_ts"] == F.col("pipeline_run_ts")),
+                           lambda x: x["status"] == "ok")
+    return one.withColumn("pipeline_status", F.when(F.size(statuses) == 0, None)
+                          .when(F.forall(statuses, lambda x: x), "ok")
+                          .when(F.exists(statuses, lambda x: x), "partial").otherwise("failed")).drop("_lines")

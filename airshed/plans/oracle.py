@@ -458,6 +458,35 @@ def landing_sinks_sql() -> str:
         FROM (SELECT TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) WHERE k < 4 GROUP BY k"""
 
 
+def job_oracles() -> dict[str, str]:
+    combined = f"SELECT count(*) FROM ({weather_silver()})"
+    tables = [("aqi", "silver_aqi", f"SELECT count(*) FROM ({aqi_silver()})"),
+              ("aqi", "gold_stations", f"SELECT count(*) FROM ({gold_stations()})"),
+              ("aqi", "gold_ml_features", f"SELECT count(*) FROM ({aqi_silver()})"),
+              ("weather", "silver_weather", combined), ("weather", "gold_weather", f"SELECT count(*) FROM ({gold_weather()})"),
+              ("weather", "silver_combined", combined), ("traffic", "gold_traffic", f"SELECT count(*) FROM ({gold_traffic()})"),
+              ("refresh", "stations", f"SELECT count(*) FROM ({station_current()})"),
+              ("refresh", "corridors", f"SELECT count(DISTINCT corridor) FROM ({gold_traffic()})")]
+    key = "md5(station || '|' || CAST(epoch(t) AS BIGINT)"
+    split = (f"SELECT 'sample' AS key, {key} || '|' || horizon_h) AS h FROM samples UNION ALL SELECT 'target', "
+             "md5(station || '|' || CAST(epoch(t) + horizon_h * 3600 AS BIGINT)) FROM samples")
+    return {
+        "job_rows": " UNION ALL ".join(f"SELECT '{j}' AS job, 'ok' AS status, '{n}' AS name, ({q}) AS rows"
+                                       for j, n, q in tables),
+        "bronze_audit": f"""SELECT 'aqi' AS dir, count(*) AS rows, true AS has_files FROM ({A.AQI_RAW_SQL}) UNION ALL
+            SELECT 'weather', 2 * count(*), true FROM ({A.WEATHER_RAW_SQL}) UNION ALL
+            SELECT 'traffic', count(*), true FROM ({A.TRAFFIC_RAW_SQL})""",
+        "incremental_stations": gold_stations(),
+        "station_detail": f"""SELECT station, current_aqi, aqi_category, reading_count, last_updated, temp_c,
+            readings, times FROM ({station_current()}) JOIN (SELECT station, count(*) AS readings,
+              '[' || string_agg('"' || timestamp || '"', ',' ORDER BY timestamp) || ']' AS times
+              FROM ({aqi_silver()}) GROUP BY station) USING (station) WHERE station = 'st-0007'""",
+        "split_counts": f"""WITH samples AS (SELECT station, horizon_h, timezone('UTC', CAST(time AS TIMESTAMPTZ)) AS t
+              FROM ({horizon_samples_sql()}))
+            SELECT key, CAST('0x' || h[1:8] AS BIGINT) % 100 >= 80 AS test, count(*) AS samples FROM ({split}) GROUP BY 1, 2""",
+    }
+
+
 def payload_oracles() -> dict[str, str]:
     # records by form: 5 an empty object, 6 a null block, 7 a valid response
     return {
@@ -510,5 +539,6 @@ def oracle_sql() -> dict[str, str]:
         "city_weather": city_weather_sql(),
         **more_oracles(),
         **payload_oracles(),
+        **job_oracles(),
         **realised_oracles(),
     }

@@ -24,6 +24,7 @@ from airshed.sources.tables import table
 
 RUN_TS = "2024-02-01T00:00:00+00:00"
 DIGITS = 4
+ONE_STATION = "st-0007"
 
 
 # ------------------------------------------------------------------ silver / gold building blocks
@@ -327,6 +328,77 @@ def dirty_payloads(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("event_id", F.col("event_id").cast("long"))
 
 
+# ------------------------------------------------------------------ jobs over written bronze
+def _landed(spark: SparkSession, sf: str, parts: list) -> str:
+    """Bronze of three feeds, landed as one batch for each condition of ``parts``; returns its root."""
+    from airshed.session import scratch_path
+    from airshed.streaming import landing
+
+    root = scratch_path(spark, f"landed-{uuid.uuid4().hex}")
+    env = _envelopes(spark, sf, [t for t, *_ in STREAM_FEEDS if t not in ("aqi-raw", "weather-raw", "traffic-raw")])
+    for i, part in enumerate(parts):
+        landing.write_batch(env.where(part), i, root)
+    return root
+
+
+def job_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """JOB1-JOB5 over written bronze (SRC1, SRC2, SRC4, SNK1, SNK2): the rows that each run of the ledger
+    wrote, by job and table."""
+    from airshed.plans import jobs, snapshots
+
+    root = _landed(spark, sf, [F.lit(True)])
+    lake = jobs.Lake(bronze=f"{root}/bronze", root=f"{root}/lake")
+    jobs.run_pipeline(spark, lake, RUN_TS)
+    jobs.refresh_marts(spark, lake, RUN_TS)
+    return snapshots.ledger(spark, lake.root).select("job", "status", F.explode("rows").alias("name", "rows"))
+
+
+def bronze_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK3: landed rows by folder, and whether there are files."""
+    from airshed.plans import sinks
+
+    root = _landed(spark, sf, [F.lit(True)])
+    return sinks.bronze_audit(spark.read.text(f"{root}/bronze")).groupBy("dir").agg(
+        F.sum("rows").alias("rows"), (F.min("files") > 0).alias("has_files"))
+
+
+def incremental_stations(spark: SparkSession, sf: str) -> DataFrame:
+    """JOB1 by affected dates: two batches that share dates, a run after each; the mart equals that of one
+    run over everything."""
+    return _incremental(spark, sf, "aqi", "stations")
+
+
+def _incremental(spark: SparkSession, sf: str, feed: str, mart: str) -> DataFrame:
+    from airshed.plans import incremental, jobs, snapshots
+    from airshed.streaming import landing
+
+    early = F.pmod(F.xxhash64("value"), F.lit(5)) > 0
+    root = _landed(spark, sf, [early])
+    lake = jobs.Lake(bronze="", root=f"{root}/lake")
+    incremental.run_feed(spark, root, lake, feed, RUN_TS, DIGITS)
+    env = _envelopes(spark, sf, [t for t, *_ in STREAM_FEEDS if t != f"{feed}-raw"])
+    landing.write_batch(env.where(~early), 1, root)
+    incremental.run_feed(spark, root, lake, feed, RUN_TS, DIGITS)
+    return snapshots.read(spark, lake.path("gold", mart))
+
+
+def station_detail(spark: SparkSession, sf: str) -> DataFrame:
+    """VW1 / PRJ11: one station's record and series."""
+    out = views.station_detail(station_current(spark, sf), ml_features(spark, sf), ONE_STATION)
+    return out.select("station", "current_aqi", "aqi_category", "reading_count", "last_updated", "temp_c",
+                      F.col("readings").cast("long").alias("readings"),
+                      F.to_json(F.col("series.timestamp")).alias("times"))
+
+
+def split_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """ML4: samples in either side of the split, by sample and by target hour."""
+    from airshed.ml import dataset
+    samples = joins.horizon_samples(_training_rows(spark, sf))
+    sides = [samples.select(F.lit(name).alias("key"), dataset.is_test(samples, keys=keys).alias("test"))
+             for name, keys in (("sample", dataset.SAMPLE_KEY), ("target", dataset.TARGET_KEY))]
+    return sides[0].unionByName(sides[1]).groupBy("key", "test").agg(F.count("*").alias("samples"))
+
+
 # ------------------------------------------------------------------ requests
 def request_features(spark: SparkSession, sf: str) -> DataFrame:
     """ML10 + ML12: feature rows of the accepted requests, with their own horizons."""
@@ -560,6 +632,11 @@ QUERIES = {
     "forecast_time_grid": forecast_time_grid,
     "ingest_stream": ingest_stream,
     "landing_sinks": landing_sinks,
+    "job_rows": job_rows,
+    "bronze_audit": bronze_audit,
+    "incremental_stations": incremental_stations,
+    "station_detail": station_detail,
+    "split_counts": split_counts,
     "openaq_payload": openaq_payload,
     "openmeteo_payload": openmeteo_payload,
     "payload_kinds": payload_kinds,

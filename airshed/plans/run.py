@@ -34,7 +34,7 @@ def main(argv=None, spark=None) -> dict:
     lake = jobs.Lake(bronze=a.bronze, root=a.lake,
                      bronze_layout="plain" if a.plain_bronze else "partitioned")
     status = [r.asDict() for r in jobs.run_pipeline(spark, lake, run_ts).collect()]
-    out = {"run_ts": run_ts, "jobs": status, "marts": jobs.refresh_marts(spark, lake)}
+    out = {"run_ts": run_ts, "jobs": status, "marts": jobs.refresh_marts(spark, lake, run_ts)}
     if a.train:
         if not a.hourly:
             raise SystemExit("--train needs --hourly (hourly AQ and weather tables)")
@@ -46,14 +46,14 @@ def main(argv=None, spark=None) -> dict:
         out["model"] = {"n_samples": t.n_samples, "mae": round(t.mae, 3), "r2": round(t.r2, 4)}
     if a.score:
         from airshed.ml import model, scoring
-        from airshed.plans.sinks import write_table
+        from airshed.plans import snapshots
         m = model.load(f"{a.lake}/models/forecast")
-        current = spark.read.parquet(lake.path("serving", "station_current"))
-        curve_path = lake.path("serving", "forecast_curve")
-        out["forecast_rows"] = write_table(scoring.curve(m, current, run_ts), curve_path)
-        curve = spark.read.parquet(curve_path)
-        out["peaks"] = write_table(scoring.peak(curve), lake.path("serving", "forecast_peak"))
-        out["trend"] = write_table(scoring.trend(m, current, run_ts), lake.path("serving", "trend"))
+        current = snapshots.read(spark, lake.path("serving", "station_current"))
+        mart = lambda name: lake.path("serving", name)
+        out["forecast_rows"] = snapshots.publish(scoring.curve(m, current, run_ts), mart("forecast_curve"), run_ts)
+        curve = snapshots.read(spark, mart("forecast_curve"))
+        out["peaks"] = snapshots.publish(scoring.peak(curve), mart("forecast_peak"), run_ts)
+        out["trend"] = snapshots.publish(scoring.trend(m, current, run_ts), mart("trend"), run_ts)
     print(json.dumps(out, default=str))
     return out
 

@@ -26,6 +26,15 @@ def station_series(features: DataFrame, station: str | None = None) -> DataFrame
               .orderBy("station", "timestamp"))
 
 
+def station_detail(current: DataFrame, features: DataFrame, station: str) -> DataFrame:
+    """VW1 / PRJ11: the whole serving record of one station with its series (ascending, the fixed 6 columns)
+    as an array; no row for an unknown station. Both sides are filtered before they are read."""
+    series = (station_series(features, station).groupBy("station").agg(F.array_sort(F.collect_list(
+        F.struct("timestamp", "aqi", "pm25", "pm10", "no2", "o3"))).alias("series")))
+    return point_lookup(current, "station", station).join(series, "station", "left").withColumn(
+        "readings", F.coalesce(F.size("series"), F.lit(0)))
+
+
 def traffic(gold_traffic: DataFrame) -> DataFrame:
     """VW2: corridor list sorted by name."""
     return gold_traffic.orderBy("corridor")

@@ -40,11 +40,11 @@ def read_bronze(spark: SparkSession, root: str, name: str, schema=None, layout:
                 df = df.filter(F.col("ingest_date") >= F.lit(since).cast("date"))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            log.warning("No data in bronze/%s - skipping.", name)
+            log.warning("bronze folder %s has no records; its job does nothing", name)
             return None
         raise
     if df.isEmpty():
-        log.warning("No data in bronze/%s - skipping.", name)
+        log.warning("bronze folder %s has no records; its job does nothing", name)
         return None
     return df
 

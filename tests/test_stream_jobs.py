@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from airshed.plans import jobs, sinks
+from airshed.plans import jobs, sinks, snapshots
 from airshed.streaming import ingest
 
 
@@ -69,9 +69,9 @@ def test_pipeline_jobs_over_paths(spark, tmpdir_path):
     assert status["aqi"].rows["silver_aqi"] == 4 and status["aqi"].rows["gold_stations"] == 1
     assert status["weather"].rows["silver_combined"] == 2
     assert "skipped" in status["traffic"].message
-    feats = spark.read.parquet(lake.path("gold", "ml_features"))
+    feats = snapshots.read(spark, lake.path("gold", "ml_features"))
     assert dict(feats.dtypes)["date"] == "string" and feats.first().date == "2024-01-01"
-    comb = spark.read.parquet(lake.path("silver", "combined")).orderBy("timestamp").collect()
+    comb = snapshots.read(spark, lake.path("silver", "combined")).orderBy("timestamp").collect()
     assert [r.aqi for r in comb] == [20.0, 40.0]
     out = jobs.refresh_marts(spark, lake)
     assert out == {"stations": 1, "corridors": 0}
@@ -130,7 +130,7 @@ def test_stream_to_marts_end_to_end(spark, tmpdir_path):
     assert status["aqi"].rows == {"silver_aqi": 6, "gold_stations": 2, "gold_ml_features": 6}
     assert status["traffic"].rows == {"gold_traffic": 1}
     assert jobs.refresh_marts(spark, lake) == {"stations": 2, "corridors": 1}
-    cur = {r.station: r for r in spark.read.parquet(lake.path("serving", "station_current")).collect()}
+    cur = {r.station: r for r in snapshots.read(spark, lake.path("serving", "station_current")).collect()}
     assert cur["a"].temp_c == 31.0 and cur["b"].temp_c is None and cur["a"].latest_aqi == 90.0
 
 
