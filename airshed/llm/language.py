@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from unicodedata import category
 from zlib import crc32
 
 import numpy as np
@@ -22,7 +23,6 @@ from pyspark.sql import functions as F
 from airshed.llm.common import as_id, as_text
 
 TRAIN_ROWS = 150  # labelled documents per language, the bound of the training sample
-CHAIN = 256  # longest chain: longer lines are read as several
 BYTES_AT_ONCE = 2_000_000
 EPOCHS = 25
 LEAST = 5  # occurrences in the sample that put a word into the lexicon
@@ -143,11 +143,11 @@ class Tagger:
 
 
 def letters(text: str | None) -> bytes:
-    """A text as the bytes of its lower-cased letters, spaces and line ends. Letters are decided
-    character by character only in texts with others than ASCII."""
+    """A text as the bytes of its lower-cased letters, spaces and line ends. Marks that combine with
+    letters count as letters. Characters are looked at singly only in texts with others than ASCII."""
     text = (text or "").lower()
     if not text.isascii():
-        odd = {x for x in set(text) if x > "\x7f" and not x.isalpha()}
+        odd = {x for x in set(text) if x > "\x7f" and not (x.isalpha() or category(x)[0] == "M")}
         if odd:
             text = text.translate(dict.fromkeys(map(ord, odd), " "))
     return text.encode("utf-8", "replace").translate(_TO_WORDS)
@@ -236,12 +236,9 @@ def _add(sums: np.ndarray, parts: list[bytes], first: int, tagger: Tagger) -> No
         return
     ends = np.cumsum([len(x) + 1 for x in parts])
     doc = np.searchsorted(ends, words.start, side="right")
-    # chains: the words of a line, CHAIN at most
+    # chains: the words of a line
     new = np.append(True, words.line[1:] != words.line[:-1])
-    begin = np.flatnonzero(new)
-    place = np.arange(len(new)) - np.repeat(begin, np.diff(np.append(begin, len(new))))
-    begin = np.flatnonzero(place % CHAIN == 0)
-    lengths = np.diff(np.append(begin, len(new)))
+    lengths = np.diff(np.append(np.flatnonzero(new), len(new)))
     post, _, _ = marginals(tagger.emissions(words), tagger.transition, lengths)
     for j in range(post.shape[1]):
         sums[:, j] += np.bincount(doc + first, post[:, j], len(sums))

@@ -3,14 +3,13 @@
 The automaton holds every template, word by word. A text is streamed through it once: at each
 word it gives the length of the longest run of words ending there that also stands in a template
 (the matching statistic) and the state, hence the templates that hold this run. Runs that
-cannot grow and have MIN_MATCH words or more are chained, per template, into the cover of largest
-length whose places rise in both texts; a template covered to MIN_COVER or more is a find.
+cannot grow and have MIN_MATCH words or more are chained, per template, into the best cover whose
+places rise in both texts; a template covered to MIN_COVER or more is a find.
 Plain phrases (PHRASES) label as well, wherever they stand.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -40,10 +39,43 @@ TEMPLATES = (
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International "
               "License."),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
+                 "International License."),
+    ("cc-by-nd", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 "
+                 "International License."),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
+                 "International License."),
+    ("cc-by-nc-sa", "This work is licensed under a Creative Commons "
+                    "Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("cc-by-nc-nd", "This work is licensed under a Creative Commons "
+                    "Attribution-NonCommercial-NoDerivatives 4.0 International License."),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
+    ("cc0", "To the extent possible under law, the author has dedicated all copyright and related "
+            "and neighboring rights to this software to the public domain worldwide."),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the "
+             "terms of the GNU Lesser General Public License as published by the Free Software "
+             "Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("agpl", "This program is free software: you can redistribute it and/or modify it under the "
+             "terms of the GNU Affero General Public License as published by the Free Software "
+             "Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with "
+            "or without fee is hereby granted, provided that the above copyright notice and this "
+            "permission notice appear in all copies."),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no "
+             "event will the authors be held liable for any damages arising from the use of this "
+             "software."),
+    ("bsl", "Permission is hereby granted, free of charge, to any person or organization obtaining "
+            "a copy of the software and accompanying documentation covered by this license (the "
+            "\"Software\") to use, reproduce, display, distribute, execute, and transmit the "
+            "Software"),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone "
+                  "is free to copy, modify, publish, use, compile, sell, or distribute this software"),
+    ("epl", "This program and the accompanying materials are made available under the terms of the "
+            "Eclipse Public License 2.0"),
 )
 MIN_MATCH = 4
 MIN_COVER = 0.6
+GAP = 0.1  # covered words that a word between two runs costs
 
 #: Bytes of a text to the bytes of its words: A-Z lower-cased, letters, digits and non-ASCII kept.
 _TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128
@@ -156,39 +188,62 @@ class Scanner:
         return sorted(found)
 
     def cover(self, words: list[bytes]) -> dict[str, tuple[float, int, int]]:
-        """label -> (covered part of its best template, first word, word after the last)."""
+        """label -> (covered part of its best template, first word, word after the last), of the labels
+        covered to MIN_COVER. A find inside a larger one, with more covered words, is part of it: the
+        notice of one licence is often that of another with words put in."""
+        ids = [self.vocabulary.get(w, -1) for w in words]
         runs: dict[int, list[tuple[int, int, int]]] = {}
-        ids = map(self.vocabulary.get, words)
         for end, length, state in self.automaton.matches(ids, MIN_MATCH):
             for t, at in self.automaton.ends[state].items():
                 runs.setdefault(t, []).append((end - length, at - length, length))
-        best: dict[str, tuple[float, int, int]] = {}
+        best: dict[str, tuple[float, int, int, int]] = {}
         for t, found in runs.items():
-            chain = (self._chain(found, self.lengths[t]))
-            part = chain[0] / self.lengths[t]
-            if part > best.get(self.labels[t], (0.0,))[0]:
-                best[self.labels[t]] = (part, chain[1], chain[2])
-        return best
-
-    @staticmethod
-    def _chain(found: list[tuple[int, int, int]], length: int) -> tuple[int, int, int]:
-        """Largest total length of runs rising in text and template, within one window of twice
-        the template's length: (words, first, after the last). Windows bound the work for texts
-        that repeat a licence many times."""
-        starts = [f[0] for f in found]
-        best = (0, 0, 0)
-        for i, (first, _, _) in enumerate(found):
-            inside = found[i:bisect_left(starts, first + 2 * length)]
-            total = [n for _, _, n in inside]
-            for j, (a, b, n) in enumerate(inside):
-                for x in range(j):
-                    pa, pb, pn = inside[x]
-                    if pa + pn <= a and pb + pn <= b and total[x] + n > total[j]:
-                        total[j] = total[x] + n
-            top = max(range(len(inside)), key=total.__getitem__)
-            if total[top] > best[0]:
-                best = (total[top], first, inside[top][0] + inside[top][2])
-        return best
+            total, first, after = chain(found, self.lengths[t])
+            part = total / self.lengths[t]
+            if part >= MIN_COVER and (part, total) > best.get(self.labels[t], (0.0, 0, 0, 0))[::3]:
+                best[self.labels[t]] = (part, first, after, total)
+        return {x: c[:3] for x, c in best.items() if not any(
+            o[3] > c[3] and o[1] <= c[1] and c[2] <= o[2] for o in best.values())}
+
+
+def chain(found: list[tuple[int, int, int]], length: int) -> tuple[int, int, int]:
+    """The best chain of runs (first word in the text, first in the template, words) that rise in both
+    without overlap: (covered words, first word, word after the last).
+
+    Best is most covered words less GAP for each word left out between runs, so a chain ends where the
+    next run is too far away, and one of a repeated licence is not drawn out over its copies. A Fenwick
+    tree over the template's places holds the best chains that end there: all runs of a text are seen, in
+    time linear in them but for a logarithm of the template's length.
+    """
+    found = sorted(found)
+    by_end = sorted(range(len(found)), key=lambda i: found[i][0] + found[i][2])
+    value, total, first = ([0.0] * len(found), [0] * len(found), [0] * len(found))
+    tree: list[int | None] = [None] * (length + 2)  # run with the best value + GAP * end
+    rank = lambda j: value[j] + GAP * (found[j][0] + found[j][2])
+    seen, best = 0, None
+    for i, (a, b, n) in enumerate(found):
+        while seen < len(by_end):
+            j = by_end[seen]
+            if found[j][0] + found[j][2] > a:
+                break
+            at = found[j][1] + found[j][2] + 1
+            while at < len(tree):
+                if tree[at] is None or rank(j) > rank(tree[at]):
+                    tree[at] = j
+                at += at & -at
+            seen += 1
+        at, before = b + 1, None
+        while at:
+            if tree[at] is not None and (before is None or rank(tree[at]) > rank(before)):
+                before = tree[at]
+            at -= at & -at
+        gain = rank(before) - GAP * a if before is not None else 0.0
+        value[i], total[i], first[i] = n + max(gain, 0.0), n, a
+        if gain > 0:
+            total[i], first[i] = n + total[before], first[before]
+        if best is None or value[i] > value[best]:
+            best = i
+    return (total[best], first[best], found[best][0] + found[best][2]) if found else (0, 0, 0)
 
 
 SCHEMA = ("doc_id string, n_words long, n_base long, first_word long, last_word long, "
@@ -207,7 +262,7 @@ def scan_documents(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES) -> Dat
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 words = split_words(text)
                 base = scanner.base(words)
-                covers = {x: c for x, c in scanner.cover(words).items() if c[0] >= MIN_COVER}
+                covers = scanner.cover(words)
                 own = {label for _, label in base}
                 out.append((doc_id, len(words), len(base), base[0][0] if base else None,
                             base[-1][0] if base else None, ",".join(sorted(own)),

@@ -21,17 +21,27 @@ DEPTHS = (0.5, 0.875)  # parts of the lists after which bounds are compared
 
 
 def _exact_type(x: np.ndarray, q: np.ndarray):
-    """float32 if every partial sum is a whole number below 2**24, else float64."""
-    top = np.abs(x).max(initial=0) * np.abs(q).max(initial=0) * max(1, x.shape[1])
-    return np.float32 if 4 * top < 2**24 else np.float64
+    """float32 if every partial sum is a whole number below 2**24, else float64, and by how much bounds may
+    be off: nothing if the sums are whole numbers below 2**53."""
+    top = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(1, x.shape[1])
+    if 4 * top < 2**24:
+        return np.float32, 0.0
+    return np.float64, 0.0 if 4 * top < 2**53 else top * (x.shape[1] + 8) * 2.0**-50
+
+
+def _whole_scores(x: np.ndarray, q: np.ndarray) -> list[int]:
+    """Inner products of whole doubles of any size, in whole numbers."""
+    own = [int(v) for v in q]
+    return [sum(int(a) * b for a, b in zip(row, own, strict=True)) for row in x]
 
 
 def read_lists(x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: np.ndarray,
                k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each query (row of ``q``, ``own`` its id) the k best rows of ``x`` by inner product, ties to
-    the smaller id, rows with the query's id left out: (query index, id, score)."""
+    the smaller id, rows with the query's id left out: (query index, id, score). Scores are exact; those
+    that a 64-bit integer cannot hold are an error."""
     n, d = x.shape
-    kind = _exact_type(x, q)
+    kind, off = _exact_type(x, q)
     x, q = x.astype(kind), q.astype(kind)
     order = np.argsort(-x, axis=0, kind="stable")
     rank = np.empty((n, d), np.int32)  # place of each vector in each list
@@ -51,7 +61,7 @@ def read_lists(x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: np.ndarray,
         high = seen + (p * lists[t]) @ unread_top + (m * lists[n - 1 - t]) @ unread_bottom
         low[same[active]] = -np.inf
         kth = np.partition(low, n - k, axis=1)[:, n - k]
-        may = (high >= kth[:, None]) & ~same[active]
+        may = (high + 2 * off >= kth[:, None]) & ~same[active]
         few = may.sum(axis=1) <= max(64, 8 * k)
         for i in np.flatnonzero(few):
             left[active[i]] = np.flatnonzero(may[i])
@@ -67,16 +77,21 @@ def read_lists(x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: np.ndarray,
             valid = n - int(same[i].sum())
             if valid > k:
                 kth = np.partition(score, n - k)[n - k]
-                cand = np.flatnonzero(score >= kth)
+                cand = np.flatnonzero((score >= kth - 2 * off) & ~same[i])
             else:
                 cand = np.flatnonzero(~same[i])
             score = score[cand]
         else:
             score = (x[cand] @ q[i]).astype(np.float64)
-        best = np.lexsort((ids[cand], -score))[:k]
+        if off:  # doubles cannot hold such sums
+            whole_score = _whole_scores(x[cand], q[i])
+            best = sorted(range(len(cand)), key=lambda j: (-whole_score[j], ids[cand[j]]))[:k]
+            out_s += [whole_score[j] for j in best]
+        else:
+            best = np.lexsort((ids[cand], -score))[:k]
+            out_s += score[best].astype(np.int64).tolist()
         out_q += [i] * len(best)
         out_id += ids[cand][best].tolist()
-        out_s += score[best].astype(np.int64).tolist()
     return np.array(out_q, np.int64), np.array(out_id, np.int64), np.array(out_s, np.int64)
 
 

@@ -318,3 +318,73 @@ def test_keep_one_goes_by_id_and_text(spark):
     assert kept.columns == docs.columns
     assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(
         [(1, a), (2, b), (BIG + 2, "c d e f g h"), (9, None), (9, None), (None, "")])
+
+
+# ---------------------------------------------------------------- faults of the last round
+def test_scores_above_2_53_are_exact():
+    from airshed.llm import topk
+    big = 2 ** 26 + 1
+    x = np.array([[big, big + i, i % 3] for i in range(60)], np.float64)
+    q = np.array([[big, big, 1], [-big, big - 1, 2]], np.float64)
+    ids = np.arange(60)
+    got = topk.read_lists(x, ids, q, np.array([3, 999]), 5)
+    for i, own in enumerate((3, 999)):
+        want = sorted((-sum(int(a) * int(b) for a, b in zip(r, q[i], strict=True)), j) for j, r in enumerate(x) if j != own)
+        assert [(int(s), int(j)) for j, s in zip(got[1][got[0] == i], got[2][got[0] == i], strict=True)] == [
+            (-s, j) for s, j in want[:5]]
+
+
+def test_licence_chains():
+    from airshed.llm import licenses
+    scan = licenses.Scanner()
+    cover = lambda text: scan.cover(licenses.split_words(text))
+    cc = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    for part, label in (("", "cc-by"), ("-ShareAlike", "cc-by-sa"), ("-NonCommercial-NoDerivatives", "cc-by-nc-nd"),
+                        ("-NonCommercial", "cc-by-nc")):
+        assert set(cover("x y " + cc.format(part) + " z")) == {label}
+    mit = dict(licenses.TEMPLATES[:1])["mit"].split()
+    assert cover(" ".join(mit))["mit"][0] == 1.0
+    # one line of notice per line of something else, three times its length together
+    lines = [" ".join(mit[i:i + 6]) + " " + " ".join(f"q{i}w{j}" for j in range(12)) for i in range(0, len(mit), 6)]
+    part, first, after = cover(" ".join(["pre"] * 400 + lines + ["post"] * 400))["mit"]
+    assert part > 0.9 and first == 400
+    # a repeated licence is found once, over one copy
+    again = cover(" ".join([*mit, *(f"z{i}" for i in range(500)), *mit]))["mit"]
+    assert again[0] == 1.0 and again[2] - again[1] == len(licenses.split_words(" ".join(mit)))
+    for label, text in licenses.TEMPLATES:
+        assert label in cover(f"before {text} after"), label
+
+
+def test_chain_against_brute_force():
+    from airshed.llm import licenses
+    for _ in range(300):
+        length = 30
+        found = [(int(RNG.integers(0, 60)), int(b := RNG.integers(0, 26)), int(RNG.integers(1, 30 - b)))
+                 for _ in range(int(RNG.integers(1, 9)))]
+        best = 0.0
+        for mask in range(1, 1 << len(found)):
+            some = sorted(f for i, f in enumerate(found) if mask >> i & 1)
+            if all(p[0] + p[2] <= x[0] and p[1] + p[2] <= x[1] for p, x in zip(some, some[1:], strict=False)):
+                gaps = sum(x[0] - p[0] - p[2] for p, x in zip(some, some[1:], strict=False))
+                best = max(best, sum(f[2] for f in some) - licenses.GAP * gaps)
+        total, first, after = licenses.chain(found, length)
+        assert total - licenses.GAP * (after - first - total) == pytest.approx(best)
+
+
+def test_marks_are_letters():
+    from airshed.llm import language
+    hindi = "हिन्दी भाषा"
+    assert language.letters(hindi).decode().split() == hindi.split()
+    assert language.letters("a—b ×c").decode().split() == ["a", "b", "c"]
+
+
+def test_long_lines_are_one_chain():
+    """A line of any length has the marginals of one chain."""
+    from airshed.llm import language
+    rows = [(" ".join(RNG.choice(["the", "and", "ing", "of"], 60)), "en") for _ in range(8)] + [
+        (" ".join(RNG.choice(["le", "et", "eau", "de"], 60)), "fr") for _ in range(8)]
+    tagger = language.train(rows)
+    text = " ".join(RNG.choice(["the", "le", "zzz", "of", "de"], 900))
+    words = language.read_words(language.letters(text))
+    post, _, _ = language.marginals(tagger.emissions(words), tagger.transition, np.array([900]))
+    assert np.allclose(language.read([text], tagger)[0], post.sum(axis=0))
