@@ -164,12 +164,19 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def _slices(batches: Iterator[pd.DataFrame], rows: int = 1000) -> Iterator[pd.DataFrame]:
+    """The batches in slices: what a task holds besides the batch is a slice's sets or keys."""
+    for batch in batches:
+        for i in range(0, len(batch), rows):
+            yield batch.iloc[i:i + rows]
+
+
 def _sets(docs: DataFrame, plan: Plan, k: int) -> DataFrame:
     """doc_id, key (hash of the text), n (size of the set), node and check (hashes of the set), keys.
     Keys are given once per set and task."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         done = set()
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for doc_id, key, text in zip(batch["doc_id"], batch["key"], batch["text"], strict=True):
                 x = shingles(text, k)
@@ -188,7 +195,7 @@ def _sets(docs: DataFrame, plan: Plan, k: int) -> DataFrame:
 def _contents(docs: DataFrame, k: int) -> DataFrame:
     """node and x, the set as an array, for each row."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = [shingles(t, k) for t in batch["text"]]
             yield pd.DataFrame({
                 "node": [int(_signed(_mix(x, 8).sum(dtype=np.uint64, keepdims=True))[0])
