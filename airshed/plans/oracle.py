@@ -246,8 +246,8 @@ FROM w ASOF LEFT JOIN u ON w.station = u.station AND w._t >= u._t"""
 
 
 def source_fallback_sql() -> str:
-    p = A.aqi_feed_sql("signup", "primary", 300.0)
-    s = A.aqi_feed_sql("error", "secondary", None)
+    p = A.aqi_feed_sql(["signup"], "primary", 300.0)
+    s = A.aqi_feed_sql(["error", "purchase"], "secondary", None)
     pick = lambda c: f"CASE WHEN p.aqi IS NOT NULL THEN p.{c} ELSE s.{c} END AS {c}"
     return f"""
 WITH p AS ({p}), s AS ({s})

@@ -359,16 +359,16 @@ def aqi_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Primary and secondary AQI feeds polled per (station, hour slot).
 
     Primary = signup events (a reading above 300 comes back without an AQI, i.e. the
-    primary feed failed); secondary = error events.  Each feed keeps its latest reading in
+    primary feed failed); secondary = error and purchase events.  Each feed keeps its latest reading in
     the slot.
     """
     ev = _events(spark, sf_dir)
 
-    def feed(et: str, src: str, null_above: float | None) -> DataFrame:
+    def feed(types: list[str], src: str, null_above: float | None) -> DataFrame:
         aqi = F.col("value")
         if null_above is not None:
             aqi = F.when(aqi <= null_above, aqi)
-        rows = ev.filter(F.col("event_type") == et).select(
+        rows = ev.filter(F.col("event_type").isin(types)).select(
             padded_id("st-", F.col("user_id"), 4).alias("station"),
             iso_utc(F.date_trunc("hour", F.col("ts"))).alias("slot"),
             F.col("ts"), aqi.alias("aqi"), (F.col("value") * _d(0.5)).alias("pm25"))
@@ -378,10 +378,10 @@ def aqi_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
                     .agg(F.max_by("aqi", "ts").alias("aqi"), F.max_by("pm25", "ts").alias("pm25"))
                     .withColumn("source", F.lit(src)))
 
-    return feed("signup", "primary", 300.0), feed("error", "secondary", None)
+    return feed(["signup"], "primary", 300.0), feed(["error", "purchase"], "secondary", None)
 
 
-def aqi_feed_sql(event_type: str, source: str, null_above: float | None) -> str:
+def aqi_feed_sql(event_types: list[str], source: str, null_above: float | None) -> str:
     aqi = "value" if null_above is None else f"CASE WHEN value <= {null_above}::DOUBLE THEN value END"
     return f"""
 SELECT station, slot, aqi, pm25, source FROM (
@@ -389,7 +389,7 @@ SELECT station, slot, aqi, pm25, source FROM (
          strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%S.%f+00:00') AS slot,
          {aqi} AS aqi, value * 0.5::DOUBLE AS pm25, '{source}' AS source,
          row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY ts DESC) AS rn
-  FROM events WHERE event_type = '{event_type}') WHERE rn = 1
+  FROM events WHERE event_type IN ({", ".join(f"'{t}'" for t in event_types)})) WHERE rn = 1
 """
 
 
