@@ -388,3 +388,36 @@ def test_long_lines_are_one_chain():
     words = language.read_words(language.letters(text))
     post, _, _ = language.marginals(tagger.emissions(words), tagger.transition, np.array([900]))
     assert np.allclose(language.read([text], tagger)[0], post.sum(axis=0))
+
+
+# ---------------------------------------------------------------- personal data against Python's expressions
+def luhn(digits):
+    back = [int(d) for d in reversed(digits)]
+    return sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(back)) % 10 == 0
+
+
+def base_spans(text):
+    only = lambda s: re.sub("[^0-9]", "", s)
+    kinds = (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 14 <= len(only(m)) <= 19 and luhn(only(m))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 10 <= len(only(m)) <= 15))
+    out = [(m.start(), i, m.end(), k) for i, (k, e, ok) in enumerate(kinds)
+           for m in re.finditer(e, text or "") if ok(m[0])]
+    return sorted(out)
+
+
+def test_personal_data_against_expressions(spark):
+    """Random strings of the characters that the expressions look at."""
+    from airshed.llm import pii
+    pieces = ["4111 1111 1111 1111", "4111-1111-1111-1111", "+1 (555) 010-9999", "10.0.0.1", "256.1.1.1", "a.b@c-d.e.f",
+              "x@y", "@", ".", "+", "-", " ", "(", ")", "1", "22", "333", "é", "\n", "a", "Z%", "001.002.003.004.5",
+              "5472476151044309", "..", "+44", "12345678901234567890"]
+    texts = ["".join(RNG.choice(pieces, int(RNG.integers(1, 14)))) for _ in range(600)] + [None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r for r in pii.find_personal_data(df).collect()}
+    for i, text in enumerate(texts):
+        want = base_spans(text)
+        assert [got[i][f"n_{k}"] for k in pii.KINDS] == [sum(s[3] == k for s in want) for k in pii.KINDS], text
+        assert got[i]["base_sha256"] == SHA(",".join(f"{k}:{a}:{b}" for a, _, b, k in want)), text
