@@ -109,6 +109,39 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)
 """
 
+def _feistel(source: str, x: str, seed: int = 1) -> str:
+    """``source`` (with a, b and the column ``x``) with y, the number that the network makes of x."""
+    q = f"SELECT *, {x} // b AS l, {x} % b AS r, a AS m, b AS k FROM ({source})"
+    for i in range(sharding.ROUNDS):
+        mix = f"CAST('0x' || md5('{seed * sharding.ROUNDS + i}:' || r)[1:15] AS BIGINT)"
+        q = f"SELECT * REPLACE (r AS l, (l + {mix}) % m AS r, k AS m, m AS k) FROM ({q})"
+    return f"SELECT * EXCLUDE (l, r, m, k), l * b + r AS y FROM ({q})"
+
+
+# A text's UTF-8 bytes, folded into its checksum by a table of the 256 one-byte steps.
+_BYTES = ("flatten([CASE WHEN o < 128 THEN [o] WHEN o < 2048 THEN [192 + (o >> 6), 128 + (o & 63)] "
+          "WHEN o < 65536 THEN [224 + (o >> 12), 128 + ((o >> 6) & 63), 128 + (o & 63)] "
+          "ELSE [240 + (o >> 18), 128 + ((o >> 12) & 63), 128 + ((o >> 6) & 63), 128 + (o & 63)] END "
+          "FOR o IN [CAST(ord(c) AS BIGINT) FOR c IN string_split(text, '')]])")
+_OP3 = f"""
+WITH RECURSIVE steps AS (SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+    lambda x, j: xor(x >> 1, 3988292384 * (x & 1))) AS c FROM range(256) t(i))),
+d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+rows AS MATERIALIZED (SELECT doc_id, strlen(text) + 1 AS size, CASE WHEN text = '' THEN 0 ELSE xor(4294967295,
+    list_reduce(list_prepend(4294967295, {_BYTES}), lambda a, b: xor(a >> 8, tab[1 + (xor(a, b) & 255)]))) END
+    AS text_crc32 FROM d, steps),
+numbered AS (SELECT *, row_number() OVER (ORDER BY CAST('0x' || md5(concat_ws(chr(31),
+      coalesce(CAST(doc_id AS VARCHAR), chr(30)), size, text_crc32))[1:8] AS BIGINT) % 4096,
+      doc_id NULLS FIRST, size, text_crc32) - 1 AS x, count(*) OVER () AS n FROM rows),
+gridded AS MATERIALIZED (SELECT *, CAST(ceil(sqrt(n)) AS BIGINT) AS a,
+    (n + CAST(ceil(sqrt(n)) AS BIGINT) - 1) // CAST(ceil(sqrt(n)) AS BIGINT) AS b FROM numbered),
+walk AS (SELECT x, n, a, b, y FROM ({_feistel('SELECT x, n, a, b FROM gridded', 'x')})
+  UNION ALL SELECT x, n, a, b, y FROM ({_feistel('SELECT x, n, a, b, y AS z FROM walk WHERE y >= n', 'z')}))
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(y % 8 AS INTEGER) AS shard, y // 8 AS slot,
+  CAST(NULL AS INTEGER) AS grown_shard
+FROM gridded JOIN (SELECT x, y FROM walk WHERE y < n) USING (x)
+"""
+
 _OP5 = """
 WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding,
              lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
@@ -237,5 +270,6 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM
 WHERE rank <= 50
 """
 
-ORACLE: dict[str, str] = {"op1_decontamination": _OP1, "op5_topk": _OP5, "op11_periodic_runs": _OP11,
-                          "op12_secrets": _OP12, "op13_ranked_search": _OP13}
+ORACLE: dict[str, str] = {"op1_decontamination": _OP1, "op3_sharding": _OP3, "op5_topk": _OP5,
+                          "op11_periodic_runs": _OP11, "op12_secrets": _OP12,
+                          "op13_ranked_search": _OP13}
