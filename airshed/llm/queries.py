@@ -142,6 +142,29 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(y % 8 AS INTEGER) AS shard,
 FROM gridded JOIN (SELECT x, y FROM walk WHERE y < n) USING (x)
 """
 
+# Rows with equal sets are one class; classes that share enough shingles link, and links are followed until
+# nothing new is reached.
+_OP9 = r"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(
+    coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS MATERIALIZED (SELECT r, list_sort(list_distinct(list(s))) AS x FROM (
+    SELECT r, unnest(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s
+    FROM d WHERE len(w) > 0) GROUP BY r),
+classes AS MATERIALIZED (SELECT min(r) AS c, x, len(x) AS n FROM sets GROUP BY x),
+held AS MATERIALIZED (SELECT c, n, unnest(x) AS s FROM classes),
+links AS MATERIALIZED (SELECT a.c AS p, b.c AS q FROM held a JOIN held b
+    ON a.s = b.s AND a.c <> b.c AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n
+  GROUP BY a.c, a.n, b.c, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach AS (SELECT c AS p, c AS q FROM classes UNION SELECT reach.p, links.q FROM reach JOIN links ON reach.q = links.p),
+least AS (SELECT c, min(doc_id) AS doc_id FROM classes JOIN sets USING (x) JOIN d USING (r) GROUP BY c),
+component AS (SELECT p AS c, min(doc_id) AS component_id FROM reach JOIN least ON reach.q = least.c GROUP BY p)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
+  CASE WHEN n IS NULL THEN d.doc_id ELSE component_id END AS component_id
+FROM d LEFT JOIN sets USING (r) LEFT JOIN classes USING (x) LEFT JOIN component USING (c)
+"""
+
 _OP5 = """
 WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding,
              lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
@@ -271,5 +294,5 @@ WHERE rank <= 50
 """
 
 ORACLE: dict[str, str] = {"op1_decontamination": _OP1, "op3_sharding": _OP3, "op5_topk": _OP5,
-                          "op11_periodic_runs": _OP11, "op12_secrets": _OP12,
+                          "op9_jaccard": _OP9, "op11_periodic_runs": _OP11, "op12_secrets": _OP12,
                           "op13_ranked_search": _OP13}

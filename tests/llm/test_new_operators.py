@@ -92,7 +92,7 @@ def oracle(folder, name):
     return Counter(tuple(sorted(zip(names, r, strict=True))) for r in cursor.fetchall())
 
 
-@pytest.mark.parametrize("name", ["op3_sharding", "op11_periodic_runs", "op12_secrets", "op13_ranked_search"])
+@pytest.mark.parametrize("name", ["op3_sharding", "op9_jaccard", "op11_periodic_runs", "op12_secrets", "op13_ranked_search"])
 def test_queries_equal_their_sql(spark, folder, name):
     got = Counter(tuple(sorted(r.asDict().items())) for r in queries.QUERIES[name](spark, folder).collect())
     assert got == oracle(folder, name)
