@@ -6,9 +6,14 @@ and link text of its blocks are summed and divided by their number. These ratios
 neighbouring blocks, fused into one score per path, and paths above a threshold are seeds. The
 article is what main and article elements hold, all of them that have seeds, if that is most of the
 seeds' text. Else it reaches from the first seed to the last, and beyond them in the innermost
-element around all seeds as far as the text is not mostly links. Its blocks are returned except those
-in elements of other kinds (nav, form, ...) or named as other things (menus, adverts, comments, ...). A name counts only for elements that do not hold most of the seeds' text: wrappers are
-named after their parts.
+element around all seeds. Of its blocks those are returned whose path has a ratio above half its mean text
+length: link lists fall below, as link text counts nothing, unless their punctuation makes up for it.
+Headings stay with the article. Elements of other kinds (nav, ...) are left out, and so are forms and
+elements named as other things (menus, adverts, comments, ...), but for those that hold most of the
+seeds' text: wrappers are named after their parts, and some sites put a page into one form.
+
+A page is read in time linear in its length, however deep its elements are nested. Equal pages give equal
+texts; every row is a page of its own, whatever its id. Null, empty and text-free pages have an empty text.
 """
 
 from __future__ import annotations
@@ -17,7 +22,7 @@ import html as entities
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
+from dataclasses import dataclass, replace
 from math import sqrt
 
 import pandas as pd
@@ -35,8 +40,9 @@ _BLOCK = frozenset(
     "audio center hgroup search legend".split())
 _CLOSES_P = _BLOCK - frozenset("html head body td th tr tbody thead tfoot caption option".split())
 _NOT_TAGS = frozenset(
-    "head nav footer aside form script style template noscript select option button svg object "
-    "menu dialog iframe canvas audio video fieldset search textarea legend".split())
+    "head nav footer aside script style template noscript select option button svg object "
+    "menu dialog iframe canvas audio video search textarea legend".split())
+_FORMS = frozenset("form fieldset".split())
 _NOT_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner "
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar aside widget widgets footer header "
@@ -52,21 +58,69 @@ _SAME = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("d
 _PARTS = _HEADINGS | frozenset("p ul ol li dl dt dd menu table caption thead tbody tfoot tr td th "
                                "blockquote pre figure figcaption address details summary".split())
 MOST = 0.6  # part of the seeds' text that main and article elements must hold to be the article
+PROSE = 12  # spaces in a paragraph that a form must hold to be a page's body
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)"
-    r"(?P<attrs>(?:[^>\"']*+(?:\"[^\"]*+\"|'[^']*+'))*+[^>\"']*+|[^>]*+)>"
-    r"|<[!?/][^>]*+>|<[a-zA-Z/!?][^<>]*+\Z", re.S | re.I)
+    r"(?P<attrs>(?:[^<>\"']*+(?:\"[^\"]*+\"|'[^']*+'))*+[^<>\"']*+|[^>]*+)>"
+    r"|<[!?/][^>]*+>", re.S | re.I)
+_CUT = re.compile(r"<!--.*|<[a-zA-Z/!?][^<]*\Z", re.S)  # a comment or a tag that the page's end cuts off
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PUNCT = ".,;:!?"
 
 
+@dataclass(frozen=True, eq=False, slots=True)
+class _Path:
+    """Tags and names from the root to an element; equal paths are one object, linked to the one above."""
+    above: _Path | None
+    tag: str
+    depth: int
+    in_article: bool  # below or at a main or article
+    not_article: bool  # a tag on the path says that it is not the article
+    header: bool  # in the header of an article, of which only headings are kept
+    named: _Path | None  # innermost element on the path whose kind or name says that it is not the article
+    kept_by: _Path | None  # ``named`` of what is around the outermost main or article
+    form: bool
+
+    @property
+    def other(self) -> bool:
+        return self.not_article or self.header and self.tag not in _HEADINGS
+
+
+_ROOT = _Path(None, "", 0, False, False, False, None, None, False)
+
+
+def _below(above: _Path, tag: str, names: tuple[str, ...]) -> _Path:
+    path = _Path(above, tag, above.depth + 1, above.in_article or tag in ("article", "main"),
+                 above.not_article or tag in _NOT_TAGS or tag == "header" and not above.in_article,
+                 above.header or tag == "header" and above.in_article, above.named,
+                 above.kept_by if above.in_article else above.named, tag in _FORMS)
+    # Main and article are the article whatever their names, but for an article inside another.
+    out = path.form or any(n in _NOT_NAMES for n in names) and tag not in ("html", "body", "main") and (
+        tag != "article" or above.in_article)
+    return replace(path, named=path) if out else path
+
+
+class _Element:
+    __slots__ = ("above", "tag", "path", "number", "last", "article")
+
+    def __init__(self, above, tag, path, number):
+        self.above, self.tag, self.path, self.number, self.last = above, tag, path, number, number
+        self.article = above.article if above and above.article else None  # outermost main or article
+        if self.article is None and tag in ("article", "main"):
+            self.article = self
+
+    def holds(self, other: _Element | None) -> bool:
+        return other is not None and self.number <= other.number <= self.last
+
+
 class _Block:
-    __slots__ = ("path", "text", "link", "elements")
+    __slots__ = ("element", "path", "text", "link")
 
-    def __init__(self, path, elements):
-        self.path, self.elements, self.text, self.link = path, elements, [], 0
+    def __init__(self, element):
+        self.element, self.path = element, element.path if element else _ROOT
+        self.text, self.link = [], 0
 
 
 def _names(attrs: str) -> tuple[str, ...]:
@@ -79,8 +133,13 @@ def _names(attrs: str) -> tuple[str, ...]:
 def blocks(page: str) -> list[_Block]:
     """The blocks of a page in order. Unclosed, misnested and cut-off tags are read as browsers do:
     a block element ends an open p, li ends li, an end tag closes all that is open inside."""
+    end = page.rfind(">") + 1
+    if "<" in page[end:]:  # what follows the last tag holds none, and need not be searched for one
+        page = page[:end] + _CUT.sub("", page[end:]).replace("<", "&lt;")
     found: list[_Block] = []
-    stack: list[tuple] = []  # tag, path to it, numbers of the elements on that path
+    stack: list[_Element] = []
+    open_at: dict[str, list[int]] = defaultdict(list)  # tag -> its places in the stack
+    paths: dict = {}
     count = links = at = 0
     block = None
 
@@ -91,12 +150,18 @@ def blocks(page: str) -> list[_Block]:
         if block is None:
             if raw.isspace():
                 return
-            block = _Block(stack[-1][1], stack[-1][2]) if stack else _Block((), ())
+            block = _Block(stack[-1] if stack else None)
             found.append(block)
         block.text.append(raw)
         if links:
             block.link += len(raw)
 
+    def close(place: int) -> None:
+        while len(stack) > place:
+            done = stack.pop()
+            open_at[done.tag].pop()
+            done.last = count
+
     for m in _TOKEN.finditer(page):
         add(page[at:m.start()])
         at = m.end()
@@ -107,63 +172,45 @@ def blocks(page: str) -> list[_Block]:
             add(" ")
         if tag == "a":
             links = max(0, links + (-1 if m["end"] else 1))
-        if tag not in _BLOCK and tag != "hr":
-            continue
         if tag == "hr":
             block = None
             continue
-        open_tags = [s[0] for s in stack]
+        if tag not in _BLOCK:
+            continue
         if m["end"]:
-            if tag in open_tags:
-                cut = len(open_tags) - 1 - open_tags[::-1].index(tag)
-                del stack[cut:]
+            if open_at[tag]:
+                close(open_at[tag][-1])
                 block = None
             continue
         block = None
         links = 0
-        if tag in _CLOSES_P and "p" in open_tags:
-            del stack[len(open_tags) - 1 - open_tags[::-1].index("p"):]
+        if tag in _CLOSES_P and open_at["p"]:
+            close(open_at["p"][-1])
         elif tag in _SAME:
             closes, stops = _SAME[tag]
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in stops:
-                    break
-                if stack[i][0] in closes.split():
-                    del stack[i:]
-                    break
-        if tag == "body" and "head" in open_tags:
-            del stack[[s[0] for s in stack].index("head"):]
-        if not m["attrs"].endswith("/") or tag not in _VOID:
-            count += 1
-            _, path, numbers = stack[-1] if stack else (tag, (), ())
-            stack.append((tag, (*path, (tag, _names(m["attrs"]))), (*numbers, count)))
+            stop = max((open_at[x][-1] for x in stops if open_at[x]), default=-1)
+            inner = [open_at[x][-1] for x in closes.split() if open_at[x] and open_at[x][-1] > stop]
+            if inner:
+                close(min(inner))
+        if tag == "body" and open_at["head"]:
+            close(open_at["head"][0])
+        count += 1
+        above = stack[-1] if stack else None
+        key = (above.path if above else _ROOT, tag, _names(m["attrs"]))
+        if key not in paths:
+            paths[key] = _below(*key)
+        open_at[tag].append(len(stack))
+        stack.append(_Element(above, tag, paths[key], count))
     add(page[at:])
+    close(0)
     return found
 
 
-@lru_cache(4096)
-def _other(path: tuple) -> bool:
-    """Do the tags of the path say that it is not the article?"""
-    in_article = False
-    for tag, _ in path:
-        if tag in ("article", "main"):
-            in_article = True
-        if tag in _NOT_TAGS or tag == "header" and not (in_article and path[-1][0] in _HEADINGS):
-            return True
-    return False
-
-
-@lru_cache(4096)
-def _named(path: tuple) -> tuple[tuple, ...]:
-    """The paths of the elements on the path whose names say that they are not the article. Main and
-    article are the article whatever their names, but for an article inside another."""
-    found, in_article = [], False
-    for i, (tag, names) in enumerate(path):
-        if (any(n in _NOT_NAMES for n in names) and tag not in ("html", "body", "main")
-                and (tag != "article" or in_article)):
-            found.append(path[:i + 1])
-        in_article = in_article or tag == "article"
-    return tuple(found)
+def _chain(path: _Path | None) -> Iterator[_Path]:
+    """The elements of the path, from the innermost, whose kind or name says that they are not the article."""
+    while path is not None:
+        yield path
+        path = path.above.named
 
 
 def _deviation(x: list[float]) -> float:
@@ -171,8 +218,9 @@ def _deviation(x: list[float]) -> float:
     return sqrt(sum((v - mean) ** 2 for v in x) / len(x))
 
 
-def _seeds(found: list[_Block], texts: list[str]) -> list[float]:
-    """Smoothed and fused ratio of each block's path, 0 where it is below the threshold."""
+def _scores(found: list[_Block], texts: list[str]) -> tuple[list[float], list[bool]]:
+    """Smoothed and fused ratio of each block's path, 0 where it is below the threshold; and whether the
+    path's own ratio is above half its mean text length."""
     total: dict = defaultdict(lambda: [0, 0, 0, 0])
     for b, t in zip(found, texts, strict=True):
         s = total[b.path]
@@ -180,102 +228,117 @@ def _seeds(found: list[_Block], texts: list[str]) -> list[float]:
         s[1] += sum(map(t.count, _PUNCT))
         s[2] += min(b.link, len(t))
         s[3] += 1
-    ratio = []
-    for b in found:
-        chars, punct, link, n = total[b.path]
-        ratio.append((chars / n) * (1 + punct / n) * (1 - link / max(1, chars)))
-    side = [0.0, *ratio, 0.0]
+    ratios = {path: (chars / n) * (1 + punct / n) * (1 - link / max(1, chars))
+              for path, (chars, punct, link, n) in total.items()}
+    side = [0.0, *(ratios[b.path] for b in found), 0.0]
     smooth = [(side[i - 1] + 2 * side[i] + side[i + 1]) / 4 for i in range(1, len(side) - 1)]
     by_path: dict = defaultdict(list)
     for b, x in zip(found, smooth, strict=True):
         by_path[b.path].append(x)
     score = {p: sum(x) / len(x) for p, x in by_path.items()}
     least = min(_deviation(smooth), max(score.values()) / 2)
-    return [score[b.path] if score[b.path] >= least else 0.0 for b in found]
+    return ([score[b.path] if score[b.path] >= least else 0.0 for b in found],
+            [ratios[b.path] * total[b.path][3] * 2 >= total[b.path][0] for b in found])
 
 
-def _in_article(path: tuple, kept: set[tuple]) -> bool:
-    """Is the path in a main or article that is in no ``_named`` element but those of ``kept``?"""
-    inside = next((i for i, (tag, _) in enumerate(path) if tag in ("article", "main")), None)
-    return inside is not None and kept.issuperset(e for e in _named(path) if len(e) <= inside)
-
+def _misnamed(found: list[_Block], texts: list[str]) -> set[_Path]:
+    """The elements of other kinds or names that are not left out: those that hold more of the seeds' text
+    than there is outside all elements to be left out, such as a wrapper named has-sidebar. A form must
+    also hold an article or a paragraph of some words. Once a main or article is known to stay, only the
+    text in such elements counts."""
+    named: dict[_Path, bool] = {}  # in order of the page -> may it stay
+    for b, t in zip(found, texts, strict=True):
+        prose = b.path.in_article or b.path.tag == "p" and t.count(" ") >= PROSE
+        for e in _chain(b.path.named):
+            if e in named and (named[e] or not prose):
+                break
+            named[e] = prose or not e.form
+    deepest = sorted(named, key=lambda e: -e.depth)
 
-def _misnamed(found: list[_Block], texts: list[str]) -> set[tuple]:
-    """The paths of ``_named`` elements that are not left out: those that hold more of the seeds' text
-    than there is outside all elements to be left out, such as a wrapper named has-sidebar. Once
-    a main or article is known to stay, only the text in such elements counts."""
-    def seeds(scope: list[bool]) -> dict[tuple, int]:
+    def seeds(scope: list[bool]) -> dict[_Path, int]:
         some = [(b, t) for b, t, x in zip(found, texts, scope, strict=True) if x]
         total: dict = defaultdict(int)
-        score = _seeds([b for b, _ in some], [t for _, t in some])
+        score, _ = _scores([b for b, _ in some], [t for _, t in some])
         for (b, t), s in zip(some, score, strict=True):
             total[b.path] += len(t) if s else 0
         return total
 
-    kept: set[tuple] = set()
+    wrappers = {b.path.kept_by for b in found if b.path.in_article}
+    kept: set[_Path] = set()
     before = None
     while True:
-        scope = [_in_article(b.path, kept) for b in found]
+        stays: dict[_Path | None, bool] = {None: True}  # are the element and all around it kept
+        for e in reversed(deepest):
+            stays[e] = e in kept and stays[e.above.named]
+        scope = [b.path.in_article and stays[b.path.kept_by] for b in found]
         scope = scope if any(scope) else [True] * len(found)
         if scope != before:
             total, before = seeds(scope), scope
-        held: dict = defaultdict(int)
-        outside = 0
+        own: dict[_Path | None, int] = defaultdict(int)
         for path, n in total.items():
-            left = [e for e in _named(path) if e not in kept]
-            outside += 0 if left else n
-            for element in left:
-                held[element] += n
-        largest = max(held, key=lambda e: (held[e], -len(e)), default=None)
-        if largest is None or held[largest] <= outside:
+            own[path.named] += n
+        outside = sum(n for e, n in own.items() if stays[e])
+        held = defaultdict(int, own)
+        for e in deepest:
+            held[e.above.named] += held[e]
+        size = len(kept)
+        for e in sorted((e for e in named if named[e] and e not in kept), key=lambda e: (-held[e], e.depth)):
+            if held[e] <= outside:
+                break
+            kept.add(e)
+            stays[e] = stays[e.above.named]
+            outside += own[e] if stays[e] else 0
+            if stays[e] and e in wrappers:
+                break  # an article is now known to stay
+        if len(kept) == size:
             return kept
-        kept.add(largest)
 
 
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks joined by an empty line; empty if there is none."""
-    found = [b for b in blocks(page or "") if not _other(b.path)]
+    found = [b for b in blocks(page or "") if not b.path.other]
     texts = [" ".join(entities.unescape("".join(b.text)).split()) for b in found]
     pairs = [(b, t) for b, t in zip(found, texts, strict=True) if t]
     if not pairs:
         return ""
     found, texts = [b for b, _ in pairs], [t for _, t in pairs]
-    if any(_named(b.path) for b in found):
-        misnamed = _misnamed(found, texts)
-        pairs = [(b, t) for b, t in pairs if misnamed.issuperset(_named(b.path))]
+    if any(b.path.named for b in found):
+        kept = _misnamed(found, texts)
+        left: dict[_Path | None, bool] = {None: True}
+        for b in found:
+            new = []
+            for e in _chain(b.path.named):
+                if e in left:
+                    break
+                new.append(e)
+            for e in reversed(new):
+                left[e] = e in kept and left[e.above.named]
+        pairs = [(b, t) for b, t in pairs if left[b.path.named]]
         if not pairs:
             return ""
         found, texts = [b for b, _ in pairs], [t for _, t in pairs]
-    score = _seeds(found, texts)
+    score, high = _scores(found, texts)
     seeds = [i for i, x in enumerate(score) if x] or list(range(len(found)))
-    parts = {}  # outermost main or article of the seeds in one: number of the element
-    for i in seeds:
-        for e, (tag, _) in zip(found[i].elements, found[i].path, strict=True):
-            if tag in ("article", "main"):
-                parts[i] = e
-                break
+    # The outermost main or article of each seed in one.
+    parts = {i: found[i].element.article for i in seeds if found[i].path.in_article}
     if sum(len(texts[i]) for i in parts) >= MOST * sum(len(texts[i]) for i in seeds):
         roots = set(parts.values())
-        inside = [i for i, b in enumerate(found) if not roots.isdisjoint(b.elements)]
-        return "\n\n".join(texts[inside[0]:inside[-1] + 1])
-    first, last = seeds[0], seeds[-1]
-    root = _common(found[first], found[last])
-    kept = [t for i, (b, t) in enumerate(zip(found, texts, strict=True))
-            if first <= i <= last or (root is None or root in b.elements)
-            and (b.link * 2 <= len(t) or b.path[-1:] and b.path[-1][0] in _HEADINGS)]
-    return "\n\n".join(kept)
+        inside = [i for i, b in enumerate(found) if b.path.in_article and b.element.article in roots]
+        reach = range(inside[0], inside[-1] + 1)
+    else:
+        first, last = seeds[0], seeds[-1]
+        root = _common(found[first].element, found[last].element)
+        reach = [i for i, b in enumerate(found) if first <= i <= last or (root is None or root.holds(b.element))
+                 and (b.link * 2 <= len(texts[i]) or b.path.tag in _HEADINGS)]
+    return "\n\n".join(texts[i] for i in reach if high[i] or found[i].path.tag in _HEADINGS)
 
 
-def _common(first: _Block, last: _Block) -> int | None:
+def _common(first: _Element | None, last: _Element | None) -> _Element | None:
     """The innermost element around the first and the last seed, and so around all of them, that is
     not itself a part of a text, such as a quote or a list."""
-    root = None
-    for e, x, (tag, _) in zip(first.elements, last.elements, first.path, strict=False):
-        if e != x:
-            break
-        if tag not in _PARTS:
-            root = e
-    return root
+    while first is not None and (first.tag in _PARTS or not first.holds(last)):
+        first = first.above
+    return first
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
