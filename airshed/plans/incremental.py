@@ -23,6 +23,8 @@ from airshed.operators import clean, marts
 from airshed.plans import snapshots
 from airshed.plans.jobs import JobResult, Lake
 from airshed.sources import schemas
+from airshed.streaming import compaction
+from airshed.streaming.landing import finished_batches
 
 DATES = "date string, batch long"
 RUNS = "upto long, run_ts string"
@@ -53,21 +55,15 @@ def _parquet(spark: SparkSession, path: str, schema: str | T.StructType) -> Data
         return spark.createDataFrame([], schema)
 
 
-def finished_batches(spark: SparkSession, root: str) -> DataFrame:
-    """batch of every landed batch whose sinks are all written."""
-    try:
-        return spark.read.schema("batch long").json(f"{root}/done").select("batch")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], "batch long")
-
-
 def bronze(spark: SparkSession, root: str, feed: str) -> DataFrame:
     """The feed's records with their batch and event date (NULL for an unreadable time)."""
-    schema = T.StructType([*schemas.BY_DIR[feed].fields, T.StructField("dir", T.StringType()),
-                           T.StructField("batch", T.LongType())])
-    df = spark.read.schema(schema).json(f"{root}/bronze").where(F.col("dir") == feed)
+    if compaction.commits(spark, root).isEmpty():
+        schema = T.StructType([*schemas.BY_DIR[feed].fields, T.StructField("dir", T.StringType()),
+                               T.StructField("batch", T.LongType())])
+        df = spark.read.schema(schema).json(f"{root}/bronze").where(F.col("dir") == feed)
+    else:
+        df = compaction.records(spark, root, feed, schemas.BY_DIR[feed]).drop("ingest_date").withColumn(
+            "dir", F.lit(feed))
     return df.withColumn("_date", F.date_format(parse_ts(F.col("timestamp")), "yyyy-MM-dd"))
 
 

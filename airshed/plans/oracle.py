@@ -444,6 +444,14 @@ SELECT 'openmeteo', count(*), count(DISTINCT station) FROM ({A.OPENMETEO_SQL})""
     }
 
 
+def landing_compacted_sql() -> str:
+    feeds = [("aqi", "aqi-raw", A.AQI_RAW_SQL), ("weather", "weather-raw", A.WEATHER_RAW_SQL),
+             ("weather", "wind-derived", A.WEATHER_RAW_SQL), ("uv", "uv-raw", A.UV_RAW_SQL)]
+    return " UNION ALL ".join(
+        f"""SELECT '{d}' AS dir, '{f}' AS feed, count(*) AS rows, least(count(DISTINCT station), 4) AS batches,
+        count(DISTINCT station) AS stations FROM ({sql}) HAVING count(*) > 0""" for d, f, sql in feeds)
+
+
 def landing_sinks_sql() -> str:
     feeds = [("aqi", "aqi-raw", A.AQI_RAW_SQL, "station"), ("weather", "weather-raw", A.WEATHER_RAW_SQL, "station"),
              ("weather", "wind-derived", A.WEATHER_RAW_SQL, "station"), ("uv", "uv-raw", A.UV_RAW_SQL, "station"),
@@ -510,6 +518,7 @@ def payload_oracles() -> dict[str, str]:
             CASE WHEN dayofweek NOT BETWEEN 0 AND 6 THEN 'dayofweek' END) AS rejected
             FROM ({A.REQUESTS_SQL}) WHERE hour NOT BETWEEN 0 AND 23 OR dayofweek NOT BETWEEN 0 AND 6""",
         "landing_sinks": landing_sinks_sql(),
+        "landing_compacted": landing_compacted_sql(),
     }
 
 

@@ -434,6 +434,25 @@ def _envelopes(spark: SparkSession, sf: str, without=()) -> DataFrame:
     return env
 
 
+def landing_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """STR3 + SNK3: three feeds landed in four batches, compacted after three of them and again after the
+    fourth, what is covered deleted. Rows, batches and stations by folder and feed, as a reader sees them."""
+    from airshed.session import scratch_path
+    from airshed.streaming import compaction, landing
+
+    root = scratch_path(spark, f"compacted-{uuid.uuid4().hex}")
+    env = _envelopes(spark, sf, [t for t, *_ in STREAM_FEEDS if t not in ("aqi-raw", "weather-raw", "uv-raw")])
+    part = F.pmod(F.crc32(F.get_json_object("value", "$.station")), F.lit(4))
+    for i in range(4):
+        landing.write_batch(env.where(part == i), i, root)
+        if i > 1:
+            compaction.compact(spark, root, min_files=2)
+            compaction.vacuum(spark, root)
+    return compaction.read_landed(spark, root).groupBy("dir", "feed").agg(
+        F.count("*").alias("rows"), F.countDistinct("batch").alias("batches"),
+        F.countDistinct(F.get_json_object("value", "$.station")).alias("stations"))
+
+
 def landing_sinks(spark: SparkSession, sf: str) -> DataFrame:
     """STR1-STR7 + PRJ10: records and junk of six topics are published to a topic log, read from it by the
     admission-controlled source and landed in several sinks; wind records are derived from the weather
@@ -632,6 +651,7 @@ QUERIES = {
     "forecast_time_grid": forecast_time_grid,
     "ingest_stream": ingest_stream,
     "landing_sinks": landing_sinks,
+    "landing_compacted": landing_compacted,
     "job_rows": job_rows,
     "bronze_audit": bronze_audit,
     "incremental_stations": incremental_stations,

@@ -3,7 +3,8 @@
 Bronze layout written by the landing stream: ``<root>/dir=<name>/ingest_date=<yyyy-mm-dd>/``
 with JSON lines.  ``dir`` and ``ingest_date`` are partition columns, so a date bound prunes
 directories before any file is listed.  The plain upstream layout ``<root>/<name>/<date>/*``
-is read with ``layout="plain"``.
+is read with ``layout="plain"``, and the root of ``streaming.landing``, compacted or not, with
+``layout="landed"``.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airshed.sources import schemas
+from airshed.streaming import compaction
 
 log = logging.getLogger("airshed.sources")
 
@@ -30,6 +32,10 @@ def read_bronze(spark: SparkSession, root: str, name: str, schema=None, layout:
     try:
         if layout == "plain":
             df = reader.json(f"{root}/{name}/*/*")
+        elif layout == "landed":
+            df = compaction.records(spark, root, name, schema).drop("batch").withColumn("dir", F.lit(name))
+            if since is not None:
+                df = df.filter(F.col("ingest_date") >= F.lit(since).cast("date"))
         else:
             full = T.StructType([*schema.fields, T.StructField("dir", T.StringType()),
                                  T.StructField("ingest_date", T.DateType())])
