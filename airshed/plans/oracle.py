@@ -22,7 +22,7 @@ def rnd(expr: str, digits: int) -> str:
 
 
 def exact_avg(expr: str) -> str:
-    d = f"TRY_CAST({expr} AS DECIMAL(18,6))"
+    d = f"CAST({expr} AS DECIMAL(38,6))"
     return f"(CAST(SUM({d}) AS DOUBLE) / CAST(COUNT({d}) AS DOUBLE))"
 
 

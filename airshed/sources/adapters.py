@@ -293,8 +293,8 @@ def wx_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _exact_avg_sql(expr: str) -> str:
-    return (f"CAST(SUM(TRY_CAST({expr} AS DECIMAL(18,6))) AS DOUBLE)"
-            f" / CAST(COUNT(TRY_CAST({expr} AS DECIMAL(18,6))) AS DOUBLE)")
+    return (f"CAST(SUM(CAST({expr} AS DECIMAL(38,6))) AS DOUBLE)"
+            f" / CAST(COUNT(CAST({expr} AS DECIMAL(38,6))) AS DOUBLE)")
 
 
 _EV_K = ("(SELECT *, CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS DOUBLE)"
