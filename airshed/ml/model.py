@@ -18,6 +18,9 @@ from airshed.session import checkpoint_dir
 # MLlib caps tree depth at 30; the upstream forest grows unlimited depth, bounded in
 # practice by the minimum leaf size.
 MAX_DEPTH = 30
+# Statistics of the nodes that one pass over the data splits. Each task of the pass holds as much, so an
+# executor holds this times its cores; the splits found do not depend on it.
+NODE_STATS_MB = 256
 
 
 def build_pipeline(num_trees: int = K.RF_TREES, max_depth: int = MAX_DEPTH,
@@ -31,8 +34,8 @@ def build_pipeline(num_trees: int = K.RF_TREES, max_depth: int = MAX_DEPTH,
                                subsamplingRate=K.RF_SUBSAMPLE, featureSubsetStrategy="all",
                                seed=seed,
                                # deep trees: keep node ids cached (checkpointed every 10
-                               # levels) and split more nodes per pass over the data
-                               cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1024)
+                               # levels); every running task holds node statistics of this size
+                               cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=NODE_STATS_MB)
     return Pipeline(stages=[assembler, rf])
 
 

@@ -24,6 +24,19 @@ def grid(spark, stations=3, hours=48):
     return horizon_samples(hourly_training_rows(aq, wx))
 
 
+def test_node_statistics_fit_a_small_executor_and_do_not_change_the_forest(spark):
+    rf = model.build_pipeline().getStages()[-1]
+    assert 4 * rf.getMaxMemoryInMB() <= 1024  # four tasks of one executor
+    rows = model._as_features(grid(spark, 2, 30)).cache()
+
+    def forest(mb):
+        stages = model.build_pipeline(3, 6).getStages()
+        return model.Pipeline(stages=[stages[0], stages[1].copy({stages[1].maxMemoryInMB: mb})]).fit(rows).stages[-1]
+
+    one, other = (forest(mb).toDebugString.split("\n", 1)[1] for mb in (1, 1024))
+    assert one == other
+
+
 def test_gate_split_train_save_load_score(spark, tmpdir_path):
     with pytest.raises(ValueError):
         dataset.check_size(grid(spark, 1, 4))
