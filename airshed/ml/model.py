@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.functions import constants as K
+from airshed.ml import forest
 from airshed.ml.dataset import SAMPLE_KEY, checked, split
 from airshed.session import checkpoint_dir
 
@@ -25,7 +26,9 @@ NODE_STATS_MB = 256
 
 def build_pipeline(num_trees: int = K.RF_TREES, max_depth: int = MAX_DEPTH,
                    seed: int = K.RF_SEED) -> Pipeline:
-    """ML5: features in the fixed order -> RF(140 trees, min leaf 5, 50 % rows, all features)."""
+    """ML5 as an MLlib pipeline: features in the fixed order -> RF(140 trees, min leaf 5, 50 % rows, all
+    features). ``train`` grows the same kind of forest with ``airshed.ml.forest``, as MLlib keeps all nodes on the
+    driver and broadcasts them to every executor; the tests hold one against the other."""
     assembler = VectorAssembler(inputCols=K.FEATURE_ORDER, outputCol="features",
                                 handleInvalid="error")
     rf = RandomForestRegressor(featuresCol="features", labelCol="aqi_target",
@@ -45,7 +48,7 @@ def _as_features(df: DataFrame) -> DataFrame:
 
 @dataclass
 class Trained:
-    model: PipelineModel
+    model: forest.Forest
     n_samples: int
     n_stations: int
     mae: float
@@ -66,8 +69,7 @@ def evaluate(predictions: DataFrame, label: str = "aqi_target") -> tuple[float,
 
 def train(samples: DataFrame, num_trees: int = K.RF_TREES, max_depth: int = MAX_DEPTH,
           split_keys=SAMPLE_KEY) -> Trained:
-    """ML3-ML7: gate, split, fit, evaluate on the hold-out. Besides the fit, two passes over the samples:
-    one counts them, one scores the hold-out."""
+    """ML3-ML7: gate, split, fit, evaluate on the hold-out."""
     checkpoint_dir(samples.sparkSession)
     # The sample join feeds the size gate, the fit and the evaluation: it is materialised once in the
     # shared checkpoint folder.
@@ -77,14 +79,15 @@ def train(samples: DataFrame, num_trees: int = K.RF_TREES, max_depth: int = MAX_
                                            F.max(hour)).first()
     checked(n)
     train_df, test_df = split(samples, keys=split_keys)
-    model = build_pipeline(num_trees, max_depth).fit(_as_features(train_df))
+    model = forest.fit(_as_features(train_df), "aqi_target", K.FEATURE_ORDER, num_trees, max_depth, K.RF_MIN_LEAF,
+                       K.RF_SUBSAMPLE, K.RF_SEED)
     mae, r2 = evaluate(model.transform(_as_features(test_df)))
     return Trained(model, n, stations, mae, r2, first, last, datetime.now(timezone.utc).isoformat())
 
 
 def metrics_frame(spark: SparkSession, t: Trained) -> DataFrame:
     """ML7: one-row metadata document."""
-    weights = t.model.stages[-1].featureImportances.toArray()
+    weights = t.model.importances
     found = {f: round(float(v), 4) for f, v in zip(K.FEATURE_ORDER, weights, strict=True)}
     return spark.createDataFrame(
         [(t.trained_at, t.first_time, t.last_time, t.n_samples, t.n_stations, round(t.mae, 3), round(t.r2, 4),
@@ -97,7 +100,7 @@ def metrics_frame(spark: SparkSession, t: Trained) -> DataFrame:
 
 def importances(spark: SparkSession, t: Trained) -> DataFrame:
     """ML7 / AGG10: feature importances (4 decimals), descending."""
-    imp = t.model.stages[-1].featureImportances.toArray()
+    imp = t.model.importances
     rows = [(f, float(round(float(v), 4))) for f, v in zip(K.FEATURE_ORDER, imp)]
     return (spark.createDataFrame(rows, "feature string, importance double")
                  .orderBy(F.desc("importance"), "feature"))
@@ -109,17 +112,17 @@ def top_importances(spark: SparkSession, t: Trained, k: int = 5) -> DataFrame:
 
 
 def save(t: Trained, path: str, spark: SparkSession | None = None) -> None:
-    """ML8: persist the fitted pipeline (overwrite) and, given a session, its one-row
+    """ML8: persist the fitted forest (overwrite) and, given a session, its one-row
     metadata document (samples, MAE, R2, feature order, horizons) as JSON next to it."""
-    t.model.write().overwrite().save(path)
+    t.model.save(path)
     if spark is not None:
         metrics_frame(spark, t).write.mode("overwrite").json(f"{path}_meta")
 
 
-def load(path: str) -> PipelineModel:
+def load(path: str) -> forest.Forest:
     """ML8: reload; a missing model is a clear error, never a silent default."""
     try:
-        return PipelineModel.load(path)
+        return forest.load(SparkSession.active(), path)
     except Exception as e:  # noqa: BLE001
         raise FileNotFoundError(
             f"No forecast model in {path}; make one with airshed.ml.model.train and save") from e

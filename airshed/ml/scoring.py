@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +9,7 @@ from airshed.functions import constants as K
 from airshed.functions.classify import aqi_category
 from airshed.functions.numeric import clamp_prediction
 from airshed.functions.timeparts import target_parts
+from airshed.ml.forest import Forest
 from airshed.operators.dedup import horizon_list
 from airshed.operators.joins import now_vs_future
 from airshed.plans import views
@@ -46,13 +46,13 @@ def request_rejects(rows: DataFrame, keys=("request_id", "station")) -> DataFram
     return rows.where("rejected is not null").select(*keys, *K.REQUEST_BOUNDS, "rejected")
 
 
-def score_requests(model: PipelineModel, rows: DataFrame, keys=("request_id", "station")) -> DataFrame:
+def score_requests(model: Forest, rows: DataFrame, keys=("request_id", "station")) -> DataFrame:
     """ML11 + ML12 over requests: key columns, horizon_h, aqi_predicted, category."""
     return predict(model, request_features(rows, keys)).select(*keys, "horizon_h", "aqi_predicted",
                                                                "category")
 
 
-def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
+def predict(model: Forest, features: DataFrame) -> DataFrame:
     """ML12: transform -> clamp/round (FN16) -> band (FN1)."""
     x = features.withColumns({c: F.col(c).cast("double") for c in K.FEATURE_ORDER})
     out = model.transform(x)
@@ -62,7 +62,7 @@ def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
                .drop("features", "prediction"))
 
 
-def forecast(model: PipelineModel, current: DataFrame, now_utc: str,
+def forecast(model: Forest, current: DataFrame, now_utc: str,
              horizons=K.HORIZONS) -> DataFrame:
     """ML12 over the current snapshot: (station, horizon_h, aqi_predicted, category)."""
     feats = views.scoring_features(current, now_utc, horizons)
@@ -70,12 +70,12 @@ def forecast(model: PipelineModel, current: DataFrame, now_utc: str,
                                         "aqi_predicted", "category")
 
 
-def nowcast(model: PipelineModel, current: DataFrame, now_utc: str) -> DataFrame:
+def nowcast(model: Forest, current: DataFrame, now_utc: str) -> DataFrame:
     """ML11: horizon 0 for every station."""
     return forecast(model, current, now_utc, [0]).drop("horizon_h")
 
 
-def curve(model: PipelineModel, current: DataFrame, now_utc: str) -> DataFrame:
+def curve(model: Forest, current: DataFrame, now_utc: str) -> DataFrame:
     """ML13: 0-24 h curve with local valid time, ordered by station and horizon."""
     f = forecast(model, current, now_utc)
     return views.with_valid_time(f, now_utc).orderBy("station", "horizon_h")
@@ -91,7 +91,7 @@ def peak(curve_df: DataFrame) -> DataFrame:
         F.col("p.valid_time").alias("peak_valid_time"))
 
 
-def trend(model: PipelineModel, current: DataFrame, now_utc: str,
+def trend(model: Forest, current: DataFrame, now_utc: str,
           horizon: int = K.TREND_HORIZON) -> DataFrame:
     """ML14: nowcast vs +H per station with delta and label (JN9 + JN6)."""
     f = forecast(model, current, now_utc, [0, horizon])

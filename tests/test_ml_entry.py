@@ -120,3 +120,63 @@ def test_downsample_and_dims(spark):
     curve = spark.createDataFrame([(h,) for h in range(25)], "horizon_h long")
     assert [r.horizon_h for r in scoring.downsample(curve).collect()] == list(range(0, 25, 3))
     assert dims.stations(spark).count() == 10 and dims.corridors(spark).count() == 10
+
+
+def one_tree(spark, monkeypatch, local_rows, rows=900, depth=12):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    from airshed.ml import forest
+    monkeypatch.setattr(forest, "LOCAL_ROWS", local_rows)
+    monkeypatch.setattr(forest, "OPEN_NODES", 3)
+    df = spark.range(rows).select(*[(F.pmod(F.hash("id", F.lit(i)), F.lit(20)).cast("double")).alias(f"x{i}")
+                                    for i in range(3)], F.pmod(F.hash("id"), F.lit(1000)).cast("double").alias("y"))
+    df = df.withColumn("y", F.col("y") + 100 * F.col("x0") + F.when(F.col("x1") > 7, 500).otherwise(0)).cache()
+    features = ["x0", "x1", "x2"]
+    mine = forest.fit(df, "y", features, 1, depth, 5, None, 1)
+    theirs = DecisionTreeRegressor(labelCol="y", maxDepth=depth, minInstancesPerNode=5).fit(
+        VectorAssembler(inputCols=features, outputCol="features").transform(df))
+    both = theirs.transform(VectorAssembler(inputCols=features, outputCol="features").transform(
+        mine.transform(df).withColumnRenamed("prediction", "mine"))).select("mine", "prediction").collect()
+    return mine, theirs, both
+
+
+@pytest.mark.parametrize("local_rows,depth", [(10_000, 12), (60, 12), (60, 3)])
+def test_a_tree_is_that_of_mllib_wherever_its_branches_begin(spark, monkeypatch, local_rows, depth):
+    mine, theirs, both = one_tree(spark, monkeypatch, local_rows, depth=depth)
+    assert len(both) == 900 and len({r.mine for r in both}) > 4
+    assert all(abs(r.mine - r.prediction) < 1e-6 for r in both)
+    assert max(abs(mine.importances - theirs.featureImportances.toArray())) < 1e-9
+
+
+def test_no_forest_is_broadcast_or_collected(spark, monkeypatch):
+    """The model that scores is a folder of branches: what the driver keeps does not grow with the leaves."""
+    from airshed.ml import forest
+    t = model.train(grid(spark), num_trees=4, max_depth=9)
+    nodes = spark.read.parquet(f"{t.model.path}/parts").where("part >= 0").selectExpr(
+        f"sum(length(nodes)) / {forest.NODE.itemsize} as n").first().n
+    assert nodes > 100 and sum(map(len, t.model.tops.values())) == 4
+    again = model.train(grid(spark).repartition(5), num_trees=4, max_depth=9)
+    assert [again.mae, again.r2] == pytest.approx([t.mae, t.r2], rel=1e-9)  # the draws don't depend on the layout
+    few = scoring.score_requests(t.model, scoring.request_rows(spark.createDataFrame(
+        [(f"q{i}", "s", i % 24, i % 7, [0, 6]) for i in range(50)],
+        "request_id string, station string, hour int, dayofweek int, horizons array<int>")))
+    want = sorted(few.collect())
+    monkeypatch.setattr(forest, "LOCAL_ROWS", 7)  # branches copied for shares of the rows
+    assert sorted(few.collect()) == want
+    again = scoring.score_requests(t.model, scoring.request_rows(spark.createDataFrame(
+        [(f"q{i}", "s", i % 24, i % 7, [0, 6]) for i in range(50)],
+        "request_id string, station string, hour int, dayofweek int, horizons array<int>")))
+    assert sorted(again.collect()) == want
+
+
+def test_the_forest_scores_like_that_of_mllib(spark):
+    samples = grid(spark, 4, 60).withColumn("aqi_target", F.col("aqi_target") + F.pmod(
+        F.hash("station", "target_time"), F.lit(30))).cache()
+    t = model.train(samples, num_trees=20, max_depth=12)
+    tr, te = (model._as_features(x) for x in dataset.split(samples))
+    mllib = model.build_pipeline(20, 12).fit(tr)
+    mae, r2 = model.evaluate(mllib.transform(te))
+    assert abs(t.mae - mae) < 0.15 * mae and abs(t.r2 - r2) < 0.05
+    theirs = mllib.stages[-1].featureImportances.toArray()
+    assert max(abs(t.model.importances - theirs)) < 0.1
