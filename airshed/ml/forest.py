@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import math
 import uuid
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -304,18 +305,30 @@ class Forest:
         checkpoint_dir(spark)
         x = df.withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True)
         parts = spark.read.parquet(f"{self.path}/parts").where(F.col("part") != UPPER).select("tree", "part", "nodes")
-        # were the rows many for the forest, a branch would be copied for shares of them
-        copies = -(-x.count() * self.trees // (max(parts.count(), 1) * LOCAL_ROWS)) or 1
         features, cuts, tops = self.features, self.cuts, self.tops
 
+        def tally(batches):
+            for b in batches:
+                bins = binned(b, features, cuts)
+                out = [(t, part, len(r)) for t, top in tops.items()
+                       for part, r in _by_branch(top, bins, np.arange(b.num_rows), leaves=True)]
+                yield _batch(out, [("tree", pa.int32()), ("part", pa.int32()), ("n", pa.int64())])
+
+        # a branch that many rows reach is copied, each copy for a share of their blocks
+        copies = {}
+        if x.count() > LOCAL_ROWS:
+            reached = (x.select(*features).mapInArrow(tally, "tree int, part int, n long").groupBy("tree", "part")
+                        .agg(F.sum("n").alias("n")).where(F.col("n") > LOCAL_ROWS).collect())
+            copies = {(r.tree, r.part): -(-r.n // LOCAL_ROWS) for r in reached}
+
         def route(batches):
             for b in batches:
                 if not b.num_rows:
                     continue
                 bins, ids = binned(b, features, cuts), b.column("_row").to_numpy()
                 block, at = int(ids[0]), (ids - ids[0]).astype("<i8")
-                copy = (block // 1_000 + block % 1_000) % copies
-                out = [(t, part, copy, block, at[r].astype("<i4").tobytes(), bins[:, r].tobytes())
+                share = zlib.crc32(block.to_bytes(8, "little"))
+                out = [(t, part, share % copies.get((t, part), 1), block, at[r].astype("<i4").tobytes(), bins[:, r].tobytes())
                        for t, top in tops.items()
                        for part, r in _by_branch(top, bins, np.arange(b.num_rows), leaves=True)]
                 yield _batch(out, [("tree", pa.int32()), ("part", pa.int32()), ("copy", pa.int32()),
@@ -347,7 +360,9 @@ class Forest:
         keys = ["tree", "part", "copy"]
         rows = x.select("_row", *features).mapInArrow(
             route, "tree int, part int, copy int, block long, at binary, bins binary")
-        found = parts.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+        many = spark.createDataFrame([(t, p, int(n)) for (t, p), n in copies.items()], "tree int, part int, n int")
+        found = parts.join(F.broadcast(many), ["tree", "part"], "left").select(
+            "tree", "part", "nodes", F.explode(F.sequence(F.lit(0), F.coalesce("n", F.lit(1)) - 1)).alias("copy"))
         scored = (rows.groupBy(*keys).cogroup(found.groupBy(*keys))
                       .applyInPandas(score, "block long, tree int, at binary, value binary")
                       .groupBy("block").applyInPandas(mean, "_row long, prediction double"))
