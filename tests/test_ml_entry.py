@@ -172,7 +172,7 @@ def test_no_forest_is_broadcast_or_collected(spark, monkeypatch):
 
 def test_the_forest_scores_like_that_of_mllib(spark):
     samples = grid(spark, 4, 60).withColumn("aqi_target", F.col("aqi_target") + F.pmod(
-        F.hash("station", "target_time"), F.lit(30))).cache()
+        F.hash("station", "time", "horizon_h"), F.lit(30))).cache()
     t = model.train(samples, num_trees=20, max_depth=12)
     tr, te = (model._as_features(x) for x in dataset.split(samples))
     mllib = model.build_pipeline(20, 12).fit(tr)
