@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 from airshed.session import checkpoint_dir, scratch_path
 
 LOCAL_ROWS = 200_000  # a branch is grown by one task if its node drew no more rows
-OPEN_NODES = 4_096    # nodes whose histograms one pass sums; a task holds and sends 9 kB for each
+OPEN_NODES = 1_024    # nodes whose histograms one pass sums; a task holds and sends 9 kB for each
+BLOCK_ROWS = 4_096    # rows whose scores meet again in one group, 12 B for each tree
+BATCH_BYTES = 2**21   # what a task passes on to the shuffle at once
 MAX_BINS = 32
 LEAF, BRANCH = -1, -2
 #: A node: feature tried (or LEAF; in an upper tree, BRANCH), last bin that goes left, left child (the right
@@ -236,14 +238,9 @@ def fit(df: DataFrame, label: str, features, trees: int, depth: int, min_leaf: i
     def dealt(batches):
         for b in batches:
             bins, keys, y = binned(b, features, cuts), b.column("_key").to_numpy(), b.column("_y").to_numpy()
-            out = []
-            for t, top in tops.items():
-                c = drawn(keys, t, seed, rate)
-                rows = np.flatnonzero(c)
-                out += [(t, part, bins[:, r].tobytes(), y[r].tobytes(), c[r].tobytes())
-                        for part, r in _by_branch(top, bins, rows)]
-            yield _batch(out, [("tree", pa.int32()), ("part", pa.int32()), ("bins", pa.binary()),
-                               ("y", pa.binary()), ("draws", pa.binary())])
+            yield from _batches(dealt_rows(tops, bins, keys, y, seed, rate), [
+                ("tree", pa.int32()), ("part", pa.int32()), ("bins", pa.binary()), ("y", pa.binary()),
+                ("draws", pa.binary())])
 
     def grow(key, pdf):
         bins = np.concatenate([np.frombuffer(x, np.uint8).reshape(len(features), -1) for x in pdf["bins"]], 1)
@@ -268,6 +265,24 @@ def fit(df: DataFrame, label: str, features, trees: int, depth: int, min_leaf: i
     return load(spark, path)
 
 
+def dealt_rows(tops, bins, keys, y, seed: int, rate: float | None):
+    """The rows that each branch draws: tree, branch, bins, target, draws."""
+    for t, top in tops.items():
+        c = drawn(keys, t, seed, rate)
+        for part, r in _by_branch(top, bins, np.flatnonzero(c)):
+            yield t, part, bins[:, r].tobytes(), y[r].tobytes(), c[r].tobytes()
+
+
+def routed_rows(tops, copies, bins, ids):
+    """The branch that scores each row, per block of rows: tree, branch, copy, block, places in it, bins."""
+    for i in range(0, len(ids), BLOCK_ROWS):
+        block, own = int(ids[i]), bins[:, i:i + BLOCK_ROWS]
+        at, share = (ids[i:i + BLOCK_ROWS] - block).astype("<i4"), zlib.crc32(block.to_bytes(8, "little"))
+        for t, top in tops.items():
+            for part, r in _by_branch(top, own, np.arange(len(at)), leaves=True):
+                yield t, part, share % copies.get((t, part), 1), block, at[r].tobytes(), own[:, r].tobytes()
+
+
 def _by_branch(top: np.ndarray, bins: np.ndarray, rows: np.ndarray, leaves: bool = False):
     """(branch, its rows) of an upper tree; with ``leaves`` also those that end on a leaf of it."""
     at = walked(top, bins[:, rows])
@@ -278,6 +293,20 @@ def _by_branch(top: np.ndarray, bins: np.ndarray, rows: np.ndarray, leaves: bool
             yield int(part), r
 
 
+def _batches(rows, columns: list):
+    """The rows in batches of little more than BATCH_BYTES, so that neither side of the pipe holds those of all
+    trees."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(x) if isinstance(x, bytes) else 8 for x in row)
+        if size >= BATCH_BYTES:
+            yield _batch(held, columns)
+            held, size = [], 0
+    if held:
+        yield _batch(held, columns)
+
+
 def _batch(rows: list, columns: list) -> pa.RecordBatch:
     parts = zip(*rows) if rows else [[] for _ in columns]
     return pa.RecordBatch.from_arrays([pa.array(list(v), kind) for v, (_, kind) in zip(parts, columns)],
@@ -326,22 +355,21 @@ class Forest:
                 if not b.num_rows:
                     continue
                 bins, ids = binned(b, features, cuts), b.column("_row").to_numpy()
-                block, at = int(ids[0]), (ids - ids[0]).astype("<i8")
-                share = zlib.crc32(block.to_bytes(8, "little"))
-                out = [(t, part, share % copies.get((t, part), 1), block, at[r].astype("<i4").tobytes(), bins[:, r].tobytes())
-                       for t, top in tops.items()
-                       for part, r in _by_branch(top, bins, np.arange(b.num_rows), leaves=True)]
-                yield _batch(out, [("tree", pa.int32()), ("part", pa.int32()), ("copy", pa.int32()),
-                                   ("block", pa.int64()), ("at", pa.binary()), ("bins", pa.binary())])
+                yield from _batches(routed_rows(tops, copies, bins, ids), [
+                    ("tree", pa.int32()), ("part", pa.int32()), ("copy", pa.int32()), ("block", pa.int64()),
+                    ("at", pa.binary()), ("bins", pa.binary())])
 
         def score(key, blocks, found):
             if len(blocks) and not len(found):
                 raise ValueError(f"the forest lacks branch {key}")
-            nodes, out = (np.frombuffer(found["nodes"].iloc[0], NODE) if len(found) else None), []
-            for block, at, bins in zip(blocks["block"], blocks["at"], blocks["bins"]):
-                bins = np.frombuffer(bins, np.uint8).reshape(len(features), -1)
-                out.append((block, key[0], at, nodes["value"][walked(nodes, bins)].tobytes()))
-            return pd.DataFrame(out, columns=["block", "tree", "at", "value"])
+            if not len(blocks):
+                return pd.DataFrame([], columns=["block", "tree", "at", "value"])
+            nodes = np.frombuffer(found["nodes"].iloc[0], NODE)
+            bins = [np.frombuffer(x, np.uint8).reshape(len(features), -1) for x in blocks["bins"]]
+            ends = np.cumsum([x.shape[1] for x in bins])
+            values = np.split(nodes["value"][walked(nodes, np.concatenate(bins, 1))], ends[:-1])
+            return pd.DataFrame({"block": blocks["block"], "tree": key[0], "at": blocks["at"],
+                                 "value": [v.tobytes() for v in values]})
 
         trees = self.trees
 

@@ -180,3 +180,55 @@ def test_the_forest_scores_like_that_of_mllib(spark):
     assert abs(t.mae - mae) < 0.15 * mae and abs(t.r2 - r2) < 0.05
     theirs = mllib.stages[-1].featureImportances.toArray()
     assert max(abs(t.model.importances - theirs)) < 0.1
+
+
+def test_rows_of_many_trees_pass_to_their_branches_in_small_batches():
+    """A task holds a few MB of what it sends to the branches, not the rows of all trees; none is lost."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from airshed.ml import forest
+    n, trees, start = 10_000, 140, 7
+    r = np.random.default_rng(1)
+    bins, keys, ids = r.integers(0, 32, (12, n)).astype(np.uint8), r.integers(-2**62, 2**62, n), np.arange(n) + start
+    top = np.array([(0, 15, 1, 0.0), (forest.BRANCH, 0, 0, 0.0), (forest.LEAF, 0, 0, 0.0)], forest.NODE)
+    tops, big, whole = dict.fromkeys(range(trees), top), pa.binary(), pa.int32()
+    for rows, columns in (
+            (forest.dealt_rows(tops, bins, keys, keys.astype(float), 1, 0.5),
+             [("tree", whole), ("part", whole), ("bins", big), ("y", big), ("draws", big)]),
+            (forest.routed_rows(tops, {(0, 1): 2}, bins, ids),
+             [("tree", whole), ("part", whole), ("copy", whole), ("block", pa.int64()), ("at", big), ("bins", big)])):
+        seen, per_block = {t: [] for t in tops}, {}
+        tracemalloc.start()
+        for b in forest._batches(rows, columns):
+            assert b.nbytes < 1.2 * forest.BATCH_BYTES
+            for x in b.to_pylist():
+                if "at" in x:
+                    at = np.frombuffer(x["at"], "<i4")
+                    per_block[x["block"]] = max(per_block.get(x["block"], 0), at.max() + 1)
+                    seen[x["tree"]].append((x["block"] + at - start).astype("<i2"))
+                    assert (np.frombuffer(x["bins"], np.uint8).reshape(12, -1) == bins[:, seen[x["tree"]][-1]]).all()
+                else:
+                    assert x["part"] == 1 and len(x["bins"]) == 12 * len(x["draws"])
+                    seen[x["tree"]].append(np.zeros(len(x["draws"]), "<i2"))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 12e6
+        if per_block:
+            assert all((np.sort(np.concatenate(x)) == np.arange(n)).all() for x in seen.values())
+            assert max(per_block.values()) <= forest.BLOCK_ROWS
+        else:
+            left = bins[0] <= 15
+            assert all(sum(map(len, seen[t])) == (left & (forest.drawn(keys, t, 1, 0.5) > 0)).sum() for t in tops)
+
+
+def test_scores_of_rows_in_several_blocks_come_back_whole(spark):
+    from airshed.ml import forest
+    df = spark.range(10_000).select("id", F.pmod(F.hash("id"), F.lit(40)).cast("double").alias("x"))
+    df = df.withColumn("y", F.col("x") * 3 + F.pmod("id", F.lit(7))).cache()
+    model_ = forest.fit(df, "y", ["x"], 3, 6, 5, 0.5, 1)
+    one, many = (sorted((r.id, r.prediction) for r in model_.transform(x).collect())
+                 for x in (df.coalesce(1), df.repartition(9)))
+    assert len(one) == 10_000 and one == many
