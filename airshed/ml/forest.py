@@ -258,10 +258,10 @@ def fit(df: DataFrame, label: str, features, trees: int, depth: int, min_leaf: i
                   for i in np.flatnonzero(top["feature"] == LEAF)]
     (points.mapInArrow(dealt, "tree int, part int, bins binary, y binary, draws binary")
            .groupBy("tree", "part").applyInPandas(grow, PARTS).write.parquet(f"{path}/parts"))
-    spark.createDataFrame([(t, p, bytearray(x), g) for t, p, x, g in upper], PARTS).write.mode("append").parquet(
-        f"{path}/parts")
+    local_frame(spark, upper, [("tree", pa.int32()), ("part", pa.int32()), ("nodes", pa.binary()),
+                               ("gains", pa.list_(pa.float64()))]).write.mode("append").parquet(f"{path}/parts")
     head = json.dumps({"features": features, "cuts": cuts, "trees": trees})
-    spark.createDataFrame([(head,)], "value string").write.text(f"{path}/head")
+    local_frame(spark, [(head,)], [("value", pa.string())]).write.text(f"{path}/head")
     return load(spark, path)
 
 
@@ -313,6 +313,12 @@ def _batch(rows: list, columns: list) -> pa.RecordBatch:
                                       names=[c for c, _ in columns])
 
 
+def local_frame(spark: SparkSession, rows: list, columns: list) -> DataFrame:
+    """A few rows of the driver as a frame. They go by Arrow: a plain list passes through Python workers of their
+    own kind, which then stay beside those of the fit, one for each core."""
+    return spark.createDataFrame(pa.Table.from_batches([_batch(rows, columns)]))
+
+
 # ------------------------------------------------------------------ the fitted forest
 UPPER = -1  # the part that holds a tree's upper nodes
 
@@ -388,7 +394,8 @@ class Forest:
         keys = ["tree", "part", "copy"]
         rows = x.select("_row", *features).mapInArrow(
             route, "tree int, part int, copy int, block long, at binary, bins binary")
-        many = spark.createDataFrame([(t, p, int(n)) for (t, p), n in copies.items()], "tree int, part int, n int")
+        many = local_frame(spark, [(t, p, int(n)) for (t, p), n in copies.items()],
+                           [("tree", pa.int32()), ("part", pa.int32()), ("n", pa.int32())])
         found = parts.join(F.broadcast(many), ["tree", "part"], "left").select(
             "tree", "part", "nodes", F.explode(F.sequence(F.lit(0), F.coalesce("n", F.lit(1)) - 1)).alias("copy"))
         scored = (rows.groupBy(*keys).cogroup(found.groupBy(*keys))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
@@ -102,8 +103,8 @@ def importances(spark: SparkSession, t: Trained) -> DataFrame:
     """ML7 / AGG10: feature importances (4 decimals), descending."""
     imp = t.model.importances
     rows = [(f, float(round(float(v), 4))) for f, v in zip(K.FEATURE_ORDER, imp)]
-    return (spark.createDataFrame(rows, "feature string, importance double")
-                 .orderBy(F.desc("importance"), "feature"))
+    return (forest.local_frame(spark, rows, [("feature", pa.string()), ("importance", pa.float64())])
+                  .orderBy(F.desc("importance"), "feature"))
 
 
 def top_importances(spark: SparkSession, t: Trained, k: int = 5) -> DataFrame:

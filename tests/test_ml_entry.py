@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 
 import duckdb
 import pytest
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -232,3 +233,27 @@ def test_scores_of_rows_in_several_blocks_come_back_whole(spark):
     one, many = (sorted((r.id, r.prediction) for r in model_.transform(x).collect())
                  for x in (df.coalesce(1), df.repartition(9)))
     assert len(one) == 10_000 and one == many
+
+
+def test_no_row_of_the_driver_passes_through_python_workers(spark):
+    """What the driver adds to a forest goes by Arrow. A plain list makes a second set of Python workers, one for
+    each core, that stay beside those of the fit."""
+    from airshed.ml import forest
+    df = spark.range(300).select(F.col("id").cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("y"))
+    found = forest.fit(df, "y", ["x"], 2, 4, 5, 0.5, 1)
+    t = model.Trained(found, 300, 1, 0.0, 0.0)
+    plain, made = SparkSession.createDataFrame, []
+    try:
+        SparkSession.createDataFrame = lambda s, data, *a, **k: made.append(type(data).__name__) or plain(s, data, *a, **k)
+        again = forest.fit(df, "y", ["x"], 2, 4, 5, 0.5, 1)
+        scored = {r.x: r.prediction for r in again.transform(df).collect()}
+        rows = model.top_importances(spark, model.Trained(again, 300, 1, 0.0, 0.0), 11)
+    finally:
+        SparkSession.createDataFrame = plain
+    assert set(made) == {"Table"} and len(made) == 4
+    assert scored == {r.x: r.prediction for r in found.transform(df).collect()} and len(scored) == 300
+    assert rows.schema.simpleString() == "struct<feature:string,importance:double>"
+    assert rows.collect() == model.top_importances(spark, t, 11).collect()
+    parts = spark.read.parquet(f"{again.path}/parts")
+    assert parts.schema.simpleString() == "struct<tree:int,part:int,nodes:binary,gains:array<double>>"
+    assert parts.where("part = -1").count() == 2
