@@ -23,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airshed.ml import native
 from airshed.session import checkpoint_dir, scratch_path
 
-LOCAL_ROWS = 200_000  # a branch is grown by one task if its node drew no more rows
+LOCAL_ROWS = 1_000_000  # a branch is grown by one task if its node drew no more rows
 OPEN_NODES = 1_024    # nodes whose histograms one pass sums; a task holds and sends 9 kB for each
 BLOCK_ROWS = 4_096    # rows whose scores meet again in one group, 12 B for each tree
 BATCH_BYTES = 2**21   # what a task passes on to the shuffle at once
@@ -71,13 +72,20 @@ def drawn(keys: np.ndarray, tree: int, seed: int, rate: float | None) -> np.ndar
     """How often a tree draws each row: Poisson of the rate (None: every row once), from a hash of row and tree."""
     if rate is None:
         return np.ones(len(keys), np.uint8)
-    add = ((seed + 1) * 0xD1342543DE82EF95 + (tree + 1) * 0x9E3779B97F4A7C15) % 2**64
-    z = keys.view(np.uint64) + np.uint64(add)
+    z = keys.view(np.uint64) + np.uint64(_add(tree, seed))
     z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     u = ((z ^ (z >> np.uint64(31))) >> np.uint64(11)) * 2.0**-53
-    p = np.cumsum([math.exp(-rate) * rate**k / math.factorial(k) for k in range(40)])
-    return np.searchsorted(p, u, side="right").astype(np.uint8)
+    return np.searchsorted(_chances(rate), u, side="right").astype(np.uint8)
+
+
+def _add(tree: int, seed: int) -> int:
+    return ((seed + 1) * 0xD1342543DE82EF95 + (tree + 1) * 0x9E3779B97F4A7C15) % 2**64
+
+
+def _chances(rate: float | None) -> np.ndarray:
+    """The cumulated chances of 0, 1, 2 ... draws."""
+    return np.cumsum([math.exp(-rate) * rate**k / math.factorial(k) for k in range(0 if rate is None else 40)])
 
 
 def walked(nodes: np.ndarray, bins: np.ndarray) -> np.ndarray:
@@ -148,7 +156,7 @@ def grown(bins: np.ndarray, y: np.ndarray, draws: np.ndarray, depth: int, min_le
 
 
 # ------------------------------------------------------------------ fit
-def _upper_trees(points: DataFrame, n: int, centre: float, features, cuts, trees, depth, min_leaf, rate, seed):
+def _upper_trees(jvm, points: DataFrame, n: int, centre: float, features, cuts, trees, depth, min_leaf, rate, seed):
     """The upper nodes of each tree, level by level, until a branch fits one task. Returns them with the
     depth of every node and the gains of their splits."""
     tops = {t: [(BRANCH, 0, 0, 0.0)] for t in range(trees)}
@@ -197,17 +205,22 @@ def _upper_trees(points: DataFrame, n: int, centre: float, features, cuts, trees
                             columns=["tree", "node", "feature", "cut", "gain", "n_left", "n_right", "m_left",
                                      "m_right", "mean"])
 
+    sent = "tree int, node int, sums binary"
+    chosen = ("tree int, node int, feature int, cut int, gain double, n_left double, n_right double, m_left double, "
+              "m_right double, mean double")
     while todo:
         now, todo = todo[:OPEN_NODES], todo[OPEN_NODES:]
         arrays = {t: np.array(tops[t], NODE) for t in {t for t, _ in now}}
         # no more tasks than cores: each sends its own sums
-        splits = (points.coalesce(points.sparkSession.sparkContext.defaultParallelism)
-                        .mapInArrow(lambda batches: sums(batches, arrays, now), "tree int, node int, sums binary")
-                        .groupBy("tree", "node")
-                        .applyInPandas(
-                            choose, "tree int, node int, feature int, cut int, gain double, n_left double, n_right "
-                                    "double, m_left double, m_right double, mean double")
-                        .orderBy("tree", "node").collect())
+        few = points.coalesce(points.sparkSession.sparkContext.defaultParallelism)
+        if jvm:
+            told = native.packed(len(features), trees, depth, min_leaf, MAX_BINS, BLOCK_ROWS, centre, cuts,
+                                 _chances(rate), arrays, adds=lambda t: _add(t, seed), open_nodes=now)
+            splits = jvm.groups(jvm.rows(few, "sums", told, sent), "tree int, node int", "choose", told, chosen)
+        else:
+            splits = few.mapInArrow(lambda batches: sums(batches, arrays, now), sent).groupBy(
+                "tree", "node").applyInPandas(choose, chosen)
+        splits = splits.orderBy("tree", "node").collect()
         for s in splits:
             nodes, deep = tops[s.tree], depths[s.tree][s.node]
             if s.feature == LEAF:
@@ -230,10 +243,10 @@ def fit(df: DataFrame, label: str, features, trees: int, depth: int, min_leaf: i
     spark, features = df.sparkSession, list(features)
     checkpoint_dir(spark)
     n, centre = df.agg(F.count("*"), F.avg(F.col(label).cast("double"))).first()
-    cuts = thresholds(df, features)
-    points = df.select(*features, F.col(label).cast("double").alias("_y"),
-                       F.xxhash64(*sorted(df.columns)).alias("_key"))
-    tops, depths, gains = _upper_trees(points, n, centre, features, cuts, trees, depth, min_leaf, rate, seed)
+    cuts, jvm = thresholds(df, features), native.kernels(spark)
+    points = df.select(*[F.col(f).cast("double").alias(f) for f in features],
+                       F.xxhash64(*sorted(df.columns)).alias("_key"), F.col(label).cast("double").alias("_y"))
+    tops, depths, gains = _upper_trees(jvm, points, n, centre, features, cuts, trees, depth, min_leaf, rate, seed)
 
     def dealt(batches):
         for b in batches:
@@ -256,8 +269,15 @@ def fit(df: DataFrame, label: str, features, trees: int, depth: int, min_leaf: i
         upper.append((t, UPPER, top.tobytes(), [float(g) for g in own]))
         upper += [(t, int(i), top[i:i + 1].tobytes(), [0.0] * len(features))
                   for i in np.flatnonzero(top["feature"] == LEAF)]
-    (points.mapInArrow(dealt, "tree int, part int, bins binary, y binary, draws binary")
-           .groupBy("tree", "part").applyInPandas(grow, PARTS).write.parquet(f"{path}/parts"))
+    if jvm:
+        told = native.packed(len(features), trees, depth, min_leaf, MAX_BINS, BLOCK_ROWS, centre or 0.0, cuts,
+                             _chances(rate), tops, depths, lambda t: _add(t, seed))
+        rows = jvm.rows(points, "deal", told, "tree int, part int, n int, rows binary")
+        grown_parts = jvm.groups(rows, "tree int, part int", "grow", told, PARTS)
+    else:
+        rows = points.mapInArrow(dealt, "tree int, part int, bins binary, y binary, draws binary")
+        grown_parts = rows.groupBy("tree", "part").applyInPandas(grow, PARTS)
+    grown_parts.write.parquet(f"{path}/parts")
     local_frame(spark, upper, [("tree", pa.int32()), ("part", pa.int32()), ("nodes", pa.binary()),
                                ("gains", pa.list_(pa.float64()))]).write.mode("append").parquet(f"{path}/parts")
     head = json.dumps({"features": features, "cuts": cuts, "trees": trees})
@@ -350,9 +370,15 @@ class Forest:
                 yield _batch(out, [("tree", pa.int32()), ("part", pa.int32()), ("n", pa.int64())])
 
         # a branch that many rows reach is copied, each copy for a share of their blocks
-        copies = {}
+        copies, jvm = {}, native.kernels(spark)
+        numbers = [F.col(f).cast("double").alias(f) for f in features]
+        told = lambda: native.packed(len(features), self.trees, 0, 0, MAX_BINS, BLOCK_ROWS, 0.0, cuts, [], tops,
+                                     copies=copies)
         if x.count() > LOCAL_ROWS:
-            reached = (x.select(*features).mapInArrow(tally, "tree int, part int, n long").groupBy("tree", "part")
+            own = x.select(*numbers)
+            reached = (jvm.rows(own, "tally", told(), "tree int, part int, n long") if jvm else
+                       own.mapInArrow(tally, "tree int, part int, n long"))
+            reached = (reached.groupBy("tree", "part")
                         .agg(F.sum("n").alias("n")).where(F.col("n") > LOCAL_ROWS).collect())
             copies = {(r.tree, r.part): -(-r.n // LOCAL_ROWS) for r in reached}
 
@@ -392,15 +418,22 @@ class Forest:
             return pd.DataFrame({"_row": int(key[0]) + rows, "prediction": total[rows] / trees})
 
         keys = ["tree", "part", "copy"]
-        rows = x.select("_row", *features).mapInArrow(
-            route, "tree int, part int, copy int, block long, at binary, bins binary")
         many = local_frame(spark, [(t, p, int(n)) for (t, p), n in copies.items()],
                            [("tree", pa.int32()), ("part", pa.int32()), ("n", pa.int32())])
         found = parts.join(F.broadcast(many), ["tree", "part"], "left").select(
             "tree", "part", "nodes", F.explode(F.sequence(F.lit(0), F.coalesce("n", F.lit(1)) - 1)).alias("copy"))
-        scored = (rows.groupBy(*keys).cogroup(found.groupBy(*keys))
-                      .applyInPandas(score, "block long, tree int, at binary, value binary")
-                      .groupBy("block").applyInPandas(mean, "_row long, prediction double"))
+        if jvm:
+            rows = jvm.rows(x.select(*numbers, "_row"), "route", told(),
+                            "tree int, part int, copy int, block long, n int, rows binary")
+            scored = jvm.cogroups(rows, found.select("nodes", *keys), "tree int, part int, copy int", "score", told(),
+                "block long, tree int, n int, scores binary")
+            scored = jvm.groups(scored, "block long", "mean", told(), "_row long, prediction double")
+        else:
+            rows = x.select("_row", *features).mapInArrow(
+                route, "tree int, part int, copy int, block long, at binary, bins binary")
+            scored = (rows.groupBy(*keys).cogroup(found.groupBy(*keys))
+                          .applyInPandas(score, "block long, tree int, at binary, value binary")
+                          .groupBy("block").applyInPandas(mean, "_row long, prediction double"))
         return x.join(scored, "_row").drop("_row")
 
     def save(self, path: str) -> None:

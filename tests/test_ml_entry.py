@@ -257,3 +257,30 @@ def test_no_row_of_the_driver_passes_through_python_workers(spark):
     parts = spark.read.parquet(f"{again.path}/parts")
     assert parts.schema.simpleString() == "struct<tree:int,part:int,nodes:binary,gains:array<double>>"
     assert parts.where("part = -1").count() == 2
+
+
+def test_the_forest_of_the_jvm_is_that_of_python(spark, monkeypatch):
+    """Growing and scoring run in the JVM, by the same operations: nodes, gains and scores are equal to the last bit,
+    whether branches begin at the root or below upper nodes, with more features than a word holds, with ties."""
+    from airshed.ml import forest, native
+    jvm = native.kernels
+    assert jvm(spark) is not None
+    for n, wide, local_rows in ((3_000, 14, 10_000), (4_000, 12, 300), (40, 2, 5)):
+        monkeypatch.setattr(forest, "LOCAL_ROWS", local_rows)
+        names = [f"x{i}" for i in range(wide)]
+        df = spark.range(n).select(*[F.pmod(F.xxhash64("id", F.lit(i // 2)), F.lit(50 if i else 7)).cast("double")
+                                     .alias(c) for i, c in enumerate(names)],
+                                   (F.pmod(F.hash("id"), F.lit(97)) / 7 - 3).alias("y")).cache()
+        found = []
+        for kernels in (jvm, lambda s: None):
+            monkeypatch.setattr(native, "kernels", kernels)
+            f = forest.fit(df, "y", names, 4, 12, 5, 0.5, 42)
+            plan = f.transform(df)._jdf.queryExecution().toString()
+            assert ("InArrow" in plan or "InPandas" in plan) == (kernels is not jvm)
+            parts = spark.read.parquet(f"{f.path}/parts").collect()
+            found.append((sorted((r.tree, r.part, bytes(r.nodes), tuple(r.gains)) for r in parts),
+                          sorted(map(tuple, f.transform(df).collect()))))
+        assert found[0] == found[1] and len(found[0][1]) == n and len(found[0][0]) >= 4 * (1 + (n > local_rows))
+        monkeypatch.setattr(native, "kernels", jvm)
+    with pytest.raises(Exception, match="has a null or NaN"):
+        forest.fit(df.withColumn("x1", F.lit(None).cast("double")), "y", names, 2, 4, 5, 0.5, 1)
